@@ -32,7 +32,7 @@ def _norm(v):
     if isinstance(v, bool):
         return (2, str(int(v)))
     if isinstance(v, int):
-        return (2, f"{float(v):.6f}") if False else (3, str(v))
+        return (3, str(v))
     return (4, str(v))
 
 
