@@ -25,7 +25,7 @@ from rebuy.operators import sampling as sp
 from rebuy.plans import features as pf
 from rebuy.session import scratch_path
 from rebuy.sources.files import read_csv_table, write_csv
-from rebuy.sources.testdata import BasketTables, basket_tables
+from rebuy.sources.testdata import BasketTables, basket_tables, materialize
 
 # Fixed query parameters (sized to fit the smallest test scale too).
 HOLDOUT = dict(n_total=60, n_subset=20, n_extra_users=20, seed=42)
@@ -57,7 +57,15 @@ _TABLES: dict = {}
 
 
 def tables(spark: SparkSession, sf_dir: str) -> BasketTables:
-    return basket_tables(spark, sf_dir)
+    """Basket tables of a test-data folder, derived once per application and
+    written as Parquet under the shared checkpoint folder; every query then
+    plans over plain Parquet scans (as real basket input would be)."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _TABLES:
+        tag = hashlib.md5(repr(key).encode()).hexdigest()[:16]
+        _TABLES[key] = materialize(spark, basket_tables(spark, sf_dir),
+                                   scratch_path(spark, f"basket_{tag}"))
+    return _TABLES[key]
 
 
 def prior(t: BasketTables) -> pf.PriorAggregates:
@@ -521,3 +529,10 @@ def q_eda_dept_freq(spark, sf):
 @query("eda_aisle_top_bottom")
 def q_eda_aisle_top_bottom(spark, sf):
     return finish(eda.top_bottom(_eda_freq(spark, sf, "aisle_id"), "aisle_id", 10))
+
+
+def _register_ml() -> None:
+    from rebuy.plans import ml_queries  # noqa: F401  (registers the model queries)
+
+
+_register_ml()

@@ -1,0 +1,7 @@
+"""Structured Streaming operators.
+
+The reference reads whole files and has no watermark, windowed
+aggregation, state or late-data logic, so there is nothing to express here.
+Every operator in ``rebuy.operators`` is a plain DataFrame transformation,
+so it can also run inside ``foreachBatch`` over micro-batches when needed.
+"""
