@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from rebuy.operators import features as fe
 from rebuy.operators import orders as od
 from rebuy.operators.binning import SupervisedBinner, SupervisedBinnerModel
+from rebuy.plans.stash import stash
 
 KEYS = ["user_id", "product_id"]
 LABEL = "reordered"
@@ -79,13 +80,18 @@ class PriorAggregates:
     products: DataFrame         # one row per product in the prior lines
 
 
-def prior_aggregates(orders: DataFrame, prior_lines: DataFrame,
-                     block_size: int = 4096) -> PriorAggregates:
-    otbl = od.days_before_last(od.order_table(orders, prior_lines), block_size)
-    details = od.prior_details(prior_lines, otbl)
-    up = fe.user_product_aggregates(details)
-    users = fe.user_features(otbl, up)
-    return PriorAggregates(otbl, up, users, fe.product_features(prior_lines))
+def prior_aggregates(orders: DataFrame, prior_lines: DataFrame, block_size: int = 4096,
+                     mode: str = "checkpoint") -> PriorAggregates:
+    """Every prior-derived aggregate, each computed once (``mode``: see
+    ``rebuy.plans.stash``).  The order table feeds both the user table and
+    the cumulative days; the user-product table feeds the candidates, the
+    distinct-product count and the bins."""
+    base = stash(od.order_table(orders, prior_lines), mode)
+    otbl = od.days_before_last(base, block_size)
+    up = stash(fe.user_product_aggregates(od.prior_details(prior_lines, otbl)), mode)
+    users = stash(fe.user_features(base, up), mode)
+    products = stash(fe.product_features(prior_lines), mode)
+    return PriorAggregates(otbl, up, users, products)
 
 
 def candidate_rows(orders: DataFrame, current_lines: DataFrame,
@@ -121,20 +127,24 @@ class BinModels:
     hour: SupervisedBinnerModel | None = None
 
 
-def fit_bins(cand: DataFrame, products: DataFrame, with_hour: bool = False) -> BinModels:
-    """B1-B3 fitted on labelled candidate rows.  The rows are first reduced
-    to (product, label, count) by partial aggregation; only that small table
-    meets the product dimension."""
-    per_product = (cand.groupBy("product_id", LABEL).count()
-                   .join(products.select("product_id", "aisle_id", "department_id"),
-                         "product_id", "left"))
+def fit_bins(cand: DataFrame, products: DataFrame, with_hour: bool = False,
+             mode: str = "checkpoint") -> BinModels:
+    """B1-B3 fitted on labelled candidate rows.  The rows are reduced once
+    to (product, label, count) by partial aggregation (a product-sized
+    table); only that table meets the product dimension and feeds the
+    counts and class totals of both maps."""
+    per_product = stash(cand.groupBy("product_id", LABEL).count()
+                        .join(products.select("product_id", "aisle_id", "department_id"),
+                              "product_id", "left"), mode)
     dept = SupervisedBinner("department_id", "product_dept_bin", "department",
                             weightCol="count").fit(per_product)
     aisle = SupervisedBinner("aisle_id", "product_aisle_bin", "aisle",
                              weightCol="count").fit(per_product)
     hour = None
     if with_hour:
-        hour = SupervisedBinner("order_hour_of_day", "current_order_hod", "hour").fit(cand)
+        per_hour = stash(cand.groupBy("order_hour_of_day", LABEL).count(), mode)
+        hour = SupervisedBinner("order_hour_of_day", "current_order_hod", "hour",
+                                weightCol="count").fit(per_hour)
     return BinModels(dept, aisle, hour)
 
 
@@ -149,12 +159,12 @@ def product_table(prior: PriorAggregates, products: DataFrame, bins: BinModels)
 def feature_table(orders: DataFrame, prior_lines: DataFrame, current_lines: DataFrame,
                   products: DataFrame, notebook: bool = False,
                   bins: BinModels | None = None, prior: PriorAggregates | None = None,
-                  ) -> tuple[DataFrame, BinModels]:
+                  mode: str = "checkpoint") -> tuple[DataFrame, BinModels]:
     """(user_id, product_id, reordered, features...) and the bins used."""
-    prior = prior or prior_aggregates(orders, prior_lines)
-    cand = candidate_rows(orders, current_lines, prior)
+    prior = prior or prior_aggregates(orders, prior_lines, mode=mode)
+    cand = stash(candidate_rows(orders, current_lines, prior), mode)
     if bins is None:
-        bins = fit_bins(cand, products, with_hour=notebook)
+        bins = fit_bins(cand, products, with_hour=notebook, mode=mode)
     out = cand.join(product_table(prior, products, bins), "product_id", "left")
     if notebook:
         out = bins.hour._transform(out, drop_key=True)
@@ -163,11 +173,12 @@ def feature_table(orders: DataFrame, prior_lines: DataFrame, current_lines: Data
 
 
 def train_test_tables(orders: DataFrame, prior_lines: DataFrame, train_lines: DataFrame,
-                      test_lines: DataFrame, products: DataFrame,
+                      test_lines: DataFrame, products: DataFrame, mode: str = "checkpoint",
                       ) -> tuple[DataFrame, DataFrame, BinModels]:
     """The production job: train rows (bins fitted here) and holdout rows
     (train bins applied, unseen categories NULL), sharing prior aggregates."""
-    prior = prior_aggregates(orders, prior_lines)
-    train, bins = feature_table(orders, prior_lines, train_lines, products, prior=prior)
-    test, _ = feature_table(orders, prior_lines, test_lines, products, bins=bins, prior=prior)
+    prior = prior_aggregates(orders, prior_lines, mode=mode)
+    train, bins = feature_table(orders, prior_lines, train_lines, products, prior=prior, mode=mode)
+    test, _ = feature_table(orders, prior_lines, test_lines, products, bins=bins, prior=prior,
+                            mode=mode)
     return train, test, bins
