@@ -6,10 +6,13 @@ training lines and scores its holdout lines; model selection runs on the
 holdout job's subset (subset current lines + the prior lines of its users
 and the extra users), with the notebook's feature set.
 
-Sizes: the final model uses the reference's parameters unchanged.  The
-selection queries keep the reference's estimators and parameters but walk a
-slice of its grids (the full grids are ``REFERENCE_GRIDS``), so a check run
-stays within minutes.
+Sizes: the final model uses the reference's parameters unchanged (843
+trees).  Spark's boosted trees cost a few Spark jobs per tree, so the
+model-selection queries (5 user folds each) run the reference's machinery -
+same estimators, folds, early stopping - with a small tree budget
+(``SMOKE_GBT``: at most 40 trees, 10 rounds of patience) and a slice of its
+grids; the reference's own settings are ``REFERENCE_GRIDS``,
+``SELECTION_BASE`` and ``FINAL_CV`` and run through the same functions.
 """
 
 from __future__ import annotations
@@ -40,6 +43,10 @@ SELECTION_BASE = dict(n_estimators=ml.EARLY_STOP_CAP, max_depth=3, learning_rate
 FINAL_CV = dict(n_estimators=ml.EARLY_STOP_CAP, max_depth=6, learning_rate=0.01, subsample=0.3,
                 min_child_weight=1, colsample_bytree=0.7)
 GRID_SLICE = [dict(learning_rate=0.06, max_depth=4), dict(learning_rate=0.06, max_depth=6)]
+# Tree budget of the registered selection queries (see the module doc).
+SMOKE_GBT = dict(n_estimators=40, max_depth=4, learning_rate=0.06, subsample=0.5,
+                 min_child_weight=1, colsample_bytree=0.3)
+SMOKE_PATIENCE = 10
 RF_DEPTHS = [30]          # 30..50 all cap at Spark's maximum depth 30
 
 _FINAL: dict = {}
@@ -108,7 +115,8 @@ def q_gbt_early_stop(spark, sf):
     df = selection_table(spark, sf)
     d, inputs = ml.prepare(df, ml.feature_columns(df))
     _, best_n, losses = ml.fit_early_stopped(d.filter(F.col("fold") != 0), d.filter(F.col("fold") == 0),
-                                             inputs, FINAL_CV)
+                                             inputs, {**FINAL_CV, "n_estimators": 200},
+                                             patience=SMOKE_PATIENCE, first_cap=200)
     rows = [(i + 1, float(v), i + 1 == best_n) for i, v in enumerate(losses)]
     return finish(spark.createDataFrame(rows, "n_trees int, validation_logloss double, best boolean"))
 
@@ -160,7 +168,9 @@ def q_cv_gbt(spark, sf):
     """Early-stopped boosted trees with the final parameters,
     without the three weak features (the final model-selection run)."""
     df = selection_table(spark, sf).drop(*pf.WEAK_FEATURES)
-    res = ml.cross_validate(df, None, k=K_FOLDS, early_stop=FINAL_CV)
+    params = {**SMOKE_GBT, "max_depth": FINAL_CV["max_depth"], "subsample": FINAL_CV["subsample"],
+              "colsample_bytree": FINAL_CV["colsample_bytree"]}
+    res = ml.cross_validate(df, None, k=K_FOLDS, early_stop=params, patience=SMOKE_PATIENCE)
     return finish(res.fold_metrics.withColumn("best_rounds", F.lit(int(sum(res.best_rounds) / K_FOLDS))))
 
 
@@ -169,7 +179,7 @@ def q_grid_search(spark, sf):
     """M11 + L6: CV mean best F1 per grid point; ``best`` marks the largest
     (score, param id) tuple."""
     df = selection_table(spark, sf)
-    g = ml.grid_search(df, GRID_SLICE, SELECTION_BASE, k=K_FOLDS)
+    g = ml.grid_search(df, GRID_SLICE, SMOKE_GBT, k=K_FOLDS, patience=SMOKE_PATIENCE)
     best = g.select(F.max(F.struct("mean_best_f1", F.col("param_id"))).alias("b")).scalar()
     return finish(g.withColumn("best", F.col("param_id") == best["param_id"]))
 
@@ -178,8 +188,9 @@ def q_grid_search(spark, sf):
 def q_ablation(spark, sf):
     """The same CV with and without the three weakest features."""
     df = selection_table(spark, sf)
-    params = {**SELECTION_BASE, **GRID_SLICE[1]}
-    full = ml.cross_validate(df, None, k=K_FOLDS, early_stop=params).summary
-    less = ml.cross_validate(df.drop(*pf.WEAK_FEATURES), None, k=K_FOLDS, early_stop=params).summary
+    params = SMOKE_GBT
+    full = ml.cross_validate(df, None, k=K_FOLDS, early_stop=params, patience=SMOKE_PATIENCE).summary
+    less = ml.cross_validate(df.drop(*pf.WEAK_FEATURES), None, k=K_FOLDS, early_stop=params,
+                             patience=SMOKE_PATIENCE).summary
     return finish(full.select(F.lit("all").alias("features"), "mean_best_f1", "mean_auc")
                   .unionByName(less.select(F.lit("without_weak").alias("features"), "mean_best_f1", "mean_auc")))

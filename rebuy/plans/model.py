@@ -169,7 +169,7 @@ class CVResult:
 
 def cross_validate(df: DataFrame, make_estimator, features: list[str] | None = None,
                    k: int = 5, scale: bool = False, early_stop: dict | None = None,
-                   cut: float = 0.5) -> CVResult:
+                   cut: float = 0.5, patience: int = EARLY_STOP_ROUNDS) -> CVResult:
     """User-grouped K-fold.  ``df`` carries a ``fold`` column.
     Validation scores of all folds are unioned and evaluated together
     (V1-V7 in one pass); train F1 uses each model's own training rows."""
@@ -180,7 +180,8 @@ def cross_validate(df: DataFrame, make_estimator, features: list[str] | None = N
     for f in range(k):
         tr, va = d.filter(F.col("fold") != f), d.filter(F.col("fold") == f)
         if early_stop is not None:
-            model, n, _ = fit_early_stopped(tr, va, inputs, early_stop)
+            model, n, _ = fit_early_stopped(tr, va, inputs, early_stop, patience=patience,
+                                            first_cap=min(200, early_stop["n_estimators"]))
             rounds.append(n)
         else:
             model = make_pipeline(make_estimator(tr), inputs, scale).fit(tr)
@@ -209,14 +210,14 @@ def cv_fold_metrics(valid: DataFrame, train: DataFrame) -> DataFrame:
 
 
 def grid_search(df: DataFrame, grid: list[dict], base: dict, k: int = 5,
-                features: list[str] | None = None) -> DataFrame:
+                features: list[str] | None = None, patience: int = EARLY_STOP_ROUNDS) -> DataFrame:
     """CV with early stopping at each grid point -> (param_id, params,
     mean_best_f1, rank).  Ties on the score go to the lower param id."""
     spark = df.sparkSession
     rows = []
     for i, point in enumerate(grid):
         params = {**base, **point}
-        res = cross_validate(df, None, features, k, early_stop=params)
+        res = cross_validate(df, None, features, k, early_stop=params, patience=patience)
         s = res.summary.select("mean_best_f1", "std_best_f1").first()
         rows.append((i, str(sorted(point.items())), float(s.mean_best_f1 or 0.0),
                      float(s.std_best_f1 or 0.0), int(sum(res.best_rounds) / max(1, len(res.best_rounds)))))
