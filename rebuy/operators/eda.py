@@ -24,8 +24,11 @@ def category_frequency(lines: DataFrame, products: DataFrame, names: DataFrame,
     ratios = class_ratios(class_counts(tagged, key, weight="count"), fill_missing)
     ranked = ratios.withColumn(
         "rank", F.row_number().over(Window.orderBy(F.desc_nulls_last("diff"), key)).cast("int"))
+    # The percentages the reference plotted.
     return (ranked.join(names, key, "left")
-            .select(key, names.columns[1], "no_reorder", "reordered", "diff", "rank"))
+            .select(key, names.columns[1], "no_reorder", "reordered", "diff", "rank",
+                    (F.col("no_reorder") * 100).alias("no_reorder_pct"),
+                    (F.col("reordered") * 100).alias("reordered_pct")))
 
 
 def top_bottom(freq: DataFrame, key: str, n: int = 10) -> DataFrame:
@@ -36,7 +39,7 @@ def top_bottom(freq: DataFrame, key: str, n: int = 10) -> DataFrame:
     bottom = f.orderBy(F.asc("diff"), F.desc(key)).limit(n)
     w_top = Window.orderBy(F.desc("diff"), F.asc(key))
     w_bot = Window.orderBy(F.asc("diff"), F.desc(key))
-    cols = [c for c in freq.columns if c != "rank"]
+    cols = [c for c in freq.columns if c not in ("rank", "no_reorder_pct", "reordered_pct")]
     return (top.select(*cols, F.lit("top").alias("side"), F.row_number().over(w_top).cast("int").alias("pos"))
             .unionByName(bottom.select(*cols, F.lit("bottom").alias("side"),
                                        F.row_number().over(w_bot).cast("int").alias("pos"))))

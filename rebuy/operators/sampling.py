@@ -70,18 +70,24 @@ class Holdout:
     """
 
     def __init__(self, orders: DataFrame, current_lines: DataFrame, prior_lines: DataFrame,
-                 n_total: int, n_subset: int, n_extra_users: int, seed: int = 42):
+                 n_total: int, n_subset: int, n_extra_users: int, seed: int = 42,
+                 mode: str = "checkpoint"):
+        from rebuy.plans.stash import stash
         self.orders = filter_not_test(orders)
         recent_ids = distinct_ids(current_lines, "order_id")
-        self.sample_ids = exact_sample(recent_ids, ["order_id"], n_total, f"{seed}")
-        self.subset_ids = exact_sample(self.sample_ids, ["order_id"], n_subset, f"{seed}/subset")
+        # The id samples hold n rows by construction: materialise them once
+        # so every split below reads them instead of re-deriving them.
+        self.sample_ids = stash(exact_sample(recent_ids, ["order_id"], n_total, f"{seed}"), mode)
+        self.subset_ids = stash(exact_sample(self.sample_ids, ["order_id"], n_subset,
+                                             f"{seed}/subset"), mode)
         self.holdout_ids = self.sample_ids.join(self.subset_ids, "order_id", "left_anti")
         self.test_lines = current_lines.join(self.holdout_ids, "order_id", "left_semi")
         self.train_lines = current_lines.join(self.holdout_ids, "order_id", "left_anti")
         self.subset_lines = current_lines.join(self.subset_ids, "order_id", "left_semi")
         user_ids = distinct_ids(self.orders, "user_id")
         self.subset_user_ids = self.orders.join(self.subset_ids, "order_id", "left_semi").select("user_id")
-        self.extra_user_ids = exact_sample(user_ids, ["user_id"], n_extra_users, f"{seed}/users")
+        self.extra_user_ids = stash(exact_sample(user_ids, ["user_id"], n_extra_users,
+                                                 f"{seed}/users"), mode)
         self.all_user_ids = self.extra_user_ids.union(self.subset_user_ids).distinct()
         prior_order_ids = self.orders.join(self.all_user_ids, "user_id", "left_semi").select("order_id")
         self.subset_prior_lines = prior_lines.join(prior_order_ids, "order_id", "left_semi")

@@ -472,7 +472,8 @@ SQL: dict[str, str] = {
         UNION ALL SELECT fold, 'f1', round(threshold, 6), round(f1, 6) FROM ff1"""),
     "eda_dept_freq": with_adapter(*_eda("department_id", "b_departments", "department"), select="""
         SELECT department_id, department, round(no_reorder, 6) AS no_reorder, round(reordered, 6) AS reordered,
-               round(diff, 6) AS diff, rank FROM efreq"""),
+               round(diff, 6) AS diff, rank, round(no_reorder * 100, 6) AS no_reorder_pct,
+               round(reordered * 100, 6) AS reordered_pct FROM efreq"""),
     "eda_aisle_top_bottom": with_adapter(*_eda("aisle_id", "b_aisles", "aisle"), select=_top_bottom(
         "efreq", "aisle_id", ["aisle_id", "aisle", "no_reorder", "reordered", "diff"])),
 }
