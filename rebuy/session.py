@@ -21,9 +21,27 @@ JOB_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     "spark.sql.session.timeZone": "UTC",
+    # Checkpoint files of DataFrames that went out of scope are removed.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
+def cluster_conf(shuffle_bytes: int, total_cores: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a cluster run: enough initial shuffle partitions
+    that each holds about ``target_partition_bytes`` of the largest shuffle
+    (AQE coalesces the small ones afterwards), never fewer than 3 waves of
+    tasks; scans split at 256 MB."""
+    parts = max(3 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        **JOB_CONF,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "rebuy") -> SparkSession:
     builder = (
