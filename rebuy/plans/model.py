@@ -78,8 +78,10 @@ def gbt(n_estimators=100, max_depth=3, learning_rate=0.1, subsample=1.0, min_chi
 
 
 def logistic(C: float, n: int, l1: bool = False) -> LogisticRegression:
+    """sklearn ``LogisticRegression(C, penalty)`` defaults: 100 iterations,
+    tolerance 1e-4."""
     return LogisticRegression(regParam=1.0 / (C * n), elasticNetParam=1.0 if l1 else 0.0,
-                              standardization=False, maxIter=100)
+                              standardization=False, maxIter=100, tol=1e-4)
 
 
 def random_forest(max_depth: int, n_trees: int = RF_TREES, min_leaf: int = RF_MIN_LEAF,
