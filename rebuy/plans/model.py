@@ -194,6 +194,10 @@ def cross_validate(df: DataFrame, make_estimator, features: list[str] | None = N
         valid = valid.unionByName(p)
     for p in train_parts[1:]:
         train = train.unionByName(p)
+    # Several metric passes read the scores: score every row once.
+    from pyspark import StorageLevel
+    valid = valid.persist(StorageLevel.MEMORY_AND_DISK)
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     metrics = cv_fold_metrics(valid, train)
     return CVResult(metrics, ev.fold_summary(metrics), rounds)
 
