@@ -10,7 +10,7 @@ Sizes: the final model uses the reference's parameters unchanged (843
 trees).  Spark's boosted trees cost a few Spark jobs per tree, so the
 model-selection queries (5 user folds each) run the reference's machinery -
 same estimators, folds, early stopping - with a small tree budget
-(``SMOKE_GBT``: at most 40 trees, 10 rounds of patience) and a slice of its
+(``SMOKE_GBT``: at most 20 trees, 5 rounds of patience) and a slice of its
 grids; the reference's own settings are ``REFERENCE_GRIDS``,
 ``SELECTION_BASE`` and ``FINAL_CV`` and run through the same functions.
 """
@@ -44,9 +44,9 @@ FINAL_CV = dict(n_estimators=ml.EARLY_STOP_CAP, max_depth=6, learning_rate=0.01,
                 min_child_weight=1, colsample_bytree=0.7)
 GRID_SLICE = [dict(learning_rate=0.06, max_depth=4), dict(learning_rate=0.06, max_depth=6)]
 # Tree budget of the registered selection queries (see the module doc).
-SMOKE_GBT = dict(n_estimators=40, max_depth=4, learning_rate=0.06, subsample=0.5,
+SMOKE_GBT = dict(n_estimators=20, max_depth=4, learning_rate=0.06, subsample=0.5,
                  min_child_weight=1, colsample_bytree=0.3)
-SMOKE_PATIENCE = 10
+SMOKE_PATIENCE = 5
 RF_DEPTHS = [30]          # 30..50 all cap at Spark's maximum depth 30
 
 _FINAL: dict = {}
@@ -115,8 +115,8 @@ def q_gbt_early_stop(spark, sf):
     df = selection_table(spark, sf)
     d, inputs = ml.prepare(df, ml.feature_columns(df))
     _, best_n, losses = ml.fit_early_stopped(d.filter(F.col("fold") != 0), d.filter(F.col("fold") == 0),
-                                             inputs, {**FINAL_CV, "n_estimators": 200},
-                                             patience=SMOKE_PATIENCE, first_cap=200)
+                                             inputs, {**FINAL_CV, "n_estimators": 100},
+                                             patience=SMOKE_PATIENCE, first_cap=100)
     rows = [(i + 1, float(v), i + 1 == best_n) for i, v in enumerate(losses)]
     return finish(spark.createDataFrame(rows, "n_trees int, validation_logloss double, best boolean"))
 
