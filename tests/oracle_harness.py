@@ -40,6 +40,18 @@ def rows_of(records, cols):
     return sorted(tuple(_norm(r[c]) for c in cols) for r in records)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "smallint": "SMALLINT", "float": "FLOAT", "date": "DATE"}
+
+
+def type_mismatches(spark_df, rel) -> list[str]:
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in spark_df.schema.fields}
+    d_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    return [f"{c}: spark {s_types[c]} duck {d_types.get(c)}" for c in s_types
+            if c in d_types and s_types[c] != d_types[c]]
+
+
 def compare(spark_df, sql: str, con) -> tuple[bool, str]:
     s_cols = spark_df.columns
     s_rows = [r.asDict() for r in spark_df.collect()]
@@ -48,6 +60,9 @@ def compare(spark_df, sql: str, con) -> tuple[bool, str]:
     d_rows = [dict(zip(d_cols, r)) for r in rel.fetchall()]
     if sorted(s_cols) != sorted(d_cols):
         return False, f"columns differ: spark={sorted(s_cols)} duck={sorted(d_cols)}"
+    bad_types = type_mismatches(spark_df, rel)
+    if bad_types:
+        return False, f"types differ: {bad_types}"
     if len(s_rows) != len(d_rows):
         return False, f"row count spark={len(s_rows)} duck={len(d_rows)}"
     cols = sorted(s_cols)
