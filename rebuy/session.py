@@ -23,6 +23,12 @@ JOB_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # Checkpoint files of DataFrames that went out of scope are removed.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Iterative ML runs thousands of short jobs; a small status history keeps
+    # the driver's bookkeeping (and memory) flat instead of growing per job.
+    "spark.ui.retainedJobs": "100",
+    "spark.ui.retainedStages": "100",
+    "spark.ui.retainedTasks": "2000",
+    "spark.sql.ui.retainedExecutions": "50",
 }
 
 
