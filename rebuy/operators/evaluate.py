@@ -9,6 +9,7 @@ groups in one pass.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,6 +67,9 @@ def curve_counts(df: DataFrame, label: str, score: str, keys: list[str] = (),
          .groupBy(*keys, F.col(score).cast("double").alias("threshold"))
          .agg(F.sum(F.when(y == 1, 1).otherwise(0)).cast("bigint").alias("pos"),
               F.sum(F.when(y == 0, 1).otherwise(0)).cast("bigint").alias("neg")))
+    # The distinct-score table is read by the block split, the running sums
+    # and the totals: aggregate the scores once.
+    g = g.persist(StorageLevel.MEMORY_AND_DISK)
     g = running_sum_by_value(g, keys, "threshold", {"pos": "tps", "neg": "fps"},
                              descending=True, rows_per_block=rows_per_block)
     if keys:
