@@ -62,8 +62,10 @@ def bin_map(counts: DataFrame, key: str, rule: str, out_col: str) -> DataFrame:
 
 def apply_bin_map(df: DataFrame, bmap: DataFrame, key: str, out_col: str,
                   drop_key: bool = True) -> DataFrame:
-    """Dictionary lookup, unseen key -> NULL."""
-    out = df.join(bmap.select(key, out_col), key, "left")
+    """Dictionary lookup, unseen key -> NULL (the map has one row
+    per category; broadcast after a size check)."""
+    from rebuy.operators.joins import join_small
+    out = join_small(df, bmap.select(key, out_col), key, "left")
     return out.drop(key) if drop_key else out
 
 

@@ -1,0 +1,27 @@
+"""Size-checked broadcast joins.
+
+A side is broadcast only after its row count has been measured under a
+bound; above the bound the ordinary shuffle join is used.  Dimension-like
+tables (one row per product, per department, per bin) are measured with a
+cheap count of the already-aggregated table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of a broadcast side: a 500k-row table of ~20 numeric columns is well
+# under the few hundred MB a broadcast may take per executor.
+MAX_BROADCAST_ROWS = 500_000
+
+
+def join_small(left: DataFrame, right: DataFrame, on, how: str = "left",
+               max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``left.join(right, on, how)`` broadcasting ``right`` when its counted
+    size is at most ``max_rows`` (the build side must be ``right``: inner,
+    left, left_semi, left_anti joins)."""
+    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+        return left.join(right, on, how)
+    n = right.count()
+    return left.join(F.broadcast(right) if n <= max_rows else right, on, how)

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from rebuy.operators import features as fe
 from rebuy.operators import orders as od
 from rebuy.operators.binning import SupervisedBinner, SupervisedBinnerModel
+from rebuy.operators.joins import join_small
 from rebuy.plans.stash import stash
 
 KEYS = ["user_id", "product_id"]
@@ -165,9 +166,12 @@ def feature_table(orders: DataFrame, prior_lines: DataFrame, current_lines: Data
     cand = stash(candidate_rows(orders, current_lines, prior), mode)
     if bins is None:
         bins = fit_bins(cand, products, with_hour=notebook, mode=mode)
-    out = cand.join(product_table(prior, products, bins), "product_id", "left")
+    # One row per product: broadcast when its measured size allows, so the
+    # candidate rows are not shuffled again by product.
+    out = join_small(cand, product_table(prior, products, bins), "product_id", "left")
     if notebook:
-        out = bins.hour._transform(out, drop_key=True)
+        out = join_small(out, bins.hour.mapping.select("order_hour_of_day", "current_order_hod"),
+                         "order_hour_of_day", "left").drop("order_hour_of_day")
     cols = NOTEBOOK_FEATURES if notebook else FEATURES
     return out.select("user_id", "product_id", LABEL, *cols), bins
 
