@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rebuy.functions.columns import hash_fold, md5_key
+from rebuy.operators.joins import join_small
 from rebuy.operators.orders import filter_not_test
 
 N_BUCKETS = 65536  # 16 bits of the hash
@@ -80,16 +81,20 @@ class Holdout:
         self.sample_ids = stash(exact_sample(recent_ids, ["order_id"], n_total, f"{seed}"), mode)
         self.subset_ids = stash(exact_sample(self.sample_ids, ["order_id"], n_subset,
                                              f"{seed}/subset"), mode)
-        self.holdout_ids = self.sample_ids.join(self.subset_ids, "order_id", "left_anti")
-        self.test_lines = current_lines.join(self.holdout_ids, "order_id", "left_semi")
-        self.train_lines = current_lines.join(self.holdout_ids, "order_id", "left_anti")
-        self.subset_lines = current_lines.join(self.subset_ids, "order_id", "left_semi")
+        self.holdout_ids = join_small(self.sample_ids, self.subset_ids, "order_id", "left_anti")
+        # Id sets hold at most n_total / n_subset / n_extra_users rows: they
+        # are broadcast (after a size check) into the line and order scans.
+        self.test_lines = join_small(current_lines, self.holdout_ids, "order_id", "left_semi")
+        self.train_lines = join_small(current_lines, self.holdout_ids, "order_id", "left_anti")
+        self.subset_lines = join_small(current_lines, self.subset_ids, "order_id", "left_semi")
         user_ids = distinct_ids(self.orders, "user_id")
-        self.subset_user_ids = self.orders.join(self.subset_ids, "order_id", "left_semi").select("user_id")
+        self.subset_user_ids = join_small(self.orders, self.subset_ids, "order_id",
+                                          "left_semi").select("user_id")
         self.extra_user_ids = stash(exact_sample(user_ids, ["user_id"], n_extra_users,
                                                  f"{seed}/users"), mode)
         self.all_user_ids = self.extra_user_ids.union(self.subset_user_ids).distinct()
-        prior_order_ids = self.orders.join(self.all_user_ids, "user_id", "left_semi").select("order_id")
+        prior_order_ids = join_small(self.orders, self.all_user_ids, "user_id",
+                                     "left_semi").select("order_id")
         self.subset_prior_lines = prior_lines.join(prior_order_ids, "order_id", "left_semi")
 
     def write(self, path: str) -> None:
