@@ -1,17 +1,23 @@
 """the per-(user, product) feature table.
 
-Plan shape (one Spark job graph, no Python on the rows):
+Plan shape (no Python on the rows; [C] = checkpointed once, reused by
+every branch and by the train and test sides):
 
-  prior lines --groupBy(order_id)--> order stats --join orders--> order table
+  prior lines --groupBy(order_id)--> order stats --join orders--> order table [C]
   order table --blocked running sum per user--> cumulative days (W2/W3)
-  prior lines --join(order_id)--> details --groupBy(user, product)--> user-product table
-  order table --groupBy(user)--> user table
-  prior lines --groupBy(product)--> product table (+ bins, per product)
-  user-product table --left join labels (user, product)--> --join current orders (user)-->
-      --join user table (user, co-partitioned)--> --join product table (product)--> rows
-
-Train and test (holdout) rows share every prior aggregate; bins are fitted
-on the train rows only and applied to both.
+  prior lines --join(order_id) order table + days--> details
+  details --groupBy(user, product)--> user-product table [C]
+  order table --groupBy(user)--> user table [C]
+  prior lines --groupBy(product)--> product features [C]
+  user-product --left join labels (user, product)--> --join current orders (user)-->
+      --left join user table (user, co-partitioned)--> candidate rows [C]
+  candidate rows --groupBy(product, label)--> bin fit (product-sized) [C]
+  candidate rows --broadcast join (size-checked) per-product features + bins--> rows
+
+Shuffles of line-sized data: the lines by order_id (to meet their order),
+the details by (user, product) after partial aggregation, and the
+candidates by user.  Bins are fitted on the train rows only and applied to
+both sides.
 """
 
 from __future__ import annotations
