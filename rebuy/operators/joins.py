@@ -17,11 +17,13 @@ MAX_BROADCAST_ROWS = 500_000
 
 
 def join_small(left: DataFrame, right: DataFrame, on, how: str = "left",
-               max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``left.join(right, on, how)`` broadcasting ``right`` when its counted
-    size is at most ``max_rows`` (the build side must be ``right``: inner,
-    left, left_semi, left_anti joins)."""
+               max_rows: int = MAX_BROADCAST_ROWS, bound: int | None = None) -> DataFrame:
+    """``left.join(right, on, how)`` broadcasting ``right`` when its size is
+    at most ``max_rows`` (the build side must be ``right``: inner, left,
+    left_semi, left_anti joins).  ``bound`` is a row bound known by
+    construction (an exact sample of n rows); without one the rows are
+    counted first."""
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         return left.join(right, on, how)
-    n = right.count()
+    n = bound if bound is not None else right.count()
     return left.join(F.broadcast(right) if n <= max_rows else right, on, how)

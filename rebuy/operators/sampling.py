@@ -81,20 +81,25 @@ class Holdout:
         self.sample_ids = stash(exact_sample(recent_ids, ["order_id"], n_total, f"{seed}"), mode)
         self.subset_ids = stash(exact_sample(self.sample_ids, ["order_id"], n_subset,
                                              f"{seed}/subset"), mode)
-        self.holdout_ids = join_small(self.sample_ids, self.subset_ids, "order_id", "left_anti")
-        # Id sets hold at most n_total / n_subset / n_extra_users rows: they
-        # are broadcast (after a size check) into the line and order scans.
-        self.test_lines = join_small(current_lines, self.holdout_ids, "order_id", "left_semi")
-        self.train_lines = join_small(current_lines, self.holdout_ids, "order_id", "left_anti")
-        self.subset_lines = join_small(current_lines, self.subset_ids, "order_id", "left_semi")
+        self.holdout_ids = join_small(self.sample_ids, self.subset_ids, "order_id", "left_anti",
+                                      bound=n_subset)
+        # Id sets hold at most n_total / n_subset / n_extra_users rows by
+        # construction: below the broadcast limit they are broadcast into
+        # the line and order scans instead of shuffling those.
+        self.test_lines = join_small(current_lines, self.holdout_ids, "order_id", "left_semi",
+                                     bound=n_total)
+        self.train_lines = join_small(current_lines, self.holdout_ids, "order_id", "left_anti",
+                                      bound=n_total)
+        self.subset_lines = join_small(current_lines, self.subset_ids, "order_id", "left_semi",
+                                       bound=n_subset)
         user_ids = distinct_ids(self.orders, "user_id")
         self.subset_user_ids = join_small(self.orders, self.subset_ids, "order_id",
-                                          "left_semi").select("user_id")
+                                          "left_semi", bound=n_subset).select("user_id")
         self.extra_user_ids = stash(exact_sample(user_ids, ["user_id"], n_extra_users,
                                                  f"{seed}/users"), mode)
         self.all_user_ids = self.extra_user_ids.union(self.subset_user_ids).distinct()
-        prior_order_ids = join_small(self.orders, self.all_user_ids, "user_id",
-                                     "left_semi").select("order_id")
+        prior_order_ids = join_small(self.orders, self.all_user_ids, "user_id", "left_semi",
+                                     bound=n_subset + n_extra_users).select("order_id")
         self.subset_prior_lines = prior_lines.join(prior_order_ids, "order_id", "left_semi")
 
     def write(self, path: str) -> None:
