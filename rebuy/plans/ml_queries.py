@@ -17,8 +17,6 @@ grids; the reference's own settings are ``REFERENCE_GRIDS``,
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -100,13 +98,10 @@ def q_feature_importance(spark, sf):
 def q_standardized(spark, sf):
     """M2: scaler fitted on the training folds, applied to fold 0."""
     df = selection_table(spark, sf)
-    feats = [c for c in ml.feature_columns(df)]
-    d, inputs = ml.prepare(df, feats)
-    d = VectorAssembler(inputCols=inputs, outputCol="raw").transform(d)
-    scaler = StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True)
-    m = scaler.fit(d.filter(F.col("fold") != 0))
-    return m.transform(d.filter(F.col("fold") == 0)).select(
-        "user_id", "product_id", vector_to_array("scaled").alias("scaled"))
+    d, inputs = ml.prepare(df, ml.feature_columns(df))
+    m = ml.PopulationScaler(inputs).fit(d.filter(F.col("fold") != 0))
+    out = m.transform(d.filter(F.col("fold") == 0))
+    return finish(out.select("user_id", "product_id", F.array(*inputs).alias("scaled")))
 
 
 @query("gbt_early_stop")

@@ -21,10 +21,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,11 +91,41 @@ def random_forest(max_depth: int, n_trees: int = RF_TREES, min_leaf: int = RF_MI
                                   seed=seed)
 
 
+class PopulationScaler(Estimator):
+    """M2: centre and divide by the population standard deviation (ddof 0,
+    the reference's scaler; Spark's StandardScaler divides by the sample
+    one).  A zero spread leaves the centred column unscaled.  Fitting is one
+    aggregate row (two numbers per column)."""
+
+    def __init__(self, inputCols: list[str]):
+        super().__init__()
+        self.inputCols = list(inputCols)
+
+    def _fit(self, dataset: DataFrame) -> "PopulationScalerModel":
+        aggs = []
+        for i, c in enumerate(self.inputCols):
+            aggs += [F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}")]
+        row = dataset.agg(*aggs).first()
+        stats = [(float(row[f"m{i}"] or 0.0), float(row[f"s{i}"] or 0.0))
+                 for i in range(len(self.inputCols))]
+        return PopulationScalerModel(self.inputCols, stats)
+
+
+class PopulationScalerModel(Model):
+    def __init__(self, inputCols: list[str], stats: list[tuple[float, float]]):
+        super().__init__()
+        self.inputCols, self.stats = inputCols, stats
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return dataset.withColumns({
+            c: (F.col(c) - F.lit(m)) / F.lit(s if s > 0 else 1.0)
+            for c, (m, s) in zip(self.inputCols, self.stats)})
+
+
 def make_pipeline(estimator, inputs: list[str], scale: bool = False) -> Pipeline:
-    stages = [VectorAssembler(inputCols=inputs, outputCol="raw" if scale else "features")]
-    if scale:
-        # M2: fitted on the training rows only (inside the pipeline).
-        stages.append(StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True))
+    # M2: the scaler is fitted on the training rows only (inside the pipeline).
+    stages = [PopulationScaler(inputs)] if scale else []
+    stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
     return Pipeline(stages=stages + [estimator])
 
 

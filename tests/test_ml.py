@@ -68,3 +68,14 @@ def test_toy_feature_table_trains(spark, toy):
     ft, _ = feature_table(toy.orders, toy.prior, toy.train, toy.products, mode="none")
     model, feats = ml.fit_final(ft, n_estimators=3, max_depth=2)
     assert ml.holdout_scores(model, feats, ft).count() == 4
+
+
+def test_population_scaler_matches_ddof0(spark):
+    import statistics
+    xs = [1.0, 2.0, 4.0, 7.0]
+    d = spark.createDataFrame([(x, 5.0) for x in xs], "a double, b double")
+    m = ml.PopulationScaler(["a", "b"]).fit(d)
+    got = [r.a for r in m.transform(d).collect()]
+    mu, sd = statistics.fmean(xs), statistics.pstdev(xs)
+    assert got == pytest.approx([(x - mu) / sd for x in xs])
+    assert {r.b for r in m.transform(d).collect()} == {0.0}      # zero spread: centred only
