@@ -43,6 +43,30 @@ def exact_sample(df: DataFrame, id_cols: list[str], n: int, salt: str) -> DataFr
     return whole.unionByName(edge).drop("_k", "_b")
 
 
+def hash_rank(df: DataFrame, id_cols: list[str], salt: str, out: str = "hash_rank") -> DataFrame:
+    """1-based position of each row in md5(ids#salt) order (ties by ids),
+    without a global sort: bucket offsets come from the <= 65,536 bucket
+    counts (broadcast: bounded by construction), the position inside a
+    bucket from a window over that bucket only (about rows / 65,536)."""
+    d = (df.withColumn("_k", md5_key(*id_cols, seed=salt))
+         .withColumn("_b", F.conv(F.substring("_k", 1, 4), 16, 10).cast("int")))
+    counts = d.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    offs = counts.select("_b", F.coalesce(
+        F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0)).alias("_off"))
+    inner = F.row_number().over(Window.partitionBy("_b").orderBy("_k", *id_cols))
+    return (d.join(F.broadcast(offs), "_b")
+            .withColumn(out, (F.col("_off") + inner).cast("bigint"))
+            .drop("_k", "_b", "_off"))
+
+
+def user_folds_balanced(df: DataFrame, k: int = 5, salt: str = "42") -> DataFrame:
+    """X7, exact variant: users dealt round-robin in hash order, so fold
+    sizes differ by at most one."""
+    r = hash_rank(distinct_ids(df, "user_id"), ["user_id"], salt)
+    return r.select("user_id", ((F.col("hash_rank") - 1) % k).cast("int").alias("fold"))
+
+
 def distinct_ids(df: DataFrame, col: str) -> DataFrame:
     """``Series.unique()``."""
     return df.select(col).distinct()

@@ -431,6 +431,10 @@ SQL: dict[str, str] = {
         SELECT * FROM b_prior WHERE order_id IN
           (SELECT order_id FROM ont WHERE user_id IN (SELECT user_id FROM allu))"""),
     "user_folds": with_adapter(*CANDIDATES, select=f"SELECT user_id, {FOLD_HASH} AS fold FROM (SELECT DISTINCT user_id FROM cand) u"),
+    "user_folds_balanced": with_adapter(*CANDIDATES, select=f"""
+        SELECT user_id, CAST((row_number() OVER (ORDER BY {_md5(['user_id'], '42')}, user_id) - 1) % 5 AS INTEGER)
+                 AS fold
+        FROM (SELECT DISTINCT user_id FROM cand) u"""),
     "sample_rows": with_adapter(*SAMPLE_ROWS, select="SELECT * FROM srows"),
     "eda_inner": with_adapter(*SAMPLE_ROWS, select="""
         SELECT s.product_id, s.order_id, s.add_to_cart_order, s.reordered, p.product_name, p.aisle_id, p.department_id

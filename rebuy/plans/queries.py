@@ -444,6 +444,11 @@ def q_user_folds(spark, sf):
     return sp.user_folds(candidates(tables(spark, sf)).select("user_id"), K_FOLDS, FOLD_SALT)
 
 
+@query("user_folds_balanced")
+def q_user_folds_balanced(spark, sf):
+    return sp.user_folds_balanced(candidates(tables(spark, sf)).select("user_id"), K_FOLDS, FOLD_SALT)
+
+
 @query("sample_rows")
 def q_sample_rows(spark, sf):
     """An exact-size line sample of the current order lines."""

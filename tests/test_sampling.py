@@ -36,3 +36,14 @@ def test_folds_partition_users(spark, toy):
     assert len(rows) == toy.orders.select("user_id").distinct().count()
     assert all(0 <= r.fold < 5 for r in rows)
     assert f.groupBy("user_id").count().filter(F.col("count") > 1).count() == 0
+
+
+def test_hash_rank_and_balanced_folds(spark):
+    from rebuy.operators.sampling import hash_rank, user_folds_balanced
+    ids = list(range(1, 2000, 7))
+    d = spark.createDataFrame([(i,) for i in ids], "user_id long")
+    order = sorted(ids, key=lambda i: (hashlib.md5(f"{i}#42".encode()).hexdigest(), i))
+    got = {r.user_id: r.hash_rank for r in hash_rank(d, ["user_id"], "42").collect()}
+    assert got == {u: p + 1 for p, u in enumerate(order)}
+    sizes = [r["count"] for r in user_folds_balanced(d, 5).groupBy("fold").count().collect()]
+    assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
