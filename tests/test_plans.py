@@ -30,3 +30,18 @@ def test_no_unpartitioned_window_on_lines(spark):
         if re.search(r"\bWindow \[", line):
             # every window is partitioned (a block or key partition spec)
             assert re.search(r"\], \[[^\]]+\], \[", line), line
+
+
+def test_join_small_broadcasts_only_under_bound(spark):
+    from rebuy.operators.joins import join_small
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        yes = join_small(big, small, "k", "left", max_rows=100)
+        no = join_small(big, small, "k", "left", max_rows=5)
+        assert "BroadcastHashJoin" in yes._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in no._jdf.queryExecution().executedPlan().toString()
+        assert yes.count() == no.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
