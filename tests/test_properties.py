@@ -35,3 +35,20 @@ def test_auc_is_pair_probability(spark, rows):
     d = spark.createDataFrame([(y, s / 20.0) for y, s in rows], "y int, p double")
     got = ev.auc(ev.curve_counts(d, "y", "p", rows_per_block=5)).first().auc
     assert abs(got - want) < 1e-12
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(-5, 9))),
+                     min_size=1, max_size=120),
+       block=st.integers(1, 9), descending=st.booleans())
+def test_blocked_running_sum_equals_window(spark, rows, block, descending):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from rebuy.operators.prefix_sum import running_sum_by_number
+    data = [(u, i + 1, None if v is None else float(v)) for i, (u, v) in enumerate(rows)]
+    d = spark.createDataFrame(data, "u int, k int, v double")
+    o = F.desc("k") if descending else F.asc("k")
+    w = Window.partitionBy("u").orderBy(o).rowsBetween(Window.unboundedPreceding, 0)
+    want = {(r.u, r.k): r.s for r in d.withColumn("s", F.sum("v").over(w)).collect()}
+    got = running_sum_by_number(d, ["u"], "k", {"v": "s"}, descending=descending, block_size=block)
+    assert {(r.u, r.k): r.s for r in got.collect()} == want
