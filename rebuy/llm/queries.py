@@ -22,3 +22,15 @@ def query(fn: Query) -> Query:
 def op3_simhash_dedup(spark, sf_dir):
     from rebuy.llm.simhash import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_suffix_dedup(spark, sf_dir):
+    from rebuy.llm.lpf import dedup
+    return dedup(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_substring_dedup(spark, sf_dir):
+    from rebuy.llm.rlz import dedup
+    return dedup(table(spark, sf_dir, "documents"))
