@@ -3,19 +3,24 @@ whole table and name the columns of its result."""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rebuy.llm.shared import table
+from rebuy.llm.shared import on_workers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    REGISTRY[fn.__name__] = fn
-    return fn
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        on_workers(spark)
+        return fn(spark, sf_dir)
+    REGISTRY[fn.__name__] = run
+    return run
 
 
 @query

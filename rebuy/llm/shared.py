@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,17 @@ from pyspark.sql import functions as F
 from rebuy.session import scratch_path
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did
+    (a cluster that has it installed needs nothing)."""
+    env = spark.sparkContext.environment
+    if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, env.get("PYTHONPATH", "")]))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared ``spark.checkpoint.dir`` and
     read it back: lineage is cut, any executor can be lost afterwards, and
