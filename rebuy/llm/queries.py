@@ -39,3 +39,16 @@ def op6_suffix_dedup(spark, sf_dir):
 def op10_substring_dedup(spark, sf_dir):
     from rebuy.llm.rlz import dedup
     return dedup(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_ann_multiprobe(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from rebuy.llm.ann import nearest
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op7_embedding_dedup(spark, sf_dir):
+    from rebuy.llm.embed_dedup import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
