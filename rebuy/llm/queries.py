@@ -52,3 +52,15 @@ def op4_ann_multiprobe(spark, sf_dir):
 def op7_embedding_dedup(spark, sf_dir):
     from rebuy.llm.embed_dedup import near_duplicates
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op8_language_id(spark, sf_dir):
+    from rebuy.llm.langid import identify
+    return identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_quality_compression(spark, sf_dir):
+    from rebuy.llm.quality import classify
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
