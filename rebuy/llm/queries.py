@@ -64,3 +64,9 @@ def op8_language_id(spark, sf_dir):
 def op1_quality_compression(spark, sf_dir):
     from rebuy.llm.quality import classify
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op2_pii_feistel(spark, sf_dir):
+    from rebuy.llm.pii import pseudonymise
+    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
