@@ -70,3 +70,9 @@ def op1_quality_compression(spark, sf_dir):
 def op2_pii_feistel(spark, sf_dir):
     from rebuy.llm.pii import pseudonymise
     return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op9_source_mixing(spark, sf_dir):
+    from rebuy.llm.mixing import mix
+    return mix(table(spark, sf_dir, "documents"))
