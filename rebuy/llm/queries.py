@@ -76,3 +76,13 @@ def op2_pii_feistel(spark, sf_dir):
 def op9_source_mixing(spark, sf_dir):
     from rebuy.llm.mixing import mix
     return mix(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_sentencepiece(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from rebuy.llm.spiece import decode, encode
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = decode(encode(docs))
+    return back.select("doc_id", F.size("ids").alias("n_tokens"), "ids",
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
