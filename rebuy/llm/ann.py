@@ -32,7 +32,7 @@ TABLES = 2
 HASHES = 4
 WIDTH = 1.5
 SHARE = 0.78            # of a query's neighbours that one table should find
-SAMPLE_ROWS = 2048
+SAMPLE_ROWS = 8192
 SAMPLE_BYTES = 1 << 24  # the sample is smaller where vectors are very long
 TILE_ROWS = 4096
 RARE = 0.005            # slots less likely than this are not probed
@@ -138,9 +138,14 @@ def _one_dimension(rows: DataFrame, asks: DataFrame, dim: int, top: int, tables:
             i, j = i[fresh], j[fresh]
             s = np.concatenate([inner(q[i[p:p + 65536]], x[j[p:p + 65536]]) for p in range(0, len(i), 65536)] or [[]])
             o = _best(i, ids[j], s, top)
-            out.append((own[i[o]], ids[j[o]], s[o]))
-        cols = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 2 + [np.empty(0)]
-        return pa.table({"query_id": cols[0], "vec_id": cols[1], "score": cols[2].astype(np.float64)})
+            out.append((i[o], ids[j[o]], s[o]))
+        i, found, scores = ([np.concatenate(c) for c in zip(*out)] if out else
+                            [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)])
+        asker, begin = np.unique(i, return_index=True)      # sorted by query: one row each
+        cuts = pa.array(np.append(begin, len(i)).astype(np.int32))
+        return pa.table({"query_id": pa.array(own[asker]),
+                         "found": pa.ListArray.from_arrays(cuts, pa.array(found)),
+                         "scores": pa.ListArray.from_arrays(cuts, pa.array(scores.astype(np.float64)))})
 
     indexed = rows.select("vec_id", "embedding").mapInArrow(index, f"t int, bucket long, vec_id long, embedding {kind}")
     asked = stored(asks.select("vec_id", "embedding").mapInArrow(
@@ -161,10 +166,10 @@ def _one_dimension(rows: DataFrame, asks: DataFrame, dim: int, top: int, tables:
              .withColumn("xi", span("xs")).drop("xs", "qs"))
     group = ["t", "bucket", "xi", "qi"]
     met = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(
-        rank, "query_id long, vec_id long, score double")
-    sampled = (asked.select("query_id", F.explode(F.arrays_zip("found", "scores")).alias("r"))
-               .select("query_id", F.col("r.found").alias("vec_id"), F.col("r.scores").alias("score")))
-    return met.unionByName(sampled)
+        rank, "query_id long, found array<long>, scores array<double>")
+    return (met.unionByName(asked.select("query_id", "found", "scores"))
+            .select("query_id", F.explode(F.arrays_zip("found", "scores")).alias("r"))
+            .select("query_id", F.col("r.found").alias("vec_id"), F.col("r.scores").alias("score")))
 
 
 def nearest(vectors: DataFrame, is_query, top: int = TOP, tables: int = TABLES, hashes: int = HASHES,
