@@ -13,10 +13,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rebuy.llm.heldout import is_held_out, labelled_sample
+from rebuy.llm.shared import slices
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -186,6 +187,20 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS, train_windows: int = TRAI
     return model
 
 
+def _judge(model: ByteCNN | None, tables, texts: list[bytes], lettered: np.ndarray) -> tuple[list[str], np.ndarray]:
+    names, scores = ["und"] * len(texts), np.zeros(len(texts))
+    todo = np.nonzero(lettered)[0] if model else np.empty(0, np.int64)
+    if len(todo):
+        p = text_scores(model, tables, [texts[i] for i in todo])
+        for i, k, s in zip(todo.tolist(), p.argmax(axis=1).tolist(), p.max(axis=1).tolist()):
+            names[i], scores[i] = model.langs[k], min(1.0, s)
+    return names, scores
+
+
+def _lettered() -> Column:
+    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+
+
 def predict(docs: DataFrame, model: ByteCNN | None) -> DataFrame:
     """doc_id, lang_pred, score for every row of ``docs`` (doc_id, text).
 
@@ -196,24 +211,37 @@ def predict(docs: DataFrame, model: ByteCNN | None) -> DataFrame:
     def run(batches):
         model = ctx.value
         tables = model.pairs() if model else None
-        for b in batches:
+        for b in slices(batches):
             texts = [t.as_py() for t in b.column("text").cast(pa.large_binary())]
-            lettered = b.column("lettered").to_numpy(zero_copy_only=False)
-            names, scores = ["und"] * len(texts), np.zeros(len(texts))
-            todo = np.nonzero(lettered)[0] if model else []
-            if len(todo):
-                p = text_scores(model, tables, [texts[i] for i in todo])
-                best = p.argmax(axis=1)
-                for i, k, s in zip(todo.tolist(), best.tolist(), p.max(axis=1).tolist()):
-                    names[i], scores[i] = model.langs[k], min(1.0, s)
+            names, scores = _judge(model, tables, texts, b.column("lettered").to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(names), pa.array(scores)], ["doc_id", "lang_pred", "score"])
+                [b.column("doc_id"), pa.array(names, pa.string()), pa.array(scores)], ["doc_id", "lang_pred", "score"])
 
-    return (docs.select(F.col("doc_id").cast("long"), "text",
-                        F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
+    return (docs.select(F.col("doc_id").cast("long"), "text", _lettered().alias("lettered"))
             .mapInArrow(run, "doc_id long, lang_pred string, score double"))
 
 
+def accepted(docs: DataFrame, model: ByteCNN | None, least_score: float) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text has a language
+    with at least ``least_score``."""
+    ctx = docs.sparkSession.sparkContext.broadcast(model)
+    cols = docs.columns
+    flag = "_lettered"
+    while flag in cols:
+        flag += "_"
+
+    def run(batches):
+        model = ctx.value
+        tables = model.pairs() if model else None
+        for b in slices(batches):
+            texts = [t.as_py() for t in b.column("text").cast(pa.large_binary())]
+            names, scores = _judge(model, tables, texts, b.column(flag).to_numpy(zero_copy_only=False))
+            keep = (np.array(names) != "und") & (scores >= least_score)
+            yield b.select(cols).filter(pa.array(keep))
+
+    return docs.withColumn(flag, _lettered()).mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, lang; other columns are
     ignored): doc_id, held_out, lang_pred, score.  Learns as ``fit`` says.

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rebuy.llm.heldout import is_held_out, labelled_sample
+from rebuy.llm.shared import slices
 
 WINDOW = 512
 DICT_BYTES = 112640
@@ -133,7 +134,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     def run(batches):
         model = ctx.value
         tools = model.compressors() if model else None
-        for b in batches:
+        for b in slices(batches):
             texts = [t.as_py() or b"" for t in b.column("text").cast(pa.large_binary())]
             s = (model.score(np.array([model.features(t, tools) for t in texts]).reshape(-1, 2))
                  if model else np.full(len(texts), 0.5))

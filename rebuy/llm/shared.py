@@ -35,6 +35,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def slices(batches, most_bytes: int = 1 << 22):
+    """Arrow batches in slices of about ``most_bytes`` at most (a row is never
+    cut), so that what Python makes of them stays small."""
+    for b in batches:
+        rows = max(1, int(b.num_rows * most_bytes // max(1, b.nbytes)))
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def tiled(rows: DataFrame, keys: list[str], item: str, tile_rows: int) -> DataFrame:
     """Deal each group of ``keys`` into tiles of about ``tile_rows`` rows.
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rebuy.llm.components import components
-from rebuy.llm.shared import stored, tiled
+from rebuy.llm.shared import slices, stored, tiled
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -70,15 +70,18 @@ def fingerprint(data: bytes, n: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(2 * ones > total).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, text) -> (doc_id long, fp long): fp holds the 64 bits."""
+def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, carry: list[str] = []) -> DataFrame:
+    """(doc_id, text) -> (doc_id long, fp long, carried longs): fp holds the
+    64 bits."""
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             texts = b.column("text").cast(pa.large_binary())
             fps = [fingerprint(t.as_py() or b"", shingle_words) if t.is_valid else 0 for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc_id", "fp"])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+                [b.column("doc_id"), pa.array(np.array(fps, np.uint64).view(np.int64)), *map(b.column, carry)],
+                ["doc_id", "fp", *carry])
+    return (docs.select(F.col("doc_id").cast("long"), "text", *carry)
+            .mapInArrow(run, "doc_id long, fp long" + "".join(f", {c} long" for c in carry)))
 
 
 def _blocks(trees: int) -> list[int]:
@@ -183,6 +186,16 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, trees: int = TRE
             .groupBy("tree", "shard", "i", "j").applyInArrow(link, "a long, b long"))
 
 
+def _classes(heads: DataFrame, max_bits: int, trees: int, sample: int, shard_rows: int) -> DataFrame:
+    """(fp, head) of distinct fingerprints -> (fp, first): the least head of
+    the fingerprint's component."""
+    roots = components(fingerprint_links(heads, max_bits, trees, sample, shard_rows))
+    grouped = (heads.join(roots, heads.fp == roots.node, "left")
+               .select("fp", "head", F.coalesce("root", "fp").alias("root")))
+    least = grouped.groupBy("root").agg(F.min("head").alias("first"))
+    return grouped.join(least, "root").select("fp", "first")
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
                     trees: int = TREES, sample: int = SAMPLE, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored):
@@ -194,10 +207,24 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bit
     """
     printed = stored(fingerprints(docs, shingle_words), "fingerprints")
     heads = stored(printed.groupBy("fp").agg(F.min("doc_id").alias("head")), "distinct-fingerprints")
-    roots = components(fingerprint_links(heads, max_bits, trees, sample, shard_rows))
-    grouped = (heads.join(roots, heads.fp == roots.node, "left")
-               .select("fp", "head", F.coalesce("root", "fp").alias("root")))
-    least = grouped.groupBy("root").agg(F.min("head").alias("component_id"))
-    class_of = grouped.join(least, "root").select("fp", "component_id")
+    class_of = _classes(heads, max_bits, trees, sample, shard_rows)
     return (printed.join(class_of, "fp")
-            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                    F.col("first").alias("component_id")))
+
+
+def keep_first(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+               trees: int = TREES, sample: int = SAMPLE, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """One row of every component of near duplicates, with all columns of
+    ``docs``: the one of smallest doc_id (null last), then smallest row hash;
+    of fully equal rows, one."""
+    cols = docs.columns
+    row = F.xxhash64(*cols)
+    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row")
+    printed = stored(fingerprints(docs.select("doc_id", "text", row.alias("row")), shingle_words, ["row"]), "fingerprints")
+    heads = stored(printed.groupBy("fp").agg(F.min(place).alias("head")), "distinct-fingerprints")
+    firsts = (_classes(heads, max_bits, trees, sample, shard_rows)
+              .select(F.col("first.doc_id").alias("_doc"), F.col("first.row").alias("_first")).distinct())
+    kept = docs.withColumn("_row", row)
+    return (kept.join(firsts, (F.col("_row") == F.col("_first")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")), "left_semi")
+            .dropDuplicates(["_row", "doc_id"]).select(*cols))

@@ -26,10 +26,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rebuy.llm.shared import stored
+from rebuy.llm.shared import slices, stored
 
 SPACE = "▁"
 CHUNK_CHARS = 1 << 15
@@ -413,7 +413,7 @@ def _giant(rows: DataFrame, ctx, chunk_chars: int) -> DataFrame:
     """(doc_id, key, ids) of texts that take several chunks."""
     def cut(batches):
         v = ctx.value
-        for b in batches:
+        for b in slices(batches):
             for doc, key, text in zip(*(b.column(c).to_pylist() for c in ("doc_id", "key", "text"))):
                 s = v.normal(text)
                 n = -(-len(s) // chunk_chars)
@@ -429,7 +429,7 @@ def _giant(rows: DataFrame, ctx, chunk_chars: int) -> DataFrame:
 
     def transfer(batches):
         v = ctx.value
-        for b in batches:
+        for b in slices(batches):
             cols = [b.column(c).to_pylist() for c in ("a", "b", "s", "last")]
             ms = [v.matrix(s, x, y, last) for x, y, s, last in zip(*cols)]
             yield pa.RecordBatch.from_arrays(
@@ -445,7 +445,7 @@ def _giant(rows: DataFrame, ctx, chunk_chars: int) -> DataFrame:
 
     def walk(batches):
         v = ctx.value
-        for b in batches:
+        for b in slices(batches):
             out = []
             for x, y, s, last, i, o in zip(*(b.column(c).to_pylist() for c in ("a", "b", "s", "last", "enter", "leave"))):
                 enter = v.states(s, x)[i]
@@ -488,7 +488,7 @@ def encode(docs: DataFrame, model: bytes | None = None, chunk_chars: int = CHUNK
 
     def direct(batches):
         v = ctx.value
-        for b in batches:
+        for b in slices(batches):
             ids = [v.encode(t) if t else np.empty(0, np.int32) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
@@ -505,7 +505,7 @@ def decode(encoded: DataFrame, model: bytes | None = None) -> DataFrame:
 
     def run(batches):
         v = ctx.value
-        for b in batches:
+        for b in slices(batches):
             ids = b.column("ids")
             text = [v.decode(x.values.to_numpy(zero_copy_only=False).tolist()) if x.is_valid else None for x in ids]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(text, pa.string())], [*b.schema.names, "decoded"])
