@@ -101,7 +101,7 @@ def _dimension_links(reps: DataFrame, dim: int, cosine: float, recall: float, ti
         order = np.argsort(ids, kind="stable")
         tab = tab.take(pa.array(order))
         keys = matrix(tab.column("keys"), tables).astype(np.int32)
-        part = None if i == j else (tab.column("_part").to_numpy() == i)
+        part = None if i == j else (tab.column("part").to_numpy() == i)
         found, root = tile_links(ids[order], tab.column("copies").to_numpy(), matrix(tab.column("embedding"), dim),
                                  keys, t, part, cosine)
         hit = found > 0

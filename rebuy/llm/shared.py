@@ -51,12 +51,13 @@ def tiled(rows: DataFrame, keys: list[str], item: str, tile_rows: int) -> DataFr
     is salted into k parts by a hash of ``item`` and every pair of parts
     (i <= j) becomes a tile, so each pair of rows meets in at least one tile
     and no task ever holds more than about two parts, however hot the group.
-    Groups with a single row have no pairs and go.  Adds columns ``i``, ``j``.
+    Groups with a single row have no pairs and go.  Adds ``part``, the part of
+    the row itself, and ``i``, ``j``.
     """
     sizes = (rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
              .select(*keys, F.ceil(F.col("_n") / F.lit(tile_rows)).cast("int").alias("_k")))
     salt = F.pmod(F.xxhash64(F.lit("tile"), F.col(item)), F.col("_k")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("_k") - 1))
-    return (rows.join(sizes, keys).withColumn("_s", salt).withColumn("_o", other)
-            .withColumn("i", F.least("_s", "_o")).withColumn("j", F.greatest("_s", "_o"))
-            .drop("_k", "_s", "_o"))
+    return (rows.join(sizes, keys).withColumn("part", salt).withColumn("_o", other)
+            .withColumn("i", F.least("part", "_o")).withColumn("j", F.greatest("part", "_o"))
+            .drop("_k", "_o"))
