@@ -24,7 +24,8 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16            # of each width
 TRAIN_ROWS = 1500       # labelled texts per language that the training may see
 TRAIN_WINDOWS = 2       # windows of each
-EPOCHS = 6
+STEPS = 1500            # training steps of BATCH windows each, however many texts there are
+BATCH = 64
 SEED = 5
 BLOCK_WINDOWS = 512
 PAD = 0
@@ -54,22 +55,21 @@ class ByteCNN:
             where.append(at)
         return np.concatenate(top, axis=1), np.concatenate(where, axis=1)
 
-    def train(self, x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, batch: int = 64,
+    def train(self, x: np.ndarray, y: np.ndarray, steps: int = STEPS, batch: int = BATCH,
               rate: float = 0.01, seed: int = SEED) -> None:
         rng = np.random.default_rng(seed)
         params = [*self.taps, self.conv_bias, self.dense, self.bias]
-        m, v, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
-        for epoch in range(epochs):
-            order = rng.permutation(len(x))
-            for a in range(0, len(x), batch):
-                i = order[a:a + batch]
-                grads = self._gradients(x[i], y[i])
-                step += 1
-                lr = rate * (1 - (step * batch / (epochs * len(x) + batch)) ** 2)
-                for p, g, mm, vv in zip(params, grads, m, v):
-                    mm += 0.1 * (g - mm)
-                    vv += 0.001 * (g * g - vv)
-                    p -= lr * (mm / (1 - 0.9 ** step)) / (np.sqrt(vv / (1 - 0.999 ** step)) + 1e-8)
+        m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
+        order = np.empty(0, np.int64)
+        for step in range(1, steps + 1):
+            if len(order) < batch:
+                order = np.concatenate((order, rng.permutation(len(x))))
+            i, order = order[:batch], order[batch:]
+            lr = rate * (1 - (step / (steps + 1)) ** 2)
+            for p, g, mm, vv in zip(params, self._gradients(x[i], y[i]), m, v):
+                mm += 0.1 * (g - mm)
+                vv += 0.001 * (g * g - vv)
+                p -= lr * (mm / (1 - 0.9 ** step)) / (np.sqrt(vv / (1 - 0.999 ** step)) + 1e-8)
 
     def _gradients(self, x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
         top, where = self.responses(x)
