@@ -1,3 +1,55 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 SQL: dict[str, str] = {}
+
+SQL["op6_suffix_dedup"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS w
+        FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM d)),
+later AS (SELECT doc_id, i FROM win
+          QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, i) > 1),
+marked AS (SELECT doc_id, i, coalesce(i > lag(i) OVER one + 100, true) AS fresh
+           FROM later WINDOW one AS (PARTITION BY doc_id ORDER BY i)),
+numbered AS (SELECT doc_id, i, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked),
+spans AS (SELECT doc_id, span, min(i) AS a, max(i) + 100 AS b FROM numbered GROUP BY doc_id, span),
+gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans),
+kept AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS ends,
+                string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+         FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN ends IS NULL THEN h ELSE head || substr(h, 2 * ends + 1) END)) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+SQL["op7_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND label IS NOT NULL),
+ok AS (SELECT * FROM v WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                         AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
+          ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a),
+c AS (SELECT a, min(b) AS least FROM reach GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links,
+       least(vec_id, coalesce(c.least, vec_id))::BIGINT AS component_id,
+       vec_id = least(vec_id, coalesce(c.least, vec_id)) AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.a = vec_id
+"""
+
+SQL["op10_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS h
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+again AS (SELECT h FROM win GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM win SEMI JOIN again USING (h)),
+words AS (SELECT doc_id, p, w[p] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d)),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
+         FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
