@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rebuy.llm import passages as ps
-from rebuy.llm.suffix import common, dense, levels, previous_factor
+from rebuy.llm.shared import slices
+from rebuy.llm.suffix import dense, previous_factor, window_order
 
 MIN_BYTES = 100
 GRAM_BYTES = 24
@@ -40,15 +41,9 @@ def earlier_starts(texts: list[bytes], run: np.ndarray, place: np.ndarray, cap:
     first = np.zeros(n, np.uint64)
     for j in range(h):
         first = (first << np.uint64(8)) | data[j:j + n]
-    lv = levels(dense(first), h, cap)
     which = np.repeat(np.arange(len(texts)), run)
-    offset = np.arange(len(which)) - np.repeat(np.cumsum(run) - run, run)
-    at = begin[which] + offset
-    room = sizes[which] - offset
-    order = np.argsort(lv[-1][1][at])
-    lcp = np.zeros(len(at), np.int64)
-    a, b = order[:-1], order[1:]
-    lcp[1:] = common(lv, at[a], at[b], np.minimum(room[a], room[b]))
+    at = begin[which] + np.arange(len(which)) - np.repeat(np.cumsum(run) - run, run)
+    order, lcp = window_order(dense(first), h, cap, at)
     return previous_factor(order, lcp, place) >= cap
 
 
@@ -60,8 +55,13 @@ def _compare(cap: int):
         start = np.repeat(s, run) + np.arange(len(which)) - np.repeat(np.cumsum(run) - run, run)
         null = np.asarray(ids.is_null())
         filled = ids.fill_null(0).to_numpy()
-        doc = np.unique(np.rec.fromarrays([null, filled, thash]), return_inverse=True)[1].ravel()
-        place = np.unique(np.rec.fromarrays([doc[which], start]), return_inverse=True)[1].ravel()
+        order = np.lexsort((thash, filled, null))
+        new = np.zeros(len(order), np.int64)
+        for x in (null, filled, thash):
+            new[1:] |= x[order[1:]] != x[order[:-1]]
+        doc = np.empty(len(order), np.int64)
+        doc[order] = np.cumsum(new)
+        place = dense(doc[which] * (int(start.max()) + 1) + start)
         hit = earlier_starts(t.column("text").to_pylist(), run, place, cap)
         row, a, n = ps._merge(which[hit], start[hit], np.ones(int(hit.sum()), np.int64))
         return pa.table({"doc_id": ids.take(pa.array(row)), "thash": thash[row], "s": a, "run": n})
@@ -93,7 +93,7 @@ def dedup(docs: DataFrame, min_bytes: int = MIN_BYTES, with_text: bool = False)
     fully equal rows one is first, the others its later copies.  An empty
     table returns no rows."""
     def render(batches):
-        for b in batches:
+        for b in slices(batches):
             out = {k: [] for k in _RESULT.names}
             for d in b.to_pylist():
                 data = d["text"].encode()

@@ -28,9 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rebuy.llm.shared import stored
+from rebuy.llm.shared import slices, stored
 
 BLOCK = 1 << 17          # bytes of text hashed at a time
+FOLD_BYTES = 1 << 23     # text whose equal segments are folded before they travel
 INDEX_BITS = 20
 HOT = 4096               # rows of one owner above which windows are grouped instead
 OCCURRENCE = ("kind byte, dup byte, owner long, seg long, doc_id long, thash long, s long, run long")
@@ -199,7 +200,7 @@ def occurrences(docs: DataFrame, u: Units, keep_first: bool) -> DataFrame:
     """One row per segment (kind 0), equal ones of a batch folded to the first;
     what the fold already proves repeated comes as runs of starts (kind 1)."""
     def run_batches(batches):
-        for b in batches:
+        for b in slices(batches, FOLD_BYTES):
             texts = [t.as_py() for t in b.column("text").cast(pa.large_binary())]
             got = _batch_rows(texts, u)
             if not got or not len(got[0]):
@@ -242,16 +243,17 @@ def marked(occ: DataFrame, keep_first: bool) -> DataFrame:
     same_owner = Window.partitionBy("owner")
     same_seg = Window.partitionBy("owner", "seg").orderBy(F.col("doc_id").asc_nulls_last(), "thash", "s")
     place = F.struct("doc_id", "thash", "s")
-    x = occ.withColumn("head", F.first(place).over(same_seg).eqNullSafe(place))
+    # the window by owner comes first: its shuffle serves the one by segment too
+    x = (occ.withColumn("differ", F.min("seg").over(same_owner) != F.max("seg").over(same_owner))
+         .withColumn("rows", F.count(F.lit(1)).over(same_owner)))
     if keep_first:
-        x = x.withColumn("gone", (F.col("kind") == 1) | ~F.col("head"))
+        x = (x.withColumn("head", F.first(place).over(same_seg).eqNullSafe(place))
+             .withColumn("gone", (F.col("kind") == 1) | ~F.col("head")))
     else:
         whole = same_seg.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         x = (x.withColumn("head", F.row_number().over(same_seg) == 1)
              .withColumn("gone", (F.col("kind") == 1) | (F.sum(F.lit(1) + F.col("dup")).over(whole) > 1)))
-    x = (x.withColumn("differ", F.min("seg").over(same_owner) != F.max("seg").over(same_owner))
-         .withColumn("rows", F.count(F.lit(1)).over(same_owner))
-         .withColumn("need", (F.col("kind") == 0) & F.col("head") & F.col("differ"))
+    x = (x.withColumn("need", (F.col("kind") == 0) & F.col("head") & F.col("differ"))
          .withColumn("hot", F.col("rows") > HOT))
     return (x.filter("gone or need").groupBy("doc_id", "thash")
             .agg(F.collect_list(F.struct("s", "run", "owner", "gone", "need", "hot")).alias("runs")))
@@ -267,7 +269,7 @@ def on_text(docs: DataFrame, by_text: DataFrame, how: str) -> DataFrame:
 def segment_texts(docs: DataFrame, marks: DataFrame, cut: Callable[[bytes, list], list[bytes]]) -> DataFrame:
     """The text of every segment that must be compared."""
     def fetch(batches):
-        for b in batches:
+        for b in slices(batches):
             out = {k: [] for k in ("owner", "hot", "gone", "doc_id", "thash", "s", "run", "text")}
             for d in b.to_pylist():
                 runs = d["runs"]
@@ -283,7 +285,7 @@ def segment_texts(docs: DataFrame, marks: DataFrame, cut: Callable[[bytes, list]
 
 _SEGMENT = pa.schema([("owner", pa.int64()), ("hot", pa.bool_()), ("gone", pa.bool_()), ("doc_id", pa.int64()),
                       ("thash", pa.int64()), ("s", pa.int64()), ("run", pa.int64()), ("text", pa.binary())])
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
 
 
 def shards(segs: DataFrame, compare: Callable[[pa.Table], pa.Table]) -> DataFrame:
@@ -293,7 +295,7 @@ def shards(segs: DataFrame, compare: Callable[[pa.Table], pa.Table]) -> DataFram
     def blocks(batches):
         held: list[pa.RecordBatch] = []
         size, waiting = 0, None
-        for b in batches:
+        for b in slices(batches, SHARD_BYTES // 2):
             size += b.nbytes
             held.append(b)
             if size < SHARD_BYTES:
@@ -317,7 +319,7 @@ def hot_windows(segs: DataFrame, windows: Callable[[bytes, int], list[bytes]], k
     import hashlib
 
     def spread(batches):
-        for b in batches:
+        for b in slices(batches, SHARD_BYTES // 8):
             out = {k: [] for k in ("key", "doc_id", "thash", "s")}
             for d in b.to_pylist():
                 for o, w in enumerate(windows(d["text"], d["run"])):

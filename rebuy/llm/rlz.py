@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from rebuy.llm import passages as ps
-from rebuy.llm.suffix import common, dense, levels
+from rebuy.llm.shared import slices
+from rebuy.llm.suffix import dense, window_order
 
 WIN_WORDS = 35
 GRAM_WORDS = 8
@@ -29,35 +30,34 @@ def _units(win: int) -> ps.Units:
     return ps.Units(win, min(GRAM_WORDS, max(1, win // 4)), words=True)
 
 
-def longest_elsewhere(ids: np.ndarray, owner_of: np.ndarray, room: np.ndarray, win: int) -> np.ndarray:
-    """Longest match (at most ``win`` units) of every position with a suffix of
-    another segment of the block.  In suffix order it is one of the two nearest
-    entries of another segment."""
-    lv = levels(dense(ids), 1, win)
-    top = lv[-1][1]
-    order = np.lexsort((room < win, top))
-    seg, n = owner_of[order], len(order)
-    idx = np.arange(n)
-    new = np.ones(n, bool)
-    new[1:] = seg[1:] != seg[:-1]
-    before = np.maximum.accumulate(np.where(new, idx, 0)) - 1
-    end = np.ones(n, bool)
-    end[:-1] = new[1:]
-    after = np.minimum.accumulate(np.where(end, idx, n)[::-1])[::-1] + 1
-    best = np.zeros(n, np.int64)
-    for near in (before, after):
-        ok = (near >= 0) & (near < n)
-        a, b = order[ok], order[near[ok]]
-        best[ok] = np.maximum(best[ok], common(lv, a, b, np.minimum(room[a], room[b])))
+def longest_elsewhere(ids: np.ndarray, at: np.ndarray, seg: np.ndarray, win: int) -> np.ndarray:
+    """Longest match (at most ``win`` units) of the windows that begin at
+    ``at`` with a window of another segment of the block.  In suffix order it
+    is one of the two nearest entries of another segment."""
+    order, lcp = window_order(dense(ids), 1, win, at)
+    seg, n = seg[order], len(order)
+
+    def nearest(seg: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+        # inside a stretch of one segment the bound to the stretch's own
+        # predecessor is the smallest lcp since the stretch began
+        out = lcp.copy()
+        same = np.zeros(n, bool)
+        same[1:] = seg[1:] == seg[:-1]
+        for i in np.nonzero(same)[0].tolist():
+            out[i] = min(out[i], out[i - 1])
+        return out
+
+    back = np.concatenate(([0], lcp[1:][::-1]))
+    best = np.maximum(nearest(seg, lcp), nearest(seg[::-1], back)[::-1])
     out = np.empty(n, np.int64)
     out[order] = best
     return out
 
 
-def parse(length: list[int], run: int, win: int) -> list[int]:
+def parse(length: list[int], win: int) -> list[int]:
     """Greedy factors over ``length`` (longest match at each position): starts
     of the windows that are repeated."""
-    out, p = [], 0
+    out, p, run = [], 0, len(length)
     while p < run:
         f = max(1, length[p])
         if f >= win:
@@ -78,13 +78,14 @@ def _compare(win: int):
         sizes = np.array([len(w) for w in words])
         begin = np.cumsum(sizes) - sizes
         ids = np.fromiter((i for w in words for i in w), np.int64, int(sizes.sum()))
-        which = np.repeat(np.arange(len(words)), sizes)
-        room = np.repeat(begin + sizes, sizes) - np.arange(len(ids))
-        length = longest_elsewhere(ids, which, room, win)
+        which = np.repeat(np.arange(len(words)), run)
+        head = np.cumsum(run) - run
+        at = begin[which] + np.arange(len(which)) - head[which]
+        length = longest_elsewhere(ids, at, which, win)
         gone = np.asarray(t.column("gone"))
         row, start = [], []
         for j in np.nonzero(~gone)[0]:
-            found = parse(length[begin[j]:begin[j] + sizes[j]].tolist(), int(run[j]), win)
+            found = parse(length[head[j]:head[j] + run[j]].tolist(), win)
             row += [j] * len(found)
             start += found
         row = np.array(row, np.int64)
@@ -121,7 +122,7 @@ def dedup(docs: DataFrame, win: int = WIN_WORDS, with_text: bool = False) -> Dat
     Null text has no words.  Equal rows are copies of each other.  Null doc_ids
     are an ordinary value.  An empty table returns no rows."""
     def render(batches):
-        for b in batches:
+        for b in slices(batches):
             out = {k: [] for k in _RESULT.names}
             for d in b.to_pylist():
                 x, y = ps.covered(d["runs"], win)

@@ -15,32 +15,42 @@ def dense(key: np.ndarray) -> np.ndarray:
     return rank
 
 
-def levels(first: np.ndarray, length: int, cap: int) -> list[tuple[int, np.ndarray]]:
+def levels(first: np.ndarray, length: int, top: int) -> list[tuple[int, np.ndarray]]:
     """Prefix doubling: (h, rank of every position by its next h units), for
-    h = length, 2 length, ... and at last cap.  Positions whose h units run past
+    h = length, 2 length, ... up to ``top``.  Positions whose h units run past
     their text have ranks of no meaning; readers stay inside."""
     out, h, rank, n = [(length, first)], length, first, len(first)
-    while h < cap:
-        step = min(h, cap - h)
+    while 2 * h <= top:
         nxt = np.zeros(n, np.int64)
-        nxt[:n - step] = rank[step:] + 1
-        rank, h = dense(rank * (n + 1) + nxt), h + step
+        nxt[:n - h] = rank[h:] + 1
+        rank, h = dense(rank * (n + 1) + nxt), 2 * h
         out.append((h, rank))
     return out
 
 
-def common(lv: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray, room: np.ndarray) -> np.ndarray:
-    """Longest common prefix of the suffixes at a and b, at most ``room`` and
-    the last level, in steps of the first level's length."""
-    cap, top = lv[-1]
-    full = (room >= cap) & (top[a] == top[b])
+def common(lv: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
+    """Common prefix of the suffixes at a and b (each has ``cap`` units or
+    more), in steps of the first level's length."""
     out = np.zeros(len(a), np.int64)
-    n = len(top)
-    for h, rank in reversed(lv[:-1]):
-        for _ in range(2 if h == lv[-2][0] else 1):
-            x, y = np.minimum(a + out, n - 1), np.minimum(b + out, n - 1)
-            out += np.where((out + h <= room) & (rank[x] == rank[y]), h, 0)
-    return np.where(full, cap, np.minimum(out, cap))
+    for h, rank in reversed(lv):
+        fits = out + h <= cap
+        x, y = np.where(fits, a + out, a), np.where(fits, b + out, b)
+        out += np.where(fits & (rank[x] == rank[y]), h, 0)
+    return out
+
+
+def window_order(first: np.ndarray, length: int, cap: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Suffix order of the positions ``at`` by their next ``cap`` units, and
+    the common prefix of each with the one before it (exact at ``cap``, below
+    it in steps of ``length``).  ``first`` ranks positions by ``length`` units."""
+    lv = levels(first, length, cap)
+    h, rank = lv[-1]
+    key = rank[at] * (len(first) + 1) + rank[at + (cap - h)]
+    order = np.argsort(key)
+    lcp = np.zeros(len(at), np.int64)
+    a, b = order[:-1], order[1:]
+    lcp[1:] = np.where(key[a] == key[b], cap, np.minimum(common(lv, at[a], at[b], cap), cap - 1))
+    return order, lcp
 
 
 def previous_factor(order: np.ndarray, lcp: np.ndarray, place: np.ndarray) -> np.ndarray:
