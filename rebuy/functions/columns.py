@@ -8,8 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "col_or", "safe_div", "zero_to_half", "weekend_flag", "threshold_flag",
-    "dept_bin", "aisle_bin", "hod_bin", "feature_type", "round6", "md5_key",
+    "safe_div", "zero_to_half", "weekend_flag", "threshold_flag",
+    "dept_bin", "aisle_bin", "hod_bin", "feature_type", "md5_key",
     "hash_fold", "linspace",
 ]
 
@@ -43,10 +43,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def col_or(c, default) -> Column:
-    """``fillna(default)``: NULL -> default."""
-    return F.coalesce(_c(c), F.lit(default))
-
 
 def safe_div(num, den) -> Column:
     """Division that yields NULL for a zero or NULL denominator (Spark 4 ANSI
@@ -99,9 +95,6 @@ def feature_type(name) -> Column:
     return expr.otherwise(FEATURE_TYPE_DEFAULT)
 
 
-def round6(c) -> Column:
-    return F.round(_c(c), 6)
-
 
 def md5_key(*cols, seed) -> Column:
     """Deterministic pseudo-random sort key: md5 of the ids and a salt.

@@ -13,7 +13,7 @@ never joins its candidate rows to the product dimension twice.
 from __future__ import annotations
 
 from pyspark.ml import Estimator, Model
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rebuy.functions.columns import aisle_bin, dept_bin, hod_bin, safe_div
@@ -41,8 +41,9 @@ def class_ratios(counts: DataFrame, fill_missing: bool) -> DataFrame:
     alignment of the two value_counts).  A key absent from a class has a
     NULL ratio, or 0 with ``fill_missing``.  Adds no_reorder, reordered,
     diff."""
-    t0 = counts.select(F.sum("n0")).scalar()
-    t1 = counts.select(F.sum("n1")).scalar()
+    # class totals over the category table (one row per key), in the same pass
+    every = Window.partitionBy()
+    t0, t1 = F.sum("n0").over(every), F.sum("n1").over(every)
 
     def ratio(n: str, t: Column) -> Column:
         r = F.when(F.col(n) > 0, safe_div(F.col(n).cast("double"), t))
@@ -63,9 +64,8 @@ def bin_map(counts: DataFrame, key: str, rule: str, out_col: str) -> DataFrame:
 def apply_bin_map(df: DataFrame, bmap: DataFrame, key: str, out_col: str,
                   drop_key: bool = True) -> DataFrame:
     """Dictionary lookup, unseen key -> NULL (the map has one row
-    per category; broadcast after a size check)."""
-    from rebuy.operators.joins import join_small
-    out = join_small(df, bmap.select(key, out_col), key, "left")
+    per category; Spark broadcasts it by its measured size)."""
+    out = df.join(bmap.select(key, out_col), key, "left")
     return out.drop(key) if drop_key else out
 
 

@@ -9,7 +9,6 @@ groups in one pass.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,8 +56,7 @@ def confusion_metrics(df: DataFrame, label: str, pred: str, keys: list[str] = ()
                     prec.alias("precision"), rec.alias("recall"), f1.alias("f1"))
 
 
-def curve_counts(df: DataFrame, label: str, score: str, keys: list[str] = (),
-                 rows_per_block: int = 1_000_000) -> DataFrame:
+def curve_counts(df: DataFrame, label: str, score: str, keys: list[str] = ()) -> DataFrame:
     """Per (keys, distinct score): pos, neg, cumulative tps / fps from the
     highest score down, and the key's totals P, N."""
     keys = list(keys)
@@ -67,11 +65,7 @@ def curve_counts(df: DataFrame, label: str, score: str, keys: list[str] = (),
          .groupBy(*keys, F.col(score).cast("double").alias("threshold"))
          .agg(F.sum(F.when(y == 1, 1).otherwise(0)).cast("bigint").alias("pos"),
               F.sum(F.when(y == 0, 1).otherwise(0)).cast("bigint").alias("neg")))
-    # The distinct-score table is read by the block split, the running sums
-    # and the totals: aggregate the scores once.
-    g = g.persist(StorageLevel.MEMORY_AND_DISK)
-    g = running_sum_by_value(g, keys, "threshold", {"pos": "tps", "neg": "fps"},
-                             descending=True, rows_per_block=rows_per_block)
+    g = running_sum_by_value(g, keys, "threshold", {"pos": "tps", "neg": "fps"}, descending=True)
     if keys:
         tot = g.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
         return g.join(tot, keys, "inner")
@@ -80,10 +74,20 @@ def curve_counts(df: DataFrame, label: str, score: str, keys: list[str] = (),
 
 
 def roc_points(curve: DataFrame, keys: list[str] = ()) -> DataFrame:
-    """V3: (threshold, fpr, tpr) at every distinct score."""
-    return curve.select(*keys, "threshold",
-                        safe_div(F.col("fps").cast("double"), F.col("N")).alias("fpr"),
-                        safe_div(F.col("tps").cast("double"), F.col("P")).alias("tpr"))
+    """V3: (threshold, fpr, tpr) at every distinct score, and the point (0, 0)
+    where nothing is predicted (threshold NULL)."""
+    points = curve.select(*keys, "threshold",
+                          safe_div(F.col("fps").cast("double"), F.col("N")).alias("fpr"),
+                          safe_div(F.col("tps").cast("double"), F.col("P")).alias("tpr"))
+    return points.unionByName(_end_row(curve, keys, fpr=0.0, tpr=0.0))
+
+
+def _end_row(curve: DataFrame, keys: list[str], **values: float) -> DataFrame:
+    """One row per key (per curve) with fixed values and no threshold."""
+    keys = list(keys)
+    groups = curve.select(*keys).distinct() if keys else curve.select(F.max("threshold").alias("t")).filter("t IS NOT NULL")
+    return groups.select(*keys, F.lit(None).cast("double").alias("threshold"),
+                         *[F.lit(v).alias(c) for c, v in values.items()])
 
 
 def auc(curve: DataFrame, keys: list[str] = ()) -> DataFrame:
@@ -99,11 +103,12 @@ def auc(curve: DataFrame, keys: list[str] = ()) -> DataFrame:
 def pr_points(curve: DataFrame, keys: list[str] = ()) -> DataFrame:
     """V5: predict score >= t at every distinct t, highest t first, up to the
     first t that reaches full recall (later points are not part of the
-    curve)."""
-    return (curve.filter(F.col("tps") - F.col("pos") < F.col("P"))
-            .select(*keys, "threshold",
-                    safe_div(F.col("tps").cast("double"), F.col("tps") + F.col("fps")).alias("precision"),
-                    safe_div(F.col("tps").cast("double"), F.col("P")).alias("recall")))
+    curve); and the closing point (recall 0, precision 1, threshold NULL)."""
+    points = (curve.filter(F.col("tps") - F.col("pos") < F.col("P"))
+              .select(*keys, "threshold",
+                      safe_div(F.col("tps").cast("double"), F.col("tps") + F.col("fps")).alias("precision"),
+                      safe_div(F.col("tps").cast("double"), F.col("P")).alias("recall")))
+    return points.unionByName(_end_row(curve, keys, precision=1.0, recall=0.0))
 
 
 def f1_points(pr: DataFrame, keys: list[str] = ()) -> DataFrame:

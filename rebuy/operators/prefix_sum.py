@@ -12,10 +12,8 @@ cut into *blocks* of bounded size:
 4. offsets joined back on (key, block).
 
 Blocks come from the order value itself: ``floor(order / block_size)`` for
-integral orders (order numbers), quantile buckets for arbitrary doubles
-(scores), where the splits are computed by ``QuantileDiscretizer``
-(distributed approximate quantiles; only the bucket splits reach the
-driver, their number is a parameter, not a data size).
+integral orders (order numbers), the parts of a range partitioning for
+arbitrary doubles (scores).
 
 NULL semantics follow SQL ``sum() OVER``: NULL values are skipped and the
 result is NULL only while every value so far is NULL.
@@ -23,9 +21,6 @@ result is NULL only while every value so far is NULL.
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,23 +71,16 @@ def running_sum_by_number(df: DataFrame, keys: list[str], number_col: str,
     return running_sum_blocked(d, keys, [number_col], values, descending)
 
 
-def quantile_blocks(df: DataFrame, order_col: str, rows_per_block: int = 1_000_000,
-                    max_blocks: int = 100_000, relative_error: float | None = None) -> DataFrame:
-    """Adds BLOCK = quantile bucket of ``order_col`` (non-null doubles):
-    about ``rows_per_block`` rows each."""
-    n = df.count()
-    k = int(min(max_blocks, max(2, math.ceil(n / rows_per_block))))
-    if relative_error is None:
-        relative_error = min(0.001, 0.1 / k)
-    qd = QuantileDiscretizer(numBuckets=k, inputCol=order_col, outputCol=BLOCK,
-                             relativeError=relative_error, handleInvalid="keep")
-    return qd.fit(df).transform(df)
+def range_blocks(df: DataFrame, order_cols: list[str]) -> DataFrame:
+    """Adds BLOCK, the number of the key range a row was dealt to: Spark
+    samples a bounded number of rows per partition for the ranges.  The rows
+    are stored, so block numbers stay what they are when a task is retried."""
+    from rebuy.plans.stash import stash
+    return stash(df.repartitionByRange(*order_cols).withColumn(BLOCK, F.spark_partition_id()))
 
 
 def running_sum_by_value(df: DataFrame, keys: list[str], order_col: str,
-                         values: dict[str, str], descending: bool = False,
-                         rows_per_block: int = 1_000_000) -> DataFrame:
+                         values: dict[str, str], descending: bool = False) -> DataFrame:
     """Running sums ordered by a double column with distinct values per key
     (e.g. scores grouped per distinct value)."""
-    d = quantile_blocks(df, order_col, rows_per_block=rows_per_block)
-    return running_sum_blocked(d, keys, [order_col], values, descending)
+    return running_sum_blocked(range_blocks(df, [order_col]), keys, [order_col], values, descending)

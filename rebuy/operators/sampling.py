@@ -5,10 +5,9 @@ is *the n rows with the smallest md5(id#salt)*: seeded, reproducible, the
 same set in any SQL engine (``ORDER BY md5(...), id LIMIT n``), and exact.
 
 It runs distributed without a global sort and without gathering n rows in
-one task: md5 is uniform, so its first 16 bits spread the ids evenly over
-65,536 buckets.  Bucket counts (a bounded table) give the bucket where the
-n-th id falls; everything below it is taken whole, and only inside that one
-bucket (about rows / 65,536 ids) are ids ranked.
+one task: the key of the n-th row is found by counting rows per 16 bits of
+the hash (at most 65,536 counts), refined by the next 16 bits while the
+bucket it falls in is still large; the sample is then one filter.
 """
 
 from __future__ import annotations
@@ -17,47 +16,52 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rebuy.functions.columns import hash_fold, md5_key
-from rebuy.operators.joins import join_small
 from rebuy.operators.orders import filter_not_test
-
-N_BUCKETS = 65536  # 16 bits of the hash
+from rebuy.operators.prefix_sum import BLOCK, range_blocks
+
+BITS = 4                  # hex digits counted at a time
+EDGE_ROWS = 100_000       # a bucket of at most so many rows is ordered as it is
+
+
+def _last_key(keyed: DataFrame, n: int) -> str | None:
+    """The n-th smallest ``_k``, or None when there are no more than n rows."""
+    prefix, need = "", n
+    while True:
+        rows = keyed.filter(F.col("_k").startswith(prefix)) if prefix else keyed
+        counts = sorted((r["b"], r["n"]) for r in rows.groupBy(
+            F.substring("_k", len(prefix) + 1, BITS).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
+        if not prefix and sum(c for _, c in counts) <= n:
+            return None
+        for bucket, count in counts:
+            if need <= count:
+                break
+            need -= count
+        prefix += bucket
+        if count <= EDGE_ROWS or len(prefix) >= 32:
+            edge = keyed.filter(F.col("_k").startswith(prefix)).select("_k").orderBy("_k").limit(need)
+            return edge.agg(F.max("_k")).first()[0]
 
 
 def exact_sample(df: DataFrame, id_cols: list[str], n: int, salt: str) -> DataFrame:
-    """The n rows of ``df`` with the smallest md5(ids#salt) (ties
-    by ids).  ``df`` rows must be unique on ``id_cols``."""
-    d = (df.withColumn("_k", md5_key(*id_cols, seed=salt))
-         .withColumn("_b", F.conv(F.substring("_k", 1, 4), 16, 10).cast("int")))
-    counts = d.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    # <= 65,536 rows: a running sum over this small table is cheap.
-    cum = counts.withColumn(
-        "_cum", F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
-    cut_b = cum.filter(F.col("_cum") >= n).select(F.min("_b")).scalar()
-    cut = F.coalesce(cut_b, F.lit(N_BUCKETS))
-    before = cum.filter(F.col("_b") < cut).select(
-        F.coalesce(F.max("_cum"), F.lit(0))).scalar()
-    whole = d.filter(F.col("_b") < cut)
-    edge = d.filter(F.col("_b") == cut)
-    rank = F.row_number().over(Window.partitionBy("_b").orderBy("_k", *id_cols))
-    edge = edge.withColumn("_r", rank).filter(F.col("_r") <= F.lit(n) - before).drop("_r")
-    return whole.unionByName(edge).drop("_k", "_b")
+    """The n rows of ``df`` with the smallest md5(ids#salt).  ``df``
+    rows must be unique on ``id_cols``."""
+    if n <= 0:
+        return df.limit(0)
+    keyed = df.withColumn("_k", md5_key(*id_cols, seed=salt))
+    last = _last_key(keyed, n)
+    return df if last is None else keyed.filter(F.col("_k") <= last).drop("_k")
 
 
 def hash_rank(df: DataFrame, id_cols: list[str], salt: str, out: str = "hash_rank") -> DataFrame:
-    """1-based position of each row in md5(ids#salt) order (ties by ids),
-    without a global sort: bucket offsets come from the <= 65,536 bucket
-    counts (broadcast: bounded by construction), the position inside a
-    bucket from a window over that bucket only (about rows / 65,536)."""
-    d = (df.withColumn("_k", md5_key(*id_cols, seed=salt))
-         .withColumn("_b", F.conv(F.substring("_k", 1, 4), 16, 10).cast("int")))
-    counts = d.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    offs = counts.select("_b", F.coalesce(
-        F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("_off"))
-    inner = F.row_number().over(Window.partitionBy("_b").orderBy("_k", *id_cols))
-    return (d.join(F.broadcast(offs), "_b")
-            .withColumn(out, (F.col("_off") + inner).cast("bigint"))
-            .drop("_k", "_b", "_off"))
+    """1-based position of each row in md5(ids#salt) order (ties by ids): rows
+    are dealt by key range, numbered inside their part and offset by the
+    counts of the parts before (one row per part)."""
+    d = range_blocks(df.withColumn("_k", md5_key(*id_cols, seed=salt)), ["_k", *id_cols])
+    offs = d.groupBy(BLOCK).count().select(BLOCK, F.coalesce(
+        F.sum("count").over(Window.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    inner = F.row_number().over(Window.partitionBy(BLOCK).orderBy("_k", *id_cols))
+    return (d.join(offs, BLOCK).withColumn(out, (F.col("_off") + inner).cast("bigint"))
+            .drop("_k", BLOCK, "_off"))
 
 
 def user_folds_balanced(df: DataFrame, k: int = 5, salt: str = "42") -> DataFrame:
@@ -96,7 +100,7 @@ class Holdout:
 
     def __init__(self, orders: DataFrame, current_lines: DataFrame, prior_lines: DataFrame,
                  n_total: int, n_subset: int, n_extra_users: int, seed: int = 42,
-                 mode: str = "checkpoint"):
+                 mode: str = "table"):
         from rebuy.plans.stash import stash
         self.orders = filter_not_test(orders)
         recent_ids = distinct_ids(current_lines, "order_id")
@@ -105,25 +109,18 @@ class Holdout:
         self.sample_ids = stash(exact_sample(recent_ids, ["order_id"], n_total, f"{seed}"), mode)
         self.subset_ids = stash(exact_sample(self.sample_ids, ["order_id"], n_subset,
                                              f"{seed}/subset"), mode)
-        self.holdout_ids = join_small(self.sample_ids, self.subset_ids, "order_id", "left_anti",
-                                      bound=n_subset)
-        # Id sets hold at most n_total / n_subset / n_extra_users rows by
-        # construction: below the broadcast limit they are broadcast into
-        # the line and order scans instead of shuffling those.
-        self.test_lines = join_small(current_lines, self.holdout_ids, "order_id", "left_semi",
-                                     bound=n_total)
-        self.train_lines = join_small(current_lines, self.holdout_ids, "order_id", "left_anti",
-                                      bound=n_total)
-        self.subset_lines = join_small(current_lines, self.subset_ids, "order_id", "left_semi",
-                                       bound=n_subset)
+        self.holdout_ids = self.sample_ids.join(self.subset_ids, "order_id", "left_anti")
+        # The id sets are stored tables of known size: Spark broadcasts them
+        # into the line and order scans while they are small.
+        self.test_lines = current_lines.join(self.holdout_ids, "order_id", "left_semi")
+        self.train_lines = current_lines.join(self.holdout_ids, "order_id", "left_anti")
+        self.subset_lines = current_lines.join(self.subset_ids, "order_id", "left_semi")
         user_ids = distinct_ids(self.orders, "user_id")
-        self.subset_user_ids = join_small(self.orders, self.subset_ids, "order_id",
-                                          "left_semi", bound=n_subset).select("user_id")
+        self.subset_user_ids = self.orders.join(self.subset_ids, "order_id", "left_semi").select("user_id")
         self.extra_user_ids = stash(exact_sample(user_ids, ["user_id"], n_extra_users,
                                                  f"{seed}/users"), mode)
         self.all_user_ids = self.extra_user_ids.union(self.subset_user_ids).distinct()
-        prior_order_ids = join_small(self.orders, self.all_user_ids, "user_id", "left_semi",
-                                     bound=n_subset + n_extra_users).select("order_id")
+        prior_order_ids = self.orders.join(self.all_user_ids, "user_id", "left_semi").select("order_id")
         self.subset_prior_lines = prior_lines.join(prior_order_ids, "order_id", "left_semi")
 
     def write(self, path: str) -> None:

@@ -1,23 +1,23 @@
 """the per-(user, product) feature table.
 
-Plan shape (no Python on the rows; [C] = checkpointed once, reused by
-every branch and by the train and test sides):
+Plan shape (no Python on the rows; [T] = stored once as Parquet, because
+several branches or the train and test sides read it):
 
-  prior lines --groupBy(order_id)--> order stats --join orders--> order table [C]
+  prior lines --groupBy(order_id)--> order stats --join orders--> order table [T]
   order table --blocked running sum per user--> cumulative days (W2/W3)
   prior lines --join(order_id) order table + days--> details
-  details --groupBy(user, product)--> user-product table [C]
-  order table --groupBy(user)--> user table [C]
-  prior lines --groupBy(product)--> product features [C]
+  details --groupBy(user, product)--> user-product table [T]
+  order table, user-product table --groupBy(user)--> user table
+  prior lines --groupBy(product)--> product features
   user-product --left join labels (user, product)--> --join current orders (user)-->
-      --left join user table (user, co-partitioned)--> candidate rows [C]
-  candidate rows --groupBy(product, label)--> bin fit (product-sized) [C]
-  candidate rows --broadcast join (size-checked) per-product features + bins--> rows
+      --left join user table (user)--> candidate rows [T]
+  candidate rows --groupBy(product, label)--> bin fit (product-sized) [T]
+  candidate rows --join per-product features + bins (small: broadcast)--> rows
 
 Shuffles of line-sized data: the lines by order_id (to meet their order),
 the details by (user, product) after partial aggregation, and the
-candidates by user.  Bins are fitted on the train rows only and applied to
-both sides.
+candidates by (user, product) and by user.  Bins are fitted on the train rows
+only and applied to both sides.
 """
 
 from __future__ import annotations
@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from rebuy.operators import features as fe
 from rebuy.operators import orders as od
 from rebuy.operators.binning import SupervisedBinner, SupervisedBinnerModel
-from rebuy.operators.joins import join_small
 from rebuy.plans.stash import stash
 
 KEYS = ["user_id", "product_id"]
@@ -88,17 +87,31 @@ class PriorAggregates:
 
 
 def prior_aggregates(orders: DataFrame, prior_lines: DataFrame, block_size: int = 4096,
-                     mode: str = "checkpoint") -> PriorAggregates:
-    """Every prior-derived aggregate, each computed once (``mode``: see
-    ``rebuy.plans.stash``).  The order table feeds both the user table and
-    the cumulative days; the user-product table feeds the candidates, the
-    distinct-product count and the bins."""
+                     mode: str = "table") -> PriorAggregates:
+    """Every prior-derived aggregate.  Two of them have several readers and
+    are stored (``mode``: see ``rebuy.plans.stash``): the order table feeds the
+    user table and the cumulative days, the user-product table feeds the
+    candidates and the distinct-product count.  With mode ``none`` nothing
+    runs before the caller's action."""
     base = stash(od.order_table(orders, prior_lines), mode)
     otbl = od.days_before_last(base, block_size)
     up = stash(fe.user_product_aggregates(od.prior_details(prior_lines, otbl)), mode)
-    users = stash(fe.user_features(base, up), mode)
-    products = stash(fe.product_features(prior_lines), mode)
-    return PriorAggregates(otbl, up, users, products)
+    return PriorAggregates(otbl, up, fe.user_features(base, up), fe.product_features(prior_lines))
+
+
+def labelled_candidates(orders: DataFrame, current_lines: DataFrame, user_products: DataFrame) -> DataFrame:
+    """(user_id, product_id, reordered, order_hour_of_day) of every candidate:
+    all that counts and bins need."""
+    cur = fe.current_attributes(od.current_orders(orders, current_lines)).select("user_id", "order_hour_of_day")
+    keys = user_products.select("user_id", "product_id")
+    return fe.label_candidates(keys, fe.current_labels(current_lines, orders)).join(cur, "user_id")
+
+
+def product_label_counts(cand: DataFrame, products: DataFrame) -> DataFrame:
+    """(product_id, reordered, count, aisle_id, department_id): candidates
+    reduced by partial aggregation before they meet the product dimension."""
+    return (cand.groupBy("product_id", LABEL).count()
+            .join(products.select("product_id", "aisle_id", "department_id"), "product_id", "left"))
 
 
 def candidate_rows(orders: DataFrame, current_lines: DataFrame,
@@ -135,14 +148,12 @@ class BinModels:
 
 
 def fit_bins(cand: DataFrame, products: DataFrame, with_hour: bool = False,
-             mode: str = "checkpoint") -> BinModels:
+             mode: str = "table") -> BinModels:
     """B1-B3 fitted on labelled candidate rows.  The rows are reduced once
     to (product, label, count) by partial aggregation (a product-sized
     table); only that table meets the product dimension and feeds the
     counts and class totals of both maps."""
-    per_product = stash(cand.groupBy("product_id", LABEL).count()
-                        .join(products.select("product_id", "aisle_id", "department_id"),
-                              "product_id", "left"), mode)
+    per_product = stash(product_label_counts(cand, products), mode)
     dept = SupervisedBinner("department_id", "product_dept_bin", "department",
                             weightCol="count").fit(per_product)
     aisle = SupervisedBinner("aisle_id", "product_aisle_bin", "aisle",
@@ -166,24 +177,24 @@ def product_table(prior: PriorAggregates, products: DataFrame, bins: BinModels)
 def feature_table(orders: DataFrame, prior_lines: DataFrame, current_lines: DataFrame,
                   products: DataFrame, notebook: bool = False,
                   bins: BinModels | None = None, prior: PriorAggregates | None = None,
-                  mode: str = "checkpoint") -> tuple[DataFrame, BinModels]:
+                  mode: str = "table") -> tuple[DataFrame, BinModels]:
     """(user_id, product_id, reordered, features...) and the bins used."""
     prior = prior or prior_aggregates(orders, prior_lines, mode=mode)
     cand = stash(candidate_rows(orders, current_lines, prior), mode)
     if bins is None:
         bins = fit_bins(cand, products, with_hour=notebook, mode=mode)
-    # One row per product: broadcast when its measured size allows, so the
-    # candidate rows are not shuffled again by product.
-    out = join_small(cand, product_table(prior, products, bins), "product_id", "left")
+    # One row per product: Spark broadcasts it while its measured size allows,
+    # so the candidate rows are not shuffled again by product.
+    out = cand.join(product_table(prior, products, bins), "product_id", "left")
     if notebook:
-        out = join_small(out, bins.hour.mapping.select("order_hour_of_day", "current_order_hod"),
-                         "order_hour_of_day", "left").drop("order_hour_of_day")
+        out = out.join(bins.hour.mapping.select("order_hour_of_day", "current_order_hod"),
+                       "order_hour_of_day", "left").drop("order_hour_of_day")
     cols = NOTEBOOK_FEATURES if notebook else FEATURES
     return out.select("user_id", "product_id", LABEL, *cols), bins
 
 
 def train_test_tables(orders: DataFrame, prior_lines: DataFrame, train_lines: DataFrame,
-                      test_lines: DataFrame, products: DataFrame, mode: str = "checkpoint",
+                      test_lines: DataFrame, products: DataFrame, mode: str = "table",
                       ) -> tuple[DataFrame, DataFrame, BinModels]:
     """The production job: train rows (bins fitted here) and holdout rows
     (train bins applied, unseen categories NULL), sharing prior aggregates."""

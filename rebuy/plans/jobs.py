@@ -6,9 +6,10 @@
 2. ``prepare_dataset`` - train and holdout feature tables (Parquet, split
    partitioned) and the bin maps;
 3. ``train_and_score`` - the final boosted-tree model (Spark ML format),
-   holdout probabilities (Parquet) and the thresholded metrics.
+   holdout probabilities (Parquet) and the thresholded metrics;
+4. ``select_model`` - the reference's search grids in full (CSV per grid).
 
-``python -m rebuy.plans.jobs {holdout,prepare,train} RAW_DIR WORK_DIR``
+``python -m rebuy.plans.jobs {holdout,prepare,train,select} RAW_DIR WORK_DIR``
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from rebuy.operators import evaluate as ev
 from rebuy.operators.sampling import Holdout
 from rebuy.plans import model as ml
 from rebuy.plans.features import train_test_tables
+from rebuy.plans.stash import stash
+from rebuy.session import JOB_CONF
 from rebuy.sources.files import (read_csv_table, read_feature_tables, write_csv,
                                  write_feature_tables, write_parquet)
 
@@ -65,19 +68,43 @@ def train_and_score(spark: SparkSession, work_dir: str) -> DataFrame:
     return ev.confusion_metrics(scores, "reordered", "prediction")
 
 
+def select_model(spark: SparkSession, raw_dir: str, work_dir: str, grids: dict | None = None,
+                 base: dict | None = None, patience: int = ml.EARLY_STOP_ROUNDS, k: int = 5) -> None:
+    """Cross-validated search on the subset's notebook table.  The first
+    grid runs before the bins exist."""
+    from rebuy.operators.sampling import with_folds
+    from rebuy.plans import ml_queries as mq
+    from rebuy.plans.features import feature_table
+    data = os.path.join(work_dir, "data")
+    table, _ = feature_table(_raw(spark, raw_dir, "orders"),
+                             _lines(spark, os.path.join(data, "subset_prior_order_products")),
+                             _lines(spark, os.path.join(data, "subset_order_products")),
+                             _raw(spark, raw_dir, "products"), notebook=True)
+    folded = stash(with_folds(table, k))
+    for name, grid in (grids or mq.REFERENCE_GRIDS).items():
+        features = mq.UNBINNED if name == "lr_depth" else None
+        found = ml.grid_search(folded, grid, base or mq.SELECTION_BASE, k, features, patience)
+        write_csv(found, os.path.join(work_dir, "result", f"grid_{name}"))
+
+
 def main() -> None:
     p = argparse.ArgumentParser()
-    p.add_argument("step", choices=["holdout", "prepare", "train"])
+    p.add_argument("step", choices=["holdout", "prepare", "train", "select"])
     p.add_argument("raw_dir")
     p.add_argument("work_dir")
     a = p.parse_args()
-    spark = SparkSession.builder.getOrCreate()
+    builder = SparkSession.builder.appName("rebuy")
+    for key, value in JOB_CONF.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     if a.step == "holdout":
         take_holdout(spark, a.raw_dir, a.work_dir)
     elif a.step == "prepare":
         prepare_dataset(spark, a.raw_dir, a.work_dir)
-    else:
+    elif a.step == "train":
         train_and_score(spark, a.work_dir).show()
+    else:
+        select_model(spark, a.raw_dir, a.work_dir)
 
 
 if __name__ == "__main__":

@@ -6,17 +6,19 @@ training lines and scores its holdout lines; model selection runs on the
 holdout job's subset (subset current lines + the prior lines of its users
 and the extra users), with the notebook's feature set.
 
-Sizes: the final model uses the reference's parameters unchanged (843
-trees).  Spark's boosted trees cost a few Spark jobs per tree, so the
-model-selection queries (5 user folds each) run the reference's machinery -
-same estimators, folds, early stopping - with a small tree budget
-(``SMOKE_GBT``: at most 20 trees, 5 rounds of patience) and a slice of its
-grids; the reference's own settings are ``REFERENCE_GRIDS``,
-``SELECTION_BASE`` and ``FINAL_CV`` and run through the same functions.
+The final model uses the reference's parameters unchanged (843 trees).
+Spark's boosted trees cost several Spark jobs per tree whatever the rows, so
+the reference's model selection (76 grid points of 5 folds, up to 30,000 trees
+each) is a job for a cluster's night: ``plans.jobs select`` runs it whole.
+The queries named ``*_probe`` run the same machinery (estimators, folds, early
+stopping) with ``PROBE`` settings, which are not the reference's, and are named
+for it.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,8 @@ from rebuy.operators import evaluate as ev
 from rebuy.operators import sampling as sp
 from rebuy.plans import features as pf
 from rebuy.plans import model as ml
+from rebuy.plans.stash import stash
+from rebuy.session import scratch_path
 from rebuy.plans.queries import (FOLD_SALT, K_FOLDS, finish, holdout, query,
                                  tables)
 
@@ -40,14 +44,14 @@ SELECTION_BASE = dict(n_estimators=ml.EARLY_STOP_CAP, max_depth=3, learning_rate
                       min_child_weight=1, colsample_bytree=0.3)
 FINAL_CV = dict(n_estimators=ml.EARLY_STOP_CAP, max_depth=6, learning_rate=0.01, subsample=0.3,
                 min_child_weight=1, colsample_bytree=0.7)
-GRID_SLICE = [dict(learning_rate=0.06, max_depth=4), dict(learning_rate=0.06, max_depth=6)]
-# Tree budget of the registered selection queries (see the module doc).
-SMOKE_GBT = dict(n_estimators=20, max_depth=4, learning_rate=0.06, subsample=0.5,
-                 min_child_weight=1, colsample_bytree=0.3)
-SMOKE_PATIENCE = 5
-RF_DEPTHS = [30]          # 30..50 all cap at Spark's maximum depth 30
+# What the *_probe queries run instead (see the module doc).
+PROBE = dict(n_estimators=20, max_depth=4, learning_rate=0.06, subsample=0.5,
+             min_child_weight=1, colsample_bytree=0.3)
+PROBE_PATIENCE = 5
+PROBE_GRID = [dict(learning_rate=0.06, max_depth=4), dict(learning_rate=0.06, max_depth=6)]
 
 _FINAL: dict = {}
+_SELECTION: dict = {}
 
 
 def production_tables(spark, sf):
@@ -58,21 +62,29 @@ def production_tables(spark, sf):
 
 
 def final_model(spark, sf):
+    """The final model, fitted once per application, saved (S6) and loaded
+    again by its three consumers."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _FINAL:
         train, test = production_tables(spark, sf)
-        train = train.cache()
         model, feats = ml.fit_final(train)
-        _FINAL[key] = (model, feats, test)
-    return _FINAL[key]
+        path = scratch_path(spark, f"final-model-{uuid.uuid4().hex}")
+        ml.save_model(model, path)
+        _FINAL[key] = (path, feats, stash(test))
+    path, feats, test = _FINAL[key]
+    return ml.load_model(path), feats, test
 
 
 def selection_table(spark, sf) -> DataFrame:
-    """Notebook feature table on the model-selection subset, with folds."""
-    t = tables(spark, sf)
-    h = holdout(t)
-    ft, _ = pf.feature_table(t.orders, h.subset_prior_lines, h.subset_lines, t.products, notebook=True)
-    return sp.with_folds(ft, K_FOLDS, FOLD_SALT).cache()
+    """Notebook feature table on the model-selection subset, with folds: built
+    once per application and stored."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _SELECTION:
+        t = tables(spark, sf)
+        h = holdout(t)
+        ft, _ = pf.feature_table(t.orders, h.subset_prior_lines, h.subset_lines, t.products, notebook=True)
+        _SELECTION[key] = stash(sp.with_folds(ft, K_FOLDS, FOLD_SALT))
+    return _SELECTION[key]
 
 
 @query("gbt_scores")
@@ -96,32 +108,31 @@ def q_feature_importance(spark, sf):
 
 @query("standardized")
 def q_standardized(spark, sf):
-    """M2: scaler fitted on the training folds, applied to fold 0."""
+    """M2: scaler fitted on the training folds of fold 0, applied to every row."""
     df = selection_table(spark, sf)
     d, inputs = ml.prepare(df, ml.feature_columns(df))
     m = ml.PopulationScaler(inputs).fit(d.filter(F.col("fold") != 0))
-    out = m.transform(d.filter(F.col("fold") == 0))
-    return finish(out.select("user_id", "product_id", F.array(*inputs).alias("scaled")))
+    return finish(m.transform(d).select("user_id", "product_id", "fold", *inputs))
 
 
-@query("gbt_early_stop")
+@query("gbt_early_stop_probe")
 def q_gbt_early_stop(spark, sf):
-    """M5: validation log-loss per boosting round on fold 0, best count."""
+    """M5: validation AUC per boosting round with fold 0 held out, best count."""
     df = selection_table(spark, sf)
     d, inputs = ml.prepare(df, ml.feature_columns(df))
-    _, best_n, losses = ml.fit_early_stopped(d.filter(F.col("fold") != 0), d.filter(F.col("fold") == 0),
-                                             inputs, {**FINAL_CV, "n_estimators": 100},
-                                             patience=SMOKE_PATIENCE, first_cap=100)
-    rows = [(i + 1, float(v), i + 1 == best_n) for i, v in enumerate(losses)]
-    return finish(spark.createDataFrame(rows, "n_trees int, validation_logloss double, best boolean"))
+    with ml.fitting_rows(d) as rows:
+        _, best_n, scores = ml.fit_early_stopped(rows.filter(F.col("fold") != 0), rows.filter(F.col("fold") == 0),
+                                                 inputs, {**FINAL_CV, "n_estimators": 100}, patience=PROBE_PATIENCE,
+                                                 first_cap=100)
+    out = [(i + 1, float(v), i + 1 == best_n) for i, v in enumerate(scores)]
+    return finish(spark.createDataFrame(out, "n_trees int, validation_auc double, best boolean"))
 
 
 @query("lr_baseline")
 def q_lr_baseline(spark, sf):
     """M6 + M9: L2 logistic regression, standardised, 5-fold CV summary."""
-    df = selection_table(spark, sf).select("user_id", "product_id", "reordered", "fold",
-                                           "user_product_reordered_past")
-    res = ml.cross_validate(df, lambda tr: ml.logistic(1.0, tr.count()), scale=True, k=K_FOLDS)
+    res = ml.cross_validate(selection_table(spark, sf), lambda tr: ml.logistic(1.0, tr.count()),
+                            ["user_product_reordered_past"], scale=True, k=K_FOLDS)
     return finish(res.summary)
 
 
@@ -133,59 +144,71 @@ def q_cv_metrics(spark, sf):
     return finish(res.fold_metrics)
 
 
+# The notebook's feature sets grow stage by stage; bins come after all of these.
+BINNED = ["product_dept_bin", "product_aisle_bin", "current_order_hod"]
+UNBINNED = [c for c in pf.NOTEBOOK_FEATURES if c not in BINNED]
+USER_STAGE = [c for c in UNBINNED if c == "user_product_reordered_past"
+              or c.startswith("user_") and not c.startswith("user_product_")]
+L1_STAGES = {"user": USER_STAGE, "user_product": USER_STAGE + [c for c in UNBINNED if c.startswith("product_")],
+             "all": UNBINNED}
+
+
 @query("lr_l1_grid")
 def q_lr_l1_grid(spark, sf):
-    """M7: L1 logistic regression over C, mean best F1 per C."""
+    """M7: L1 logistic regression over C for the three feature stages, mean
+    best F1 of each."""
     df = selection_table(spark, sf)
     out = None
-    for c in ml.LR_C_GRID:
-        res = ml.cross_validate(df, lambda tr, c=c: ml.logistic(float(c), tr.count(), l1=True),
-                                scale=True, k=K_FOLDS)
-        s = res.summary.select(F.lit(float(c)).alias("C"), "mean_best_f1", "std_best_f1", "mean_auc")
-        out = s if out is None else out.unionByName(s)
+    for stage, features in L1_STAGES.items():
+        for c in ml.LR_C_GRID:
+            res = ml.cross_validate(df, lambda tr, c=c: ml.logistic(float(c), tr.count(), l1=True),
+                                    features, scale=True, k=K_FOLDS)
+            s = res.summary.select(F.lit(stage).alias("stage"), F.lit(float(c)).alias("C"),
+                                   "mean_best_f1", "std_best_f1", "mean_auc")
+            out = s if out is None else out.unionByName(s)
     return finish(out)
 
 
 @query("rf_grid")
 def q_rf_grid(spark, sf):
-    """M8: random forest, 500 trees, min leaf 75, by depth."""
+    """M8: random forest, 500 trees, min leaf 75, over the depths 30 to 50.
+    Spark takes depths up to 30: while no fitted tree reaches that, every
+    greater depth gives the very same forest, and its row is a copy.  A forest
+    that does reach it cannot stand for the others, and their rows go."""
     df = selection_table(spark, sf)
-    out = None
-    for depth in RF_DEPTHS:
-        res = ml.cross_validate(df, lambda tr, d=depth: ml.random_forest(d), k=K_FOLDS)
-        s = res.summary.select(F.lit(depth).alias("max_depth"), "mean_best_f1", "std_best_f1", "mean_auc")
-        out = s if out is None else out.unionByName(s)
-    return finish(out)
+    res = ml.cross_validate(df, lambda tr: ml.random_forest(ml.SPARK_MAX_DEPTH), UNBINNED, k=K_FOLDS)
+    deepest = max(t.depth for m in res.models for t in m.stages[-1].trees)
+    depths = ml.RF_GRID_DEPTHS if deepest < ml.SPARK_MAX_DEPTH else [ml.SPARK_MAX_DEPTH]
+    rows = spark.createDataFrame([(d, deepest) for d in depths], "max_depth int, fitted_depth int")
+    s = res.summary.select("mean_best_f1", "std_best_f1", "mean_auc").first()     # one row
+    return finish(rows.select("*", *[F.lit(s[c]).alias(c) for c in ("mean_best_f1", "std_best_f1", "mean_auc")]))
 
 
-@query("cv_gbt")
+@query("cv_gbt_probe")
 def q_cv_gbt(spark, sf):
-    """Early-stopped boosted trees with the final parameters,
-    without the three weak features (the final model-selection run)."""
+    """Early-stopped boosted trees without the three weak features,
+    with the best round count of every fold."""
     df = selection_table(spark, sf).drop(*pf.WEAK_FEATURES)
-    params = {**SMOKE_GBT, "max_depth": FINAL_CV["max_depth"], "subsample": FINAL_CV["subsample"],
-              "colsample_bytree": FINAL_CV["colsample_bytree"]}
-    res = ml.cross_validate(df, None, k=K_FOLDS, early_stop=params, patience=SMOKE_PATIENCE)
-    return finish(res.fold_metrics.withColumn("best_rounds", F.lit(int(sum(res.best_rounds) / K_FOLDS))))
+    params = {**FINAL_CV, "n_estimators": PROBE["n_estimators"]}
+    res = ml.cross_validate(df, None, k=K_FOLDS, early_stop=params, patience=PROBE_PATIENCE)
+    rounds = F.create_map(*[F.lit(x) for i, n in enumerate(res.best_rounds) for x in (i, n)])
+    return finish(res.fold_metrics.withColumn("best_rounds", F.get(F.array(rounds), F.lit(0))[F.col("fold")]))
 
 
-@query("grid_search")
+@query("grid_search_probe")
 def q_grid_search(spark, sf):
-    """M11 + L6: CV mean best F1 per grid point; ``best`` marks the largest
-    (score, param id) tuple."""
-    df = selection_table(spark, sf)
-    g = ml.grid_search(df, GRID_SLICE, SMOKE_GBT, k=K_FOLDS, patience=SMOKE_PATIENCE)
-    best = g.select(F.max(F.struct("mean_best_f1", F.col("param_id"))).alias("b")).scalar()
-    return finish(g.withColumn("best", F.col("param_id") == best["param_id"]))
+    """M11 + L6: CV mean best F1 per grid point; ``best`` marks rank 1."""
+    g = ml.grid_search(selection_table(spark, sf), PROBE_GRID, PROBE, k=K_FOLDS, patience=PROBE_PATIENCE)
+    return finish(g.withColumn("best", F.col("rank") == 1))
 
 
-@query("ablation")
+@query("ablation_probe")
 def q_ablation(spark, sf):
     """The same CV with and without the three weakest features."""
     df = selection_table(spark, sf)
-    params = SMOKE_GBT
-    full = ml.cross_validate(df, None, k=K_FOLDS, early_stop=params, patience=SMOKE_PATIENCE).summary
-    less = ml.cross_validate(df.drop(*pf.WEAK_FEATURES), None, k=K_FOLDS, early_stop=params,
-                             patience=SMOKE_PATIENCE).summary
-    return finish(full.select(F.lit("all").alias("features"), "mean_best_f1", "mean_auc")
-                  .unionByName(less.select(F.lit("without_weak").alias("features"), "mean_best_f1", "mean_auc")))
+    out = None
+    for name, d in (("all", df), ("without_weak", df.drop(*pf.WEAK_FEATURES))):
+        s = ml.cross_validate(d, None, k=K_FOLDS, early_stop=PROBE, patience=PROBE_PATIENCE).summary
+        s = s.select(F.lit(name).alias("features"), "mean_best_f1", "mean_auc")
+        out = s if out is None else out.unionByName(s)
+    return finish(out)

@@ -6,12 +6,13 @@ XGBoost and scikit-learn are re-aimed to Spark ML:
   per-node feature subset, min_child_weight a minimum instance count);
 * L1 / L2 logistic regression -> ``LogisticRegression`` with
   regParam = 1 / (C * n) (the same objective scaling as C);
-* random forest -> ``RandomForestClassifier`` (Spark caps depth at 30);
-* early stopping on the validation fold -> the validation log-loss per
-  iteration (``evaluateEachIteration``), 50 rounds of patience, then a refit
-  with the best tree count (same seed, so the same first trees);
-* K-fold by user -> the fold column of ``sampling.with_folds``; every fold's
-  scores are unioned so all folds are evaluated in one distributed pass.
+* random forest -> ``RandomForestClassifier`` (Spark takes depths up to 30);
+* early stopping on the validation fold -> the AUC of every prefix of the
+  ensemble from one scoring pass, 50 rounds of patience; the fitted model is
+  then cut to its best prefix (no refit);
+* K-fold by user -> the fold column of ``sampling.with_folds``; folds are
+  fitted by a few threads at a time and every fold's scores are unioned so all
+  folds are evaluated in one distributed pass.
 
 Fits are Spark jobs (tree levels are distributed aggregations); the only
 driver-side loop is over folds and grid points, as in any CV.
@@ -19,11 +20,16 @@ driver-side loop is over folds and grid points, as in any CV.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier,
+                                       LogisticRegression, RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -44,7 +50,9 @@ FINAL_GBT = dict(n_estimators=843, max_depth=6, learning_rate=0.01, subsample=0.
                  min_child_weight=1, colsample_bytree=0.7)
 EARLY_STOP_ROUNDS = 50
 EARLY_STOP_CAP = 30000
-RF_GRID_DEPTHS = list(range(30, 51, 5))       # Spark accepts at most 30
+RF_GRID_DEPTHS = list(range(30, 51, 5))
+SPARK_MAX_DEPTH = 30
+FOLD_THREADS = 4            # folds fitted at a time
 RF_TREES, RF_MIN_LEAF = 500, 75
 LR_C_GRID = [1, 10, 100, 10000]
 
@@ -74,7 +82,7 @@ def gbt(n_estimators=100, max_depth=3, learning_rate=0.1, subsample=1.0, min_chi
     return GBTClassifier(maxIter=n_estimators, maxDepth=max_depth, stepSize=learning_rate,
                          subsamplingRate=subsample, minInstancesPerNode=int(min_child_weight),
                          featureSubsetStrategy=str(colsample_bytree), seed=seed,
-                         lossType="logistic", checkpointInterval=10, cacheNodeIds=True)
+                         lossType="logistic", checkpointInterval=50, cacheNodeIds=False)
 
 
 def logistic(C: float, n: int, l1: bool = False) -> LogisticRegression:
@@ -86,7 +94,9 @@ def logistic(C: float, n: int, l1: bool = False) -> LogisticRegression:
 
 def random_forest(max_depth: int, n_trees: int = RF_TREES, min_leaf: int = RF_MIN_LEAF,
                   seed: int = 42) -> RandomForestClassifier:
-    return RandomForestClassifier(numTrees=n_trees, maxDepth=min(max_depth, 30),
+    if max_depth > SPARK_MAX_DEPTH:
+        raise ValueError(f"Spark's forests take depths up to {SPARK_MAX_DEPTH}, not {max_depth}")
+    return RandomForestClassifier(numTrees=n_trees, maxDepth=max_depth,
                                   minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt",
                                   seed=seed)
 
@@ -135,13 +145,27 @@ def score(model: PipelineModel, df: DataFrame, t: float = 0.5) -> DataFrame:
     return ev.predict(out, "probability_1", t).drop("rawPrediction", "probability", "features", "raw")
 
 
+@contextmanager
+def fitting_rows(df: DataFrame):
+    """Training rows held for the many passes of an iterative fit, in at least
+    as many parts as there are cores, and released afterwards."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    held = df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    held = held.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
 def fit_final(train: DataFrame, features: list[str] | None = None, seed: int = 42,
               **overrides) -> tuple[PipelineModel, list[str]]:
     """M3: the final boosted-tree model on the whole training table."""
     features = features or feature_columns(train)
     d, inputs = prepare(train, features)
     params = {**FINAL_GBT, **overrides}
-    return make_pipeline(gbt(seed=seed, **params), inputs).fit(d), features
+    with fitting_rows(d.select(*inputs, "label")) as rows:
+        return make_pipeline(gbt(seed=seed, **params), inputs).fit(rows), features
 
 
 def holdout_scores(model: PipelineModel, features: list[str], test: DataFrame,
@@ -160,36 +184,86 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def early_stop_rounds(losses: list[float], patience: int = EARLY_STOP_ROUNDS) -> int:
-    """Best iteration count with ``patience`` rounds without improvement."""
-    best, best_i = float("inf"), 0
-    for i, v in enumerate(losses):
-        if v < best:
+def early_stop_rounds(scores: list[float], patience: int = EARLY_STOP_ROUNDS) -> int:
+    """Best round (first of the largest scores) when rounds end after
+    ``patience`` of them without an improvement."""
+    best, best_i = float("-inf"), 0
+    for i, v in enumerate(scores):
+        if v > best:
             best, best_i = v, i
         elif i - best_i >= patience:
             break
     return best_i + 1
 
 
+def _leaf_values(spark: SparkSession, model: GBTClassificationModel, path: str) -> list[np.ndarray]:
+    """Weighted prediction of every leaf of every tree, leaves left to right
+    (a model-sized table), read from the model's saved form (S6)."""
+    model.write().overwrite().save(path)
+    rows = (spark.read.parquet(f"{path}/data")
+            .filter("nodeData.leftChild < 0").select("treeID", "nodeData.id", "nodeData.prediction").collect())
+    out: dict[int, list[tuple[int, float]]] = {}
+    for r in rows:
+        out.setdefault(r["treeID"], []).append((r["id"], r["prediction"]))
+    return [np.array([p for _, p in sorted(out[t])]) * w for t, w in enumerate(model.treeWeights)]
+
+
+def staged_auc(model: PipelineModel, valid: DataFrame) -> list[float]:
+    """AUC on ``valid`` of every prefix of the ensemble, in one pass: the rows'
+    leaves are looked up and added up tree by tree, and the curves of all
+    prefixes are evaluated together."""
+    from rebuy.session import scratch_path
+    import uuid
+    gbt_model = model.stages[-1]
+    values = _leaf_values(valid.sparkSession, gbt_model, scratch_path(valid.sparkSession, f"staged-{uuid.uuid4().hex}"))
+    leaves = gbt_model.copy().setLeafCol("leaves").transform(model.stages[0].transform(valid))
+
+    def margins(batches):
+        for b in batches:
+            at = b.column("leaves").flatten().to_numpy().astype(int).reshape(b.num_rows, len(values))
+            total = np.cumsum(np.stack([v[at[:, t]] for t, v in enumerate(values)], axis=1), axis=1)
+            yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(list(total), pa.list_(pa.float64()))],
+                                             ["label", "margins"])
+    staged = (leaves.select("label", vector_to_array("leaves").alias("leaves"))
+              .mapInArrow(margins, "label double, margins array<double>")
+              .select("label", F.posexplode("margins").alias("round", "margin")))
+    by_round = ev.auc(ev.curve_counts(staged, "label", "margin", ["round"]), ["round"])
+    got = {r["round"]: r["auc"] for r in by_round.collect()}       # a number per tree
+    return [got.get(i) if got.get(i) is not None else 0.5 for i in range(len(values))]
+
+
+def prefix_model(spark: SparkSession, model: PipelineModel, n_trees: int) -> PipelineModel:
+    """The ensemble cut to its first trees."""
+    last = model.stages[-1]
+    sc = spark.sparkContext
+    jvm, java = sc._jvm, last._java_obj
+    trees = java.trees()
+    kept = sc._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n_trees)
+    weights = sc._gateway.new_array(jvm.double, n_trees)
+    for i in range(n_trees):
+        kept[i], weights[i] = trees[i], float(last.treeWeights[i])
+    cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        java.uid(), kept, weights, java.numFeatures(), java.numClasses())
+    java.copyValues(cut, jvm.org.apache.spark.ml.param.ParamMap())
+    return PipelineModel([*model.stages[:-1], GBTClassificationModel(cut)])
+
+
 def fit_early_stopped(train: DataFrame, valid: DataFrame, inputs: list[str], params: dict,
                       patience: int = EARLY_STOP_ROUNDS, seed: int = 42, first_cap: int = 200):
     """M5: grow the ensemble in doubling caps (tree m depends only on the
     seed and m, so a larger cap extends the same trees) until the validation
-    loss has not improved for ``patience`` rounds or the cap
-    ``params['n_estimators']`` is reached; then refit with the best count.
-    Returns (model, best_n, validation losses)."""
+    AUC has not improved for ``patience`` rounds or the cap
+    ``params['n_estimators']`` is reached; the model is then cut to its best
+    prefix.  Returns (model, best_n, validation AUC per round)."""
     cap_limit = params["n_estimators"]
     cap = min(first_cap, cap_limit)
     while True:
         model = make_pipeline(gbt(seed=seed, **{**params, "n_estimators": cap}), inputs).fit(train)
-        losses = list(model.stages[-1].evaluateEachIteration(model.stages[0].transform(valid)))
-        best_n = early_stop_rounds(losses, patience)
+        scores = staged_auc(model, valid)
+        best_n = early_stop_rounds(scores, patience)
         if best_n + patience <= cap or cap >= cap_limit:
-            break
+            return (model if best_n == cap else prefix_model(train.sparkSession, model, best_n)), best_n, scores
         cap = min(cap * 2, cap_limit)
-    if best_n != cap:
-        model = make_pipeline(gbt(seed=seed, **{**params, "n_estimators": best_n}), inputs).fit(train)
-    return model, best_n, losses
 
 
 @dataclass
@@ -197,39 +271,44 @@ class CVResult:
     fold_metrics: DataFrame
     summary: DataFrame
     best_rounds: list[int] = field(default_factory=list)
+    models: list[PipelineModel] = field(default_factory=list)
+    features: list[str] = field(default_factory=list)
 
 
 def cross_validate(df: DataFrame, make_estimator, features: list[str] | None = None,
                    k: int = 5, scale: bool = False, early_stop: dict | None = None,
                    cut: float = 0.5, patience: int = EARLY_STOP_ROUNDS) -> CVResult:
     """User-grouped K-fold.  ``df`` carries a ``fold`` column.
-    Validation scores of all folds are unioned and evaluated together
-    (V1-V7 in one pass); train F1 uses each model's own training rows."""
+    ``FOLD_THREADS`` folds are fitted at a time.  Validation scores of all
+    folds are unioned and evaluated together (V1-V7 in one pass); train F1 uses
+    each model's own training rows.  The scores are stored, so nothing stays
+    cached."""
+    from rebuy.plans.stash import stash
     features = features or feature_columns(df)
     d, inputs = prepare(df, features)
-    d = d.cache()
-    valid_parts, train_parts, rounds = [], [], []
-    for f in range(k):
-        tr, va = d.filter(F.col("fold") != f), d.filter(F.col("fold") == f)
-        if early_stop is not None:
-            model, n, _ = fit_early_stopped(tr, va, inputs, early_stop, patience=patience,
-                                            first_cap=min(200, early_stop["n_estimators"]))
-            rounds.append(n)
-        else:
-            model = make_pipeline(make_estimator(tr), inputs, scale).fit(tr)
-        valid_parts.append(score(model, va, cut).select("fold", "label", "probability_1", "prediction"))
-        train_parts.append(score(model, tr, cut).select(F.lit(f).alias("fold"), "label", "prediction"))
-    valid, train = valid_parts[0], train_parts[0]
-    for p in valid_parts[1:]:
-        valid = valid.unionByName(p)
-    for p in train_parts[1:]:
-        train = train.unionByName(p)
-    # Several metric passes read the scores: score every row once.
-    from pyspark import StorageLevel
-    valid = valid.persist(StorageLevel.MEMORY_AND_DISK)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    metrics = cv_fold_metrics(valid, train)
-    return CVResult(metrics, ev.fold_summary(metrics), rounds)
+    with fitting_rows(d) as rows:
+        def one(f: int):
+            tr, va = rows.filter(F.col("fold") != f), rows.filter(F.col("fold") == f)
+            n = 0
+            if early_stop is not None:
+                model, n, _ = fit_early_stopped(tr, va, inputs, early_stop, patience=patience,
+                                                first_cap=min(200, early_stop["n_estimators"]))
+            else:
+                model = make_pipeline(make_estimator(tr), inputs, scale).fit(tr)
+            both = score(model, rows, cut).select(
+                F.lit(f).alias("model"), "fold", "label", "probability_1", "prediction")
+            return model, n, both
+        with ThreadPoolExecutor(FOLD_THREADS) as pool:
+            fitted = list(pool.map(inheritable_thread_target(d.sparkSession)(one), range(k)))
+        scores = fitted[0][2]
+        for _, _, s in fitted[1:]:
+            scores = scores.unionByName(s)
+        scores = stash(scores)
+    valid = scores.filter("model = fold").drop("model")
+    train = scores.filter("model <> fold").select(F.col("model").alias("fold"), "label", "prediction")
+    metrics = stash(cv_fold_metrics(valid, train))
+    return CVResult(metrics, ev.fold_summary(metrics), [n for _, n, _ in fitted] if early_stop else [],
+                    [m for m, _, _ in fitted], features)
 
 
 def cv_fold_metrics(valid: DataFrame, train: DataFrame) -> DataFrame:
@@ -248,18 +327,20 @@ def cv_fold_metrics(valid: DataFrame, train: DataFrame) -> DataFrame:
 def grid_search(df: DataFrame, grid: list[dict], base: dict, k: int = 5,
                 features: list[str] | None = None, patience: int = EARLY_STOP_ROUNDS) -> DataFrame:
     """CV with early stopping at each grid point -> (param_id, params,
-    mean_best_f1, rank).  Ties on the score go to the lower param id."""
-    spark = df.sparkSession
+    mean_best_f1, std_best_f1, mean_best_rounds, rank).  Equal scores go to the
+    larger parameter values in grid order, as a maximum over (score,
+    parameters) tuples does."""
     rows = []
     for i, point in enumerate(grid):
-        params = {**base, **point}
-        res = cross_validate(df, None, features, k, early_stop=params, patience=patience)
+        res = cross_validate(df, None, features, k, early_stop={**base, **point}, patience=patience)
         s = res.summary.select("mean_best_f1", "std_best_f1").first()
-        rows.append((i, str(sorted(point.items())), float(s.mean_best_f1 or 0.0),
-                     float(s.std_best_f1 or 0.0), int(sum(res.best_rounds) / max(1, len(res.best_rounds)))))
-    out = spark.createDataFrame(rows, "param_id int, params string, mean_best_f1 double, "
-                                      "std_best_f1 double, mean_best_rounds int")
-    return out
+        rows.append((i, str(sorted(point.items())), float(s.mean_best_f1 or 0.0), float(s.std_best_f1 or 0.0),
+                     int(sum(res.best_rounds) / max(1, len(res.best_rounds)))))
+    order = sorted(rows, key=lambda r: (r[2], sorted(grid[r[0]].items())), reverse=True)
+    rank = {r[0]: i + 1 for i, r in enumerate(order)}
+    return df.sparkSession.createDataFrame(
+        [(*r, rank[r[0]]) for r in rows], "param_id int, params string, mean_best_f1 double, "
+        "std_best_f1 double, mean_best_rounds int, rank int")
 
 
 def feature_importance(model: PipelineModel, features: list[str]) -> DataFrame:
@@ -274,4 +355,4 @@ def feature_importance(model: PipelineModel, features: list[str]) -> DataFrame:
     # One row per feature name (a bounded, model-sized list).
     df = SparkSession.getActiveSession().createDataFrame([(f, gain.get(f, 0.0)) for f in features],
                                "feature_names string, gain double")
-    return df.withColumn("feature_type", feature_type("feature_names"))
+    return df.withColumn("feature_type", feature_type("feature_names")).orderBy(F.desc("gain"), "feature_names")

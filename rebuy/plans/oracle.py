@@ -179,7 +179,10 @@ def _sel(cols: list[str], prefix: str = "") -> str:
 
 # ---- sampling --------------------------------------------------------------------
 
-HOLDOUT_N = dict(n_total=60, n_subset=20, n_extra_users=20, seed=42)
+# Holdout sizes: shares of the current orders and of the users, with least sizes.
+N_TOTAL = "(SELECT greatest(60, CAST(ceil(0.198 * count(*)) AS BIGINT)) FROM recent)"
+N_SUBSET = "(SELECT greatest(20, CAST(ceil(0.0457 * count(*)) AS BIGINT)) FROM recent)"
+N_USERS = "(SELECT greatest(20, CAST(ceil(0.0291 * count(*)) AS BIGINT)) FROM uids)"
 
 
 def _md5(cols: list[str], salt: str) -> str:
@@ -187,7 +190,7 @@ def _md5(cols: list[str], salt: str) -> str:
     return f"md5({parts} || '#' || '{salt}')"
 
 
-def holdout_ctes(n_total=60, n_subset=20, n_extra_users=20, seed=42) -> list[str]:
+def holdout_ctes(n_total=N_TOTAL, n_subset=N_SUBSET, n_extra_users=N_USERS, seed=42) -> list[str]:
     return [
         "ont AS (SELECT * FROM b_orders WHERE eval_set IS DISTINCT FROM 'test')",
         "recent AS (SELECT DISTINCT order_id FROM b_train)",
@@ -201,8 +204,8 @@ def holdout_ctes(n_total=60, n_subset=20, n_extra_users=20, seed=42) -> list[str
     ]
 
 
-HOLD = holdout_ctes(**HOLDOUT_N)
-EDA_N = 30000
+HOLD = holdout_ctes()
+EDA_N = 3000
 SAMPLE_ROWS = [f"srows AS (SELECT * FROM b_train ORDER BY {_md5(['order_id', 'product_id'], '42')}, "
                f"order_id, product_id LIMIT {EDA_N})"]
 
@@ -305,8 +308,40 @@ def _orders_cols(p=""):
             f"{p}order_hour_of_day, round({p}days_since_prior_order, 6) AS days_since_prior_order")
 
 
+# ---- M2: the notebook table of the model-selection subset, standardised ----------------
+
+SUBSET = (HOLD + [
+    "s_train AS (SELECT * FROM b_train WHERE order_id IN (SELECT order_id FROM sub))",
+    """s_prior AS (SELECT * FROM b_prior WHERE order_id IN
+                  (SELECT order_id FROM ont WHERE user_id IN (SELECT user_id FROM allu)))"""]
+    + [c.replace("b_prior", "s_prior").replace("b_train", "s_train") for c in BINS])
+NULLABLE = ["user_days_since_last_order_mean", "product_dept_bin", "product_aisle_bin", "current_order_hod"]
+SCALED = [c for f in FEATURES + NOTEBOOK_EXTRA for c in ([f"{f}_missing", f] if f in NULLABLE else [f])]
+
+
+def _raw_input(c: str) -> str:
+    if c.endswith("_missing"):
+        return f"CASE WHEN {c[:-8]} IS NULL THEN 1.0 ELSE 0.0 END"
+    return f"coalesce(CAST({c} AS DOUBLE), 0.0)"
+
+
+def _standardised(c: str) -> str:
+    mean = f"(SELECT avg({c}) FROM inp WHERE fold <> 0)"
+    spread = f"(SELECT stddev_pop({c}) FROM inp WHERE fold <> 0)"
+    return f"round(({c} - {mean}) / CASE WHEN {spread} > 0 THEN {spread} ELSE 1.0 END, 6) AS {c}"
+
+
+STANDARDISED = with_adapter(
+    *SUBSET, f"inp AS (SELECT user_id, product_id, {FOLD_HASH} AS fold, "
+             + ", ".join(f"{_raw_input(c)} AS {c}" for c in SCALED) + " FROM ft)",
+    select="SELECT user_id, product_id, fold, " + ", ".join(map(_standardised, SCALED)) + " FROM inp")
+
 SQL: dict[str, str] = {
+    "standardized": STANDARDISED,
     "scan_orders": with_adapter(select=f"SELECT {_orders_cols()} FROM b_orders"),
+    "scan_products": with_adapter(select="""
+        SELECT product_id, CASE WHEN product_id % 2 = 0 THEN 'Bar, ""' || product_name || '"" "Dark", Big'
+                                ELSE product_name END AS product_name, aisle_id, department_id FROM b_products"""),
     "filter_not_test": with_adapter(
         select=f"SELECT {_orders_cols()} FROM b_orders WHERE eval_set IS DISTINCT FROM 'test'"),
     "order_details": with_adapter(select="""
@@ -321,8 +356,9 @@ SQL: dict[str, str] = {
                round(days_since_prior_order, 6) AS days_since_prior_order FROM o_tbl"""),
     "user_gap_std": with_adapter(*PRIOR_AGGS, select=f"""
         SELECT user_id, {R.format('user_days_since_last_order_std', 'user_days_since_last_order_std')} FROM usr"""),
-    "user_uniq": with_adapter(*PRIOR_AGGS, select="""
-        SELECT user_id, count(*) AS user_total_uniq_product FROM up GROUP BY user_id"""),
+    "user_uniq": with_adapter(select="""
+        SELECT o.user_id, count(DISTINCT p.product_id) AS user_total_uniq_product
+        FROM b_prior p JOIN b_orders o ON p.order_id = o.order_id GROUP BY o.user_id"""),
     "user_features": with_adapter(*PRIOR_AGGS, select="SELECT user_id, " + _sel([
         "user_total_order", "user_cart_size", "user_total_product", "user_days_since_last_order_mean",
         "user_days_since_last_order_std", "user_total_uniq_product", "user_uniq_prod_over_total_prod"])
@@ -361,8 +397,9 @@ SQL: dict[str, str] = {
         SELECT c.user_id, c.product_id, c.reordered, p.aisle_id, p.department_id
         FROM cand c LEFT JOIN b_products p ON c.product_id = p.product_id"""),
     "days_before_last": with_adapter(*PRIOR_AGGS, select="""
-        SELECT user_id, product_id, user_product_most_recent_order,
-               round(cd, 6) AS user_product_days_before_last_product_order FROM up"""),
+        SELECT up.user_id, up.product_id, up.user_product_most_recent_order,
+               round(o.cd, 6) AS user_product_days_before_last_product_order
+        FROM up LEFT JOIN o_cd o ON o.user_id = up.user_id AND o.order_number = up.user_product_most_recent_order"""),
     "user_product_features": with_adapter(*PRIOR_AGGS, select="""
         SELECT up.user_id, up.product_id,
                round(up.user_product_ave_add_to_cart_order_scale, 6) AS user_product_ave_add_to_cart_order_scale,
@@ -455,11 +492,18 @@ SQL: dict[str, str] = {
                                              THEN 2 * precision * recall / (precision + recall) END, 0.0), 6) AS f1
                   FROM cm2"""),
     "roc_points": with_adapter(*SCORED, select="""
-        SELECT round(threshold, 6) AS threshold, round(fps / N, 6) AS fpr, round(tps / P, 6) AS tpr FROM crv"""),
-    "auc": with_adapter(*SCORED, select="""
-        SELECT round(sum(neg * (2 * tps - pos)) / (2.0 * max(P) * max(N)), 6) AS auc FROM crv"""),
+        SELECT round(threshold, 6) AS threshold, round(fps / N, 6) AS fpr, round(tps / P, 6) AS tpr FROM crv
+        UNION ALL SELECT NULL, 0.0, 0.0"""),
+    # the share of (positive, negative) pairs in the right order, from mean ranks
+    "auc": with_adapter(*SCORED, """ranked AS (SELECT reordered, rank() OVER (ORDER BY score)
+                                                  + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS r
+                                           FROM sc WHERE score IS NOT NULL)""", select="""
+        SELECT round((sum(r) FILTER (reordered = 1) - np * (np + 1) / 2.0) / (np * nn), 6) AS auc
+        FROM ranked, (SELECT count(*) FILTER (reordered = 1) AS np, count(*) FILTER (reordered = 0) AS nn FROM ranked) c
+        GROUP BY np, nn"""),
     "pr_points": with_adapter(*SCORED, select="""
-        SELECT round(threshold, 6) AS threshold, round(precision, 6) AS precision, round(recall, 6) AS recall FROM pr"""),
+        SELECT round(threshold, 6) AS threshold, round(precision, 6) AS precision, round(recall, 6) AS recall FROM pr
+        UNION ALL SELECT NULL, 1.0, 0.0"""),
     "best_f1": with_adapter(*SCORED, """f1s AS (SELECT threshold, recall, precision,
                                                2 * recall * precision / (recall + precision) AS f1
                                         FROM pr WHERE recall <> 0 AND precision <> 0)""", select="""
@@ -472,7 +516,9 @@ SQL: dict[str, str] = {
         f"round(avg({m}), 6) AS mean_{m}, round(stddev_pop({m}), 6) AS std_{m}" for m in METRICS) + " FROM fm"),
     "curve_points": with_adapter(*FOLDED, select="""
         SELECT fold, 'roc' AS series, round(fps / N, 6) AS x, round(tps / P, 6) AS y FROM fcrv
+        UNION ALL SELECT DISTINCT fold, 'roc', 0.0, 0.0 FROM fcrv
         UNION ALL SELECT fold, 'pr', round(recall, 6), round(precision, 6) FROM fpr
+        UNION ALL SELECT DISTINCT fold, 'pr', 0.0, 1.0 FROM fcrv
         UNION ALL SELECT fold, 'f1', round(threshold, 6), round(f1, 6) FROM ff1"""),
     "eda_dept_freq": with_adapter(*_eda("department_id", "b_departments", "department"), select="""
         SELECT department_id, department, round(no_reorder, 6) AS no_reorder, round(reordered, 6) AS reordered,

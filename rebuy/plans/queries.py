@@ -8,6 +8,7 @@ results compare with the SQL oracles in ``rebuy.plans.oracle``.
 from __future__ import annotations
 
 import hashlib
+import math
 import os
 from collections.abc import Callable
 
@@ -27,9 +28,13 @@ from rebuy.session import scratch_path
 from rebuy.sources.files import read_csv_table, write_csv
 from rebuy.sources.testdata import BasketTables, basket_tables, materialize
 
-# Fixed query parameters (sized to fit the smallest test scale too).
-HOLDOUT = dict(n_total=60, n_subset=20, n_extra_users=20, seed=42)
-EDA_SAMPLE_ROWS = 30000
+# The holdout job's sizes as shares of the current orders and of the users,
+# as the reference's 26,000 / 6,000 orders and 6,000 users are of its data;
+# tables too small for five folds get at least the least sizes.
+HOLDOUT_SHARES = dict(n_total=0.198, n_subset=0.0457, n_extra_users=0.0291)
+HOLDOUT_LEAST = dict(n_total=60, n_subset=20, n_extra_users=20)
+HOLDOUT_SEED = 42
+EDA_SAMPLE_ROWS = 3000      # below the line count at the tested scale, so the sample bites
 K_FOLDS = 5
 FOLD_SALT = "42"
 SCORE = "user_product_percent_order_containing_product"   # deterministic score
@@ -69,7 +74,8 @@ def tables(spark: SparkSession, sf_dir: str) -> BasketTables:
 
 
 def prior(t: BasketTables) -> pf.PriorAggregates:
-    return pf.prior_aggregates(t.orders, t.prior)
+    """Lazy: a query plans, and reads, only what it names."""
+    return pf.prior_aggregates(t.orders, t.prior, mode="none")
 
 
 def candidates(t: BasketTables, p: pf.PriorAggregates | None = None) -> DataFrame:
@@ -77,7 +83,11 @@ def candidates(t: BasketTables, p: pf.PriorAggregates | None = None) -> DataFram
 
 
 def holdout(t: BasketTables) -> sp.Holdout:
-    return sp.Holdout(t.orders, t.train, t.prior, **HOLDOUT)
+    base = {"n_total": t.train.select(F.count_distinct("order_id")).first()[0],
+            "n_extra_users": od.filter_not_test(t.orders).select(F.count_distinct("user_id")).first()[0]}
+    base["n_subset"] = base["n_total"]
+    sizes = {k: max(HOLDOUT_LEAST[k], math.ceil(share * base[k])) for k, share in HOLDOUT_SHARES.items()}
+    return sp.Holdout(t.orders, t.train, t.prior, **sizes, seed=HOLDOUT_SEED)
 
 
 def scored(t: BasketTables) -> DataFrame:
@@ -97,6 +107,19 @@ def q_scan_orders(spark, sf):
     return finish(read_csv_table(spark, path, "orders"))
 
 
+@query("scan_products")
+def q_scan_products(spark, sf):
+    """S1 + S2 over text cells: names with commas, quotes and doubled quotes
+    survive the way out and back."""
+    t = tables(spark, sf)
+    tag = hashlib.md5(os.path.abspath(sf).encode()).hexdigest()[:12]
+    path = scratch_path(spark, f"products_csv_{tag}")
+    quoted = F.concat(F.lit('Bar, ""'), "product_name", F.lit('"" "Dark", Big'))
+    write_csv(t.products.withColumn("product_name", F.when(F.col("product_id") % 2 == 0, quoted)
+                                    .otherwise(F.col("product_name"))), path)
+    return finish(read_csv_table(spark, path, "products"))
+
+
 @query("filter_not_test")
 def q_filter_not_test(spark, sf):
     return finish(od.filter_not_test(tables(spark, sf).orders))
@@ -135,7 +158,8 @@ def q_user_gap_std(spark, sf):
 @query("user_uniq")
 def q_user_uniq(spark, sf):
     t = tables(spark, sf)
-    return fe.user_uniq_products(prior(t).user_products)
+    details = t.prior.join(t.orders.select("order_id", "user_id"), "order_id")
+    return fe.user_uniq_products(details.select("user_id", "product_id").distinct())
 
 
 @query("user_features")
@@ -229,14 +253,14 @@ def q_candidate_labels(spark, sf):
 def q_with_product_features(spark, sf):
     t = tables(spark, sf)
     p = prior(t)
-    c = candidates(t, p).select("user_id", "product_id", "reordered")
+    c = pf.labelled_candidates(t.orders, t.train, p.user_products).select("user_id", "product_id", "reordered")
     return finish(c.join(p.products, "product_id", "left"))
 
 
 @query("with_product_dim")
 def q_with_product_dim(spark, sf):
     t = tables(spark, sf)
-    c = candidates(t).select("user_id", "product_id", "reordered")
+    c = pf.labelled_candidates(t.orders, t.train, prior(t).user_products).select("user_id", "product_id", "reordered")
     return c.join(t.products.select("product_id", "aisle_id", "department_id"), "product_id", "left")
 
 
@@ -307,26 +331,31 @@ def q_same_day(spark, sf):
 
 # ---- binning ------------------------------------------------------------------
 
-def _labelled_dims(t: BasketTables) -> DataFrame:
-    c = candidates(t).select("product_id", "reordered", "order_hour_of_day")
-    return c.join(t.products.select("product_id", "aisle_id", "department_id"), "product_id", "left")
+def _counts(spark, sf, key: str) -> DataFrame:
+    """The class counts that ``features.fit_bins`` fits its maps on: one
+    candidate join, reduced before it meets the product dimension."""
+    t = tables(spark, sf)
+    cand = pf.labelled_candidates(t.orders, t.train, prior(t).user_products)
+    if key == "order_hour_of_day":
+        return bn.class_counts(cand.groupBy(key, "reordered").count(), key, weight="count")
+    return bn.class_counts(pf.product_label_counts(cand, t.products), key, weight="count")
 
 
 @query("dept_counts")
 def q_dept_counts(spark, sf):
-    return bn.class_counts(_labelled_dims(tables(spark, sf)), "department_id")
+    return _counts(spark, sf, "department_id")
 
 
 @query("dept_ratio")
 def q_dept_ratio(spark, sf):
-    counts = bn.class_counts(_labelled_dims(tables(spark, sf)), "department_id")
+    counts = _counts(spark, sf, "department_id")
     return finish(bn.class_ratios(counts, fill_missing=False)
                   .select("department_id", "no_reorder", "reordered"))
 
 
 @query("dept_bins")
 def q_dept_bins(spark, sf):
-    counts = bn.class_counts(_labelled_dims(tables(spark, sf)), "department_id")
+    counts = _counts(spark, sf, "department_id")
     return finish(bn.bin_map(counts, "department_id", "department", "product_dept_bin"))
 
 
@@ -334,7 +363,7 @@ def q_dept_bins(spark, sf):
 def q_dept_diff_sorted(spark, sf):
     """L1: department diffs ranked descending, NULL last."""
     from pyspark.sql import Window
-    counts = bn.class_counts(_labelled_dims(tables(spark, sf)), "department_id")
+    counts = _counts(spark, sf, "department_id")
     r = bn.class_ratios(counts, fill_missing=False)
     w = Window.orderBy(F.desc_nulls_last("diff"), "department_id")
     return finish(r.select("department_id", "diff", F.row_number().over(w).cast("int").alias("rank")))
@@ -342,20 +371,20 @@ def q_dept_diff_sorted(spark, sf):
 
 @query("aisle_freq")
 def q_aisle_freq(spark, sf):
-    counts = bn.class_counts(_labelled_dims(tables(spark, sf)), "aisle_id")
+    counts = _counts(spark, sf, "aisle_id")
     return finish(bn.class_ratios(counts, fill_missing=True)
                   .select("aisle_id", "no_reorder", "reordered", "diff"))
 
 
 @query("aisle_bins")
 def q_aisle_bins(spark, sf):
-    counts = bn.class_counts(_labelled_dims(tables(spark, sf)), "aisle_id")
+    counts = _counts(spark, sf, "aisle_id")
     return finish(bn.bin_map(counts, "aisle_id", "aisle", "product_aisle_bin"))
 
 
 @query("hod_bins")
 def q_hod_bins(spark, sf):
-    counts = bn.class_counts(_labelled_dims(tables(spark, sf)), "order_hour_of_day")
+    counts = _counts(spark, sf, "order_hour_of_day")
     return finish(bn.bin_map(counts, "order_hour_of_day", "hour", "current_order_hod"))
 
 
@@ -369,7 +398,7 @@ def q_apply_bins(spark, sf):
 @query("aisle_top_bottom")
 def q_aisle_top_bottom(spark, sf):
     """L4 over the candidate-label aisle frequencies."""
-    counts = bn.class_counts(_labelled_dims(tables(spark, sf)), "aisle_id")
+    counts = _counts(spark, sf, "aisle_id")
     r = bn.class_ratios(counts, fill_missing=True).select("aisle_id", "no_reorder", "reordered", "diff")
     return finish(eda.top_bottom(r, "aisle_id", 10))
 

@@ -1,29 +1,29 @@
 """Materialisation points.
 
-A DataFrame used by several branches of a job is computed once and reused:
-``checkpoint`` writes it to the cluster's shared ``spark.checkpoint.dir``
-(reliable: it survives executor loss and cuts the lineage), ``persist``
-keeps it in executor memory spilling to disk (lost blocks are recomputed
-from lineage), ``none`` leaves the plan lazy.  A checkpointed DataFrame
-keeps its output partitioning, so joins on the same key do not re-shuffle.
+A DataFrame used by several branches of a job is computed once and reused.
+``table`` writes it as Parquet under the cluster's shared
+``spark.checkpoint.dir`` and reads it back: it survives executor loss, cuts the
+lineage, and its readers prune columns and push filters down.  Its
+partitioning is not kept: a later join on the same key shuffles again.
+``none`` leaves the plan lazy.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import DataFrame
 
-from rebuy.session import ensure_checkpoint_dir
+from rebuy.session import scratch_path
 
-MODES = ("checkpoint", "persist", "none")
+MODES = ("table", "none")
 
 
-def stash(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
-    if mode == "checkpoint":
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    if mode == "persist":
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+def stash(df: DataFrame, mode: str = "table") -> DataFrame:
     if mode == "none":
         return df
-    raise ValueError(f"stash mode must be one of {MODES}")
+    if mode != "table":
+        raise ValueError(f"stash mode must be one of {MODES}")
+    path = scratch_path(df.sparkSession, f"stash-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

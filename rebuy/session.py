@@ -8,6 +8,7 @@ and the examples only.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -32,22 +33,6 @@ JOB_CONF = {
 }
 
 
-def cluster_conf(shuffle_bytes: int, total_cores: int,
-                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Partition sizing for a cluster run: enough initial shuffle partitions
-    that each holds about ``target_partition_bytes`` of the largest shuffle
-    (AQE coalesces the small ones afterwards), never fewer than 3 waves of
-    tasks; scans split at 256 MB."""
-    parts = max(3 * total_cores, -(-shuffle_bytes // target_partition_bytes))
-    return {
-        **JOB_CONF,
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(256 << 20),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
-    }
-
-
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "rebuy") -> SparkSession:
     builder = (
@@ -69,18 +54,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (a bare local test session) a scratch folder is created for it.
+    ``spark.checkpoint.dir`` is read from the session, or what
+    ``setCheckpointDir`` was given.  A one-process local session (tests, the
+    bench) that names none gets a scratch folder; anywhere else executors
+    could not see such a folder, so a missing setting is an error.
     """
     sc = spark.sparkContext
+    if sc.getCheckpointDir() is not None:
+        return sc.getCheckpointDir()
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not current:
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="rebuy-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+    sc.setCheckpointDir(current)
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

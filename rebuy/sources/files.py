@@ -15,6 +15,10 @@ from pyspark.sql import types as T
 from rebuy.sources import schemas
 
 
+# A quote inside a quoted cell is doubled, as every CSV writer of dataframes does.
+QUOTING = {"quote": '"', "escape": '"'}
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Replace NaN by NULL in every floating column."""
     cols = []
@@ -34,6 +38,7 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | str) -
     df = (spark.read.schema(schema)
           .option("header", True)
           .option("mode", "FAILFAST")
+          .options(**QUOTING)
           .csv(path))
     return nan_to_null(df)
 
@@ -44,7 +49,7 @@ def read_parquet_table(spark: SparkSession, path: str) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV sink with a header row and no index column."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).options(**QUOTING).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

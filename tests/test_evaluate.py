@@ -43,7 +43,7 @@ def test_auc_equals_pair_count_many_blocks(spark):
     rnd = random.Random(7)
     ys = [rnd.randint(0, 1) for _ in range(600)]
     ps = [round(rnd.random(), 2) for _ in range(600)]          # many ties
-    curve = ev.curve_counts(_df(spark, ys, ps), "y", "p", rows_per_block=7)
+    curve = ev.curve_counts(_df(spark, ys, ps), "y", "p")
     assert ev.auc(curve).first().auc == pytest.approx(_brute_auc(ys, ps), abs=1e-12)
 
 
@@ -60,8 +60,11 @@ def test_auc_invariant_under_monotone_map(spark):
 def test_pr_curve_stops_at_full_recall(spark):
     d = _df(spark, [1, 0, 1, 0, 0], [.9, .8, .7, .2, .1])
     pts = ev.pr_points(ev.curve_counts(d, "y", "p")).orderBy(F.desc("threshold")).collect()
-    assert [r.threshold for r in pts] == [.9, .8, .7]
-    assert pts[-1].recall == 1.0
+    assert [r.threshold for r in pts] == [.9, .8, .7, None]
+    assert pts[-2].recall == 1.0
+    assert (pts[-1].recall, pts[-1].precision) == (0.0, 1.0)
+    first = ev.roc_points(ev.curve_counts(d, "y", "p")).filter("threshold is null").collect()
+    assert [(r.fpr, r.tpr) for r in first] == [(0.0, 0.0)]
 
 
 def test_fold_metrics_keys(spark):

@@ -9,9 +9,36 @@ from rebuy.plans.features import feature_table
 
 
 def test_early_stop_rounds():
-    losses = [5, 4, 3, 3.5, 3.6, 3.7, 3.8]
-    assert ml.early_stop_rounds(losses, patience=3) == 3
-    assert ml.early_stop_rounds([3, 2, 1], patience=3) == 3
+    scores = [0.5, 0.6, 0.7, 0.69, 0.7, 0.68, 0.9]
+    assert ml.early_stop_rounds(scores, patience=3) == 3
+    assert ml.early_stop_rounds(scores, patience=5) == 7
+    assert ml.early_stop_rounds([0.1, 0.2, 0.3], patience=3) == 3
+
+
+def test_staged_auc_and_prefix_models(spark, planted):
+    """The staged AUC of n trees is that of the model cut to n trees, which is
+    the model fitted with n trees; AUC and log-loss may stop apart."""
+    d, inputs = ml.prepare(planted, ml.feature_columns(planted))
+    params = dict(max_depth=2, learning_rate=0.9, subsample=0.7, colsample_bytree=0.7)
+    model = ml.make_pipeline(ml.gbt(n_estimators=9, **params), inputs).fit(d)
+    staged = ml.staged_auc(model, d)
+    assert len(staged) == 9
+    for n in (1, 4, 9):
+        cut = ml.prefix_model(spark, model, n)
+        assert cut.stages[-1].getNumTrees == n
+        got = ml.score(cut, d).select("label", "probability_1")
+        assert ev.auc(ev.curve_counts(got, "label", "probability_1")).first().auc == pytest.approx(staged[n - 1], abs=2e-3)
+    again = ml.make_pipeline(ml.gbt(n_estimators=4, **params), inputs).fit(d)
+    a = {(r.user_id, r.product_id): r.probability_1 for r in ml.score(ml.prefix_model(spark, model, 4), d).collect()}
+    b = {(r.user_id, r.product_id): r.probability_1 for r in ml.score(again, d).collect()}
+    assert a == pytest.approx(b)
+    losses = list(model.stages[-1].evaluateEachIteration(model.stages[0].transform(d)))
+    assert len(losses) == len(staged)
+
+
+def test_forest_depth_is_never_clamped():
+    with pytest.raises(ValueError):
+        ml.random_forest(35)
 
 
 @pytest.fixture(scope="module")

@@ -3,6 +3,8 @@ column pruning reach the scans, no un-partitioned window over big inputs."""
 
 import re
 
+import pytest
+
 from rebuy.plans.queries import REGISTRY
 from tests.conftest import SF001
 
@@ -29,20 +31,31 @@ def test_no_unpartitioned_window_on_lines(spark):
     plan = _plan(REGISTRY["feature_table"](spark, SF001))
     for line in plan.splitlines():
         if re.search(r"\bWindow \[", line):
-            # every window is partitioned (a block or key partition spec)
-            assert re.search(r"\], \[[^\]]+\], \[", line), line
-
-
-def test_join_small_broadcasts_only_under_bound(spark):
-    from rebuy.operators.joins import join_small
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    small = spark.range(10).withColumnRenamed("id", "k")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+            # every window is partitioned (a block or key partition spec), but
+            # for the class totals over the category tables (one row per key)
+            assert re.search(r"\], \[[^\]]+\], \[", line) or "sum(n0#" in line, line
+
+
+@pytest.mark.parametrize("name", ["user_uniq", "user_features", "ffill_days", "dept_bins", "user_product_features"])
+def test_prior_queries_are_lazy(spark, name):
+    """Nothing runs before the action, and the candidate join of a bin query
+    is planned once."""
+    from rebuy.plans.queries import tables
+    tables(spark, SF001)
+    sc = spark.sparkContext
+    sc.setJobGroup(f"lazy-{name}", name)
     try:
-        yes = join_small(big, small, "k", "left", max_rows=100)
-        no = join_small(big, small, "k", "left", max_rows=5)
-        assert "BroadcastHashJoin" in yes._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in no._jdf.queryExecution().executedPlan().toString()
-        assert yes.count() == no.count() == 1000
+        df = REGISTRY[name](spark, SF001)
+        assert not sc.statusTracker().getJobIdsForGroup(f"lazy-{name}")
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    if name == "dept_bins":
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("coalesce(_label") <= 1
+
+
+def test_user_uniq_reads_only_its_columns(spark):
+    plan = _plan(REGISTRY["user_uniq"](spark, SF001))
+    for line in plan.splitlines():
+        if "ReadSchema" in line:
+            assert "add_to_cart_order" not in line and "days_since" not in line, line

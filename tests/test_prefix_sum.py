@@ -30,5 +30,5 @@ def test_value_blocks_global(spark):
     d = spark.createDataFrame(rows, "x double, v long")
     w = Window.orderBy(F.desc("x")).rowsBetween(Window.unboundedPreceding, 0)
     want = {r.x: r.s for r in d.withColumn("s", F.sum("v").over(w)).collect()}
-    got = running_sum_by_value(d, [], "x", {"v": "s"}, descending=True, rows_per_block=13)
+    got = running_sum_by_value(d, [], "x", {"v": "s"}, descending=True)
     assert {r.x: r.s for r in got.collect()} == want

@@ -33,7 +33,7 @@ def test_auc_is_pair_probability(spark, rows):
     want = sum(1.0 if a > b else 0.5 if a == b else 0.0
                for a, b in itertools.product(pos, neg)) / (len(pos) * len(neg))
     d = spark.createDataFrame([(y, s / 20.0) for y, s in rows], "y int, p double")
-    got = ev.auc(ev.curve_counts(d, "y", "p", rows_per_block=5)).first().auc
+    got = ev.auc(ev.curve_counts(d, "y", "p")).first().auc
     assert abs(got - want) < 1e-12
 
 
