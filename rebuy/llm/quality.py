@@ -1,11 +1,13 @@
 """Quality by compression: zstandard dictionaries of good and of bad text.
 
 A window of text is compressed twice, with a dictionary built from good and
-with one built from bad labelled windows.  Its normalised difference is
-(bad size - good size) / (bad size + good size): positive when good text
-explains it better.  A text's windows, end to end, give their mean and their
-least difference (junk may fill only a part of a text).  A logistic fit on
-labelled texts that fed no dictionary calibrates the two into a probability.
+with one built from bad labelled windows.  The size difference (bad - good) is
+normalised by the sizes' sum and by the window's length: positive when good
+text explains the window better, and near zero by length where the window
+hardly holds anything (one word over and over).  A text's windows, end to end,
+give the mean, the least and the largest of both (junk may fill only a part of
+a text).  A logistic fit on labelled texts that fed no dictionary calibrates
+these into a probability.
 """
 
 from __future__ import annotations
@@ -19,14 +21,15 @@ from pyspark.sql import functions as F
 from rebuy.llm.heldout import is_held_out, labelled_sample
 from rebuy.llm.shared import slices
 
-WINDOW = 512
+WINDOW = 128
 DICT_BYTES = 112640
-DICT_ROWS = 1500        # labelled texts per class that build its dictionary
-FIT_ROWS = 1500         # further ones per class that calibrate
+DICT_ROWS = 1000        # labelled texts per class that build its dictionary
+FIT_ROWS = 1000         # further ones per class that calibrate
 SAMPLE_BYTES = 6000     # bytes of a labelled text that a dictionary may see
 FIT_CHARS = 1 << 16     # characters of a labelled text that reach the driver
 LEVEL = 3
 CUT = 0.7
+FEATURES = 6
 SEED = 3
 
 
@@ -41,22 +44,22 @@ class Model:
 
     def __init__(self, good: bytes, bad: bytes):
         self.good, self.bad = good, bad
-        self.mean, self.scale = np.zeros(2), np.ones(2)
-        self.weights, self.bias = np.zeros(2), 0.0
+        self.mean, self.scale = np.zeros(FEATURES), np.ones(FEATURES)
+        self.weights, self.bias = np.zeros(FEATURES), 0.0
 
     def compressors(self):
         return [zstandard.ZstdCompressor(dict_data=_loaded(d), write_content_size=False, write_dict_id=False)
                 for d in (self.good, self.bad)]
 
-    def features(self, text: bytes, compressors) -> tuple[float, float]:
-        g, b = compressors
-        diffs, sizes = [], []
-        for w in pieces(text):
-            x, y = len(g.compress(w)), len(b.compress(w))
-            diffs.append((y - x) / (y + x))
-            sizes.append(len(w))
-        d = np.array(diffs)
-        return float(np.average(d, weights=np.maximum(sizes, 1))), float(d.min())
+    def features(self, text: bytes, compressors) -> list[float]:
+        good, bad = (c.compress for c in compressors)
+        found = np.array([(len(good(w)), len(bad(w)), len(w)) for w in pieces(text)], float)
+        size = np.maximum(found[:, 2], 1)
+        diff = found[:, 1] - found[:, 0]
+        out: list[float] = []
+        for d in (diff / (found[:, 0] + found[:, 1]), diff / size):
+            out += [float(np.average(d, weights=size)), float(d.min()), float(d.max())]
+        return out
 
     def score(self, features: np.ndarray) -> np.ndarray:
         z = ((features - self.mean) / self.scale) @ self.weights + self.bias
@@ -67,18 +70,18 @@ class Model:
         numbers; the bias is moved back to the share ``prior`` of label 1."""
         self.mean, self.scale = features.mean(axis=0), features.std(axis=0) + 1e-9
         x = np.column_stack(((features - self.mean) / self.scale, np.ones(len(features))))
-        w = np.zeros(3)
+        w = np.zeros(FEATURES + 1)
         for _ in range(50):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
-            ridge = 1e-3 * np.array([1, 1, 0])
+            ridge = 1e-3 * (np.arange(FEATURES + 1) < FEATURES)
             step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge + 1e-9),
                                    x.T @ (label - p) - ridge * w)
             w += np.clip(step, -5, 5)
             if np.abs(step).max() < 1e-8:
                 break
         drawn = label.mean()
-        self.weights = w[:2]
-        self.bias = w[2] + np.log(prior / (1 - prior)) - np.log(drawn / (1 - drawn))
+        self.weights = w[:FEATURES]
+        self.bias = w[FEATURES] + np.log(prior / (1 - prior)) - np.log(drawn / (1 - drawn))
 
 
 def _loaded(content: bytes) -> zstandard.ZstdCompressionDict:
@@ -136,7 +139,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
         tools = model.compressors() if model else None
         for b in slices(batches):
             texts = [t.as_py() or b"" for t in b.column("text").cast(pa.large_binary())]
-            s = (model.score(np.array([model.features(t, tools) for t in texts]).reshape(-1, 2))
+            s = (model.score(np.array([model.features(t, tools) for t in texts]).reshape(-1, FEATURES))
                  if model else np.full(len(texts), 0.5))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s)], ["doc_id", "score"])
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double")
