@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -33,7 +34,7 @@ from rebuy.llm.shared import slices, stored
 
 SPACE = "▁"
 CHUNK_CHARS = 1 << 15
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 300_000     # segments remembered, and as many older ones
 UNKNOWN_PENALTY = 10.0      # fixed value: below the least piece score
 START = (-1, 0)
 NEG = -math.inf
@@ -66,8 +67,17 @@ class Vocabulary:
         self.unknown_score = least - UNKNOWN_PENALTY
         self.follows: dict[int, bool] = {}
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         if self.bpe and not self.parts:
             self._split_all()
+        # every start of a piece -> its id, or -1 where no piece ends; a BPE
+        # piece that merging never yields counts as a start only
+        self.reach: dict[str, int] = {}
+        for p, i in self.ids.items():
+            for e in range(1, len(p)):
+                self.reach.setdefault(p[:e], -1)
+            if not self.bpe or len(p) == 1 or i in self.parts:
+                self.reach[p] = i
 
     # ---- pieces ---------------------------------------------------------
 
@@ -160,34 +170,59 @@ class Vocabulary:
 
     def path(self, s: str) -> list[int]:
         """Best pieces of a segment from its hard start to its hard end."""
-        n, longest = len(s), self.longest
-        last: list[int | None] = [None] * (n + 1)
-        last[0] = -1
-        if self.bpe:
-            ids, scores_of, parts, size = self.ids, self.follows, self.parts, self.size
-            for e in range(1, n + 1):
-                for b in range(max(0, e - longest), e):
-                    prev = last[b]
-                    if prev is None:
-                        continue
-                    t = ids.get(s[b:e])
-                    if t is None:
-                        if e - b > 1:
-                            continue
-                        t = size + ord(s[b])
-                    elif e - b > 1 and t not in parts:
+        return self._only_path(s) if self.bpe else self._best_path(s)
+
+    def _only_path(self, s: str) -> list[int]:
+        """The one path of weight 0: longest allowed piece first, back to the
+        next shorter where none goes on.  A prefix has one path at most, so a
+        position that failed once fails always."""
+        n, reach, follows, size = len(s), self.reach, self.follows, self.size
+        dead = [False] * (n + 1)
+        out: list[int] = []
+        choices: list[list[tuple[int, int]]] = []
+        at, prev = 0, -1
+        while at < n:
+            found = []
+            for e in range(at + 1, n + 1):
+                t = reach.get(s[at:e])
+                if t is None:
+                    if e == at + 1:
+                        found.append((size + ord(s[at]), e))
+                    break
+                if t >= 0:
+                    found.append((t, e))
+                elif e == at + 1:
+                    found.append((size + ord(s[at]), e))
+            while True:
+                while found:
+                    t, e = found.pop()
+                    if dead[e]:
                         continue
-                    ok = True if prev < 0 else scores_of.get(prev << 20 | t)
+                    ok = prev < 0 or follows.get(prev << 20 | t)
                     if ok or (ok is None and self.may_follow(prev, t)):
-                        last[e] = t
                         break
-        else:
-            best = [0.0] + [NEG] * n
-            for e in range(1, n + 1):
-                for b in range(max(0, e - longest), e):
-                    t = self.at(s[b:e])
-                    if t is not None and best[b] + self.weight(-1, t) > best[e]:
-                        best[e], last[e] = best[b] + self.weight(-1, t), t
+                else:
+                    dead[at] = True
+                    found, e = choices.pop(), at
+                    out.pop()
+                    at -= self.width(prev)
+                    prev = out[-1] if out else -1
+                    continue
+                break
+            choices.append(found)
+            out.append(t)
+            at, prev = e, t
+        return out
+
+    def _best_path(self, s: str) -> list[int]:
+        n = len(s)
+        last: list[int | None] = [None] * (n + 1)
+        best = [0.0] + [NEG] * n
+        for e in range(1, n + 1):
+            for b in range(max(0, e - self.longest), e):
+                t = self.at(s[b:e])
+                if t is not None and best[b] + self.weight(-1, t) > best[e]:
+                    best[e], last[e] = best[b] + self.weight(-1, t), t
         out, e = [], n
         while e > 0:
             out.append(last[e])
@@ -199,19 +234,27 @@ class Vocabulary:
 
     def packed(self, s: str) -> bytes:
         """Ids of a segment as int32 bytes, remembered."""
-        got = self.cache.get(s)
+        got = self.cache.get(s) or self.older.get(s)
         if got is None:
-            if len(self.cache) >= CACHE_ENTRIES:
-                self.cache.clear()
-            got = np.array([i for t in self.path(s) for i in self.emit(t)], np.int32).tobytes()
-            if len(s) <= 64:
-                self.cache[s] = got
+            # a closing mark that no piece joins to a word is a segment of its own
+            k = next((k for k in range(len(s) - 1, max(0, len(s) - 3), -1) if s[k - 1:k + 1] not in self.joined), 0)
+            got = self.packed(s[:k]) + self.packed(s[k:]) if k else self.pack(self.path(s))
+        if len(s) <= 64:
+            if len(self.cache) >= CACHE_ENTRIES:      # what is still in use moves up again
+                self.older, self.cache = self.cache, {}
+            self.cache[s] = got
         return got
 
+    def pack(self, path: list[int]) -> bytes:
+        size = self.size
+        if path and max(path) >= size:
+            path = [i for t in path for i in self.emit(t)]
+        return array("i", path).tobytes()
+
     def packed_run(self, s: str) -> bytes:
         """Ids between two hard cuts."""
-        cache, one = self.cache, self.packed
-        return b"".join([cache.get(x) or one(x) for x in self.segment.findall(s)])
+        one = self.packed
+        return b"".join([self.cache.get(x) or one(x) for x in self.segment.findall(s)])
 
     def normal(self, text: str) -> str:
         s = text.replace(" ", SPACE)
@@ -289,7 +332,7 @@ class Vocabulary:
             v[k] = 0.0
             at = begin.setdefault(a + c, {})
             at[t] = np.maximum(at[t], v) if t in at else v
-        cuts = self.hard_cuts(s, a, b)
+        cuts = self.hard_cuts(s, a, b if end else b - 1)
         if cuts:
             ends = self._spread(s, {p: v for p, v in begin.items() if p <= cuts[0]}, cuts[0])
             reach = [v for v in ends.get(cuts[0], {}).values()]
@@ -301,11 +344,6 @@ class Vocabulary:
                 onward = np.array([max((v[0] for v in ends.get(b, {}).values()), default=NEG)])
             else:
                 onward = np.array([ends.get(b + c, {}).get(t, [NEG])[0] for t, c in right])
-            if cuts[1] == b and not end:       # the hard cut is the chunk's own: any piece that ends there
-                onward = np.array([0.0 if c == 0 else NEG for t, c in right])
-                ends = self._spread(s, begin, b)
-                return np.stack([ends.get(b + c, {}).get(t, np.full(len(left), NEG)) for t, c in right], axis=1) \
-                    if cuts[0] == cuts[1] else self._from_last(s, a, b, into, right)
             return into[:, None] + onward[None, :]
         ends = self._spread(s, begin, b)
         if end:
@@ -317,13 +355,6 @@ class Vocabulary:
                     out[:, k] = v
         return out
 
-    def _from_last(self, s, a, b, into, right) -> np.ndarray:
-        """The chunk ends on a hard cut: its last segment decides the state."""
-        before = max(p for p in range(a, b) if p > 0 and self.hard(s[p - 1], s[p]))
-        ends = self._spread(s, {before: {-1: np.zeros(1)}}, b)
-        onward = np.array([ends.get(b + c, {}).get(t, [NEG])[0] for t, c in right])
-        return into[:, None] + onward[None, :]
-
     def _trace(self, s: str, p: int, prev: int, stop: int, goal: tuple[int, int] | None) -> list[int]:
         """Pieces of the best path from ``prev`` ending at p to the state
         ``goal`` (position, piece), or to any piece that ends at ``stop``."""
@@ -345,11 +376,10 @@ class Vocabulary:
             return b""
         goal = None if end else (b + leave[1], leave[0])
         cuts = self.hard_cuts(s, p, b - 1)
-        pack = lambda path: np.array([i for t in path for i in self.emit(t)], np.int32).tobytes()
         if not cuts:
-            return pack(self._trace(s, p, prev, b, goal))
-        head = pack(self._trace(s, p, prev, cuts[0], None))
-        return head + self.packed_run(s[cuts[0]:cuts[1]]) + pack(self._trace(s, cuts[1], -1, b, goal))
+            return self.pack(self._trace(s, p, prev, b, goal))
+        head = self.pack(self._trace(s, p, prev, cuts[0], None))
+        return head + self.packed_run(s[cuts[0]:cuts[1]]) + self.pack(self._trace(s, cuts[1], -1, b, goal))
 
 
 def load(model: bytes) -> Vocabulary:
