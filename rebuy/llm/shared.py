@@ -14,6 +14,7 @@ from rebuy.session import scratch_path
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 8 << 20      # Spark's own limit, 64 MB, times what Python makes of it is too much for a small worker
 
 
@@ -21,8 +22,8 @@ def on_workers(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver did
     (a cluster that has it installed needs nothing), and hand them Arrow
     batches of bounded size."""
-    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") in ("67108864b", "64MB"):
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    if spark.conf.get(ARROW_LIMIT, None) in ("67108864b", "64MB"):
+        spark.conf.set(ARROW_LIMIT, str(BATCH_BYTES))
     env = spark.sparkContext.environment
     if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, env.get("PYTHONPATH", "")]))
