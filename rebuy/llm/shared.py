@@ -42,6 +42,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def hashed_sample(df: DataFrame, key: str, most: int, rows: int, seed: int) -> DataFrame:
+    """At most ``most`` of the ``rows`` rows of ``df``, by a hash of ``key``.
+    Each row first decides alone whether it may be drawn (twice the share
+    wanted), so about 2 * most rows are ordered, not ``most`` of every task."""
+    ticket = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 30))
+    share = min(1 << 30, -(-(1 << 30) * (2 * most + 64) // max(1, rows)))
+    return df.filter(ticket < share).orderBy(ticket, key).limit(most)
+
+
 def slices(batches, most_bytes: int = 1 << 22):
     """Arrow batches in slices of about ``most_bytes`` at most (a row is never
     cut), so that what Python makes of them stays small."""

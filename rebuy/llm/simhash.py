@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rebuy.llm.components import components
-from rebuy.llm.shared import slices, stored, tiled
+from rebuy.llm.shared import hashed_sample, slices, stored, tiled
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -163,7 +163,7 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, trees: int = TRE
     """Distinct fingerprints (fp) -> links (a, b) with the same components
     as all pairs of at most ``max_bits`` differing bits."""
     rows = fps.count()
-    drawn = np.array([r[0] for r in fps.orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()],
+    drawn = np.array([r[0] for r in hashed_sample(fps.select("fp"), "fp", sample, rows, HASH_SEED).collect()],
                      np.int64).view(np.uint64)
     masks, slack = _blocks(trees), max_bits // trees
     forest = [plant(drawn, m, rows, shard_rows, t) for t, m in enumerate(masks)] if rows else []
