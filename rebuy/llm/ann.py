@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rebuy.llm.pstable import buckets, by_dimension, matrix, projections, slots, usable
-from rebuy.llm.shared import stored
+from rebuy.llm.shared import hashed_sample, stored
 
 TOP = 20
 TABLES = 2
@@ -80,7 +80,7 @@ def _one_dimension(rows: DataFrame, asks: DataFrame, dim: int, top: int, tables:
     n, most2 = rows.agg(F.count(F.lit(1)), F.max(norm2)).first()
     big = math.sqrt(most2) * (1 + 1e-9)
     held = min(sample_rows, max(top + 1, SAMPLE_BYTES // (8 * dim)))
-    drawn = rows.orderBy(F.xxhash64(F.lit(SEED), "vec_id"), "vec_id").limit(held).toArrow()
+    drawn = hashed_sample(rows.select("vec_id", "embedding"), "vec_id", held, n, SEED).toArrow()
     near_ids = drawn.column("vec_id").to_numpy()
     near = matrix(drawn.column("embedding"), dim)
     expect = max(1, math.ceil(top * len(near) / n))   # sample rank that stands for rank ``top``
