@@ -70,7 +70,7 @@ def fingerprint(data: bytes, n: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(2 * ones > total).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, carry: list[str] = []) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, text) -> (doc_id long, fp long, carried longs): fp holds the
     64 bits."""
     def run(batches):
@@ -221,7 +221,7 @@ def keep_first(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: in
     cols = docs.columns
     row = F.xxhash64(*cols)
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row")
-    printed = stored(fingerprints(docs.select("doc_id", "text", row.alias("row")), shingle_words, ["row"]), "fingerprints")
+    printed = stored(fingerprints(docs.select("doc_id", "text", row.alias("row")), shingle_words, ("row",)), "fingerprints")
     heads = stored(printed.groupBy("fp").agg(F.min(place).alias("head")), "distinct-fingerprints")
     firsts = (_classes(heads, max_bits, trees, sample, shard_rows)
               .select(F.col("first.doc_id").alias("_doc"), F.col("first.row").alias("_first")).distinct())
