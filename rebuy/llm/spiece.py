@@ -34,7 +34,7 @@ from rebuy.llm.shared import slices, stored
 
 SPACE = "▁"
 CHUNK_CHARS = 1 << 15
-CACHE_ENTRIES = 300_000     # segments remembered, and as many older ones
+CACHE_ENTRIES = 300_000     # segments remembered, and as many older ones (about 130 MB a worker)
 UNKNOWN_PENALTY = 10.0      # fixed value: below the least piece score
 START = (-1, 0)
 NEG = -math.inf
@@ -49,6 +49,7 @@ class Vocabulary:
     unknown: int
     bpe: bool
     dummy_prefix: bool = True
+    cache_entries: int = CACHE_ENTRIES
     text: list[bytes] = field(default_factory=list)     # id -> bytes it decodes to
     parts: dict[int, tuple[int, int]] = field(default_factory=dict)
 
@@ -240,7 +241,7 @@ class Vocabulary:
             k = next((k for k in range(len(s) - 1, max(0, len(s) - 3), -1) if s[k - 1:k + 1] not in self.joined), 0)
             got = self.packed(s[:k]) + self.packed(s[k:]) if k else self.pack(self.path(s))
         if len(s) <= 64:
-            if len(self.cache) >= CACHE_ENTRIES:      # what is still in use moves up again
+            if len(self.cache) >= self.cache_entries:      # what is still in use moves up again
                 self.older, self.cache = self.cache, {}
             self.cache[s] = got
         return got
@@ -405,7 +406,7 @@ def load(model: bytes) -> Vocabulary:
             unknown, out = i, " ⁇ ".encode()
         text.append(out)
     return Vocabulary(ids, [p.score for p in m.pieces], bytes_ if m.trainer_spec.byte_fallback else [], unknown,
-                      m.trainer_spec.model_type == 2, n.add_dummy_prefix, text)
+                      m.trainer_spec.model_type == 2, n.add_dummy_prefix, text=text)
 
 
 # ---- the scan ---------------------------------------------------------------
@@ -509,11 +510,13 @@ def read_model(path: str | None = None) -> bytes:
         return f.read()
 
 
-def encode(docs: DataFrame, model: bytes | None = None, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+def encode(docs: DataFrame, model: bytes | None = None, chunk_chars: int = CHUNK_CHARS,
+           cache_entries: int = CACHE_ENTRIES) -> DataFrame:
     """doc_id, ids for every row of ``docs`` (doc_id, text; other columns are
     ignored).  Null and empty texts have no ids.  Equal rows each return a row;
     an empty table returns none."""
     vocabulary = load(model or read_model())
+    vocabulary.cache_entries = cache_entries
     ctx = docs.sparkSession.sparkContext.broadcast(vocabulary)      # one vocabulary file
 
     def direct(batches):
