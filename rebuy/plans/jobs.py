@@ -7,7 +7,8 @@
    partitioned) and the bin maps;
 3. ``train_and_score`` - the final boosted-tree model (Spark ML format),
    holdout probabilities (Parquet) and the thresholded metrics;
-4. ``select_model`` - the reference's search grids in full (CSV per grid).
+4. ``select_model`` - the reference's search grids in full (CSV per grid) and
+   its final CV (CSV of fold metrics).
 
 ``python -m rebuy.plans.jobs {holdout,prepare,train,select} RAW_DIR WORK_DIR``
 """
@@ -69,9 +70,13 @@ def train_and_score(spark: SparkSession, work_dir: str) -> DataFrame:
 
 
 def select_model(spark: SparkSession, raw_dir: str, work_dir: str, grids: dict | None = None,
-                 base: dict | None = None, patience: int = ml.EARLY_STOP_ROUNDS, k: int = 5) -> None:
-    """Cross-validated search on the subset's notebook table.  The first
-    grid runs before the bins exist."""
+                 base: dict | None = None, patience: int = ml.EARLY_STOP_ROUNDS, k: int = 5,
+                 final: dict | None = None) -> None:
+    """Cross-validated search on the subset's notebook table, each
+    grid with its own features and base parameters (the first runs before the
+    bins exist, the last two without the weak features), then M12, the CV of the
+    final parameters without the weak features.  ``grids``, ``base`` and
+    ``final`` replace the reference's; grids without ``final`` run no final CV."""
     from rebuy.operators.sampling import with_folds
     from rebuy.plans import ml_queries as mq
     from rebuy.plans.features import feature_table
@@ -81,10 +86,15 @@ def select_model(spark: SparkSession, raw_dir: str, work_dir: str, grids: dict |
                              _lines(spark, os.path.join(data, "subset_order_products")),
                              _raw(spark, raw_dir, "products"), notebook=True)
     folded = stash(with_folds(table, k))
-    for name, grid in (grids or mq.REFERENCE_GRIDS).items():
-        features = mq.UNBINNED if name == "lr_depth" else None
-        found = ml.grid_search(folded, grid, base or mq.SELECTION_BASE, k, features, patience)
+    for name, grid in (mq.REFERENCE_GRIDS if grids is None else grids).items():
+        found = ml.grid_search(folded, grid, base or mq.GRID_BASES.get(name, mq.SELECTION_BASE), k,
+                               mq.GRID_FEATURES.get(name), patience)
         write_csv(found, os.path.join(work_dir, "result", f"grid_{name}"))
+    final = final or (mq.FINAL_CV if grids is None else None)
+    if final:
+        res = ml.cross_validate(folded, None, mq.STRONG, k, early_stop=final, patience=patience)
+        rounds = spark.createDataFrame(list(enumerate(res.best_rounds)), "fold int, best_rounds int")
+        write_csv(res.fold_metrics.join(rounds, "fold", "left"), os.path.join(work_dir, "result", "final_cv"))
 
 
 def main() -> None:

@@ -8,8 +8,9 @@ and the extra users), with the notebook's feature set.
 
 The final model uses the reference's parameters unchanged (843 trees).
 Spark's boosted trees cost several Spark jobs per tree whatever the rows, so
-the reference's model selection (76 grid points of 5 folds, up to 30,000 trees
-each) is a job for a cluster's night: ``plans.jobs select`` runs it whole.
+the reference's model selection (76 grid points and the final CV, 5 folds and up
+to 30,000 trees each) is a job for a cluster's night: ``plans.jobs select`` runs
+it whole.
 The queries named ``*_probe`` run the same machinery (estimators, folds, early
 stopping) with ``PROBE`` settings, which are not the reference's, and are named
 for it.
@@ -32,11 +33,13 @@ from rebuy.session import scratch_path
 from rebuy.plans.queries import (FOLD_SALT, K_FOLDS, finish, holdout, query,
                                  tables)
 
-# The reference's search grids (fixed values).
+# The reference's search grids (fixed values), in its order: 76 points.
 REFERENCE_GRIDS = {
     "lr_depth": [dict(learning_rate=lr, max_depth=d) for lr in linspace(0.02, 0.06, 5) for d in (4, 5, 6)],
     "lr_depth_binned": [dict(learning_rate=lr, max_depth=d) for lr in linspace(0.01, 0.06, 6)
                         for d in (4, 5, 6)],
+    "lr_depth_strong": [dict(learning_rate=lr, max_depth=d) for lr in linspace(0.01, 0.06, 6)
+                        for d in (4, 5, 6)],
     "sub_col": [dict(subsample=s, colsample_bytree=c) for s in linspace(0.3, 0.7, 5)
                 for c in linspace(0.3, 0.7, 5)],
 }
@@ -44,6 +47,8 @@ SELECTION_BASE = dict(n_estimators=ml.EARLY_STOP_CAP, max_depth=3, learning_rate
                       min_child_weight=1, colsample_bytree=0.3)
 FINAL_CV = dict(n_estimators=ml.EARLY_STOP_CAP, max_depth=6, learning_rate=0.01, subsample=0.3,
                 min_child_weight=1, colsample_bytree=0.7)
+# The subsample x colsample grid searches around the depth and rate found before.
+GRID_BASES = {"sub_col": dict(SELECTION_BASE, max_depth=6, learning_rate=0.01)}
 # What the *_probe queries run instead (see the module doc).
 PROBE = dict(n_estimators=20, max_depth=4, learning_rate=0.06, subsample=0.5,
              min_child_weight=1, colsample_bytree=0.3)
@@ -149,6 +154,9 @@ BINNED = ["product_dept_bin", "product_aisle_bin", "current_order_hod"]
 UNBINNED = [c for c in pf.NOTEBOOK_FEATURES if c not in BINNED]
 USER_STAGE = [c for c in UNBINNED if c == "user_product_reordered_past"
               or c.startswith("user_") and not c.startswith("user_product_")]
+STRONG = [c for c in pf.NOTEBOOK_FEATURES if c not in pf.WEAK_FEATURES]
+# The columns a grid sees; the others see all.
+GRID_FEATURES = {"lr_depth": UNBINNED, "lr_depth_strong": STRONG, "sub_col": STRONG}
 L1_STAGES = {"user": USER_STAGE, "user_product": USER_STAGE + [c for c in UNBINNED if c.startswith("product_")],
              "all": UNBINNED}
 
