@@ -60,8 +60,11 @@ class Roller:
         self.sums = np.zeros(len(values) + 1, np.uint64)
         np.cumsum(values * Roller.up[:len(values)], out=self.sums[1:])
 
+    def plain(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (self.sums[b] - self.sums[a]) * Roller.down[a]
+
     def stretch(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return _mix((self.sums[b] - self.sums[a]) * Roller.down[a])
+        return _mix(self.plain(a, b))
 
     def grams(self, k: int) -> np.ndarray:
         n = len(self.sums) - k
@@ -89,8 +92,7 @@ class Units:
     def values(self, data: np.ndarray) -> np.ndarray:
         if not self.words:
             return BYTE_VALUES[data]
-        a, b = word_bounds(data)
-        return Roller(BYTE_VALUES[data]).stretch(a, b)
+        return word_hashes(data)
 
     def pieces(self, text: bytes) -> Iterator[tuple[int, bytes]]:
         """(position of the first unit, text): every window lies whole in one
@@ -128,6 +130,22 @@ def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(step == 1)[0], np.nonzero(step == -1)[0]
 
 
+def word_hashes(data: np.ndarray) -> np.ndarray:
+    """Hash of every word, over blocks of bytes: the sum of a word that goes on
+    in later blocks is carried, so a word can have any length."""
+    a, b = word_bounds(data)
+    out = np.zeros(len(a), np.uint64)
+    for p in range(0, len(data), BLOCK):
+        block = data[p:p + BLOCK]
+        i, j = np.searchsorted(b, p, "right"), np.searchsorted(a, p + len(block))     # words with bytes here
+        if i < j:
+            x, y = np.maximum(a[i:j], p), np.minimum(b[i:j], p + len(block))
+            part = Roller(BYTE_VALUES[block]).plain(x - p, y - p)
+            part[:1] *= np.uint64(pow(Roller.base, int(x[0] - a[i]), 1 << 64))        # the first may have begun before
+            out[i:j] += part
+    return _mix(out)
+
+
 def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     n, have = len(x) - w + 1, 1
     while 2 * have <= w:

@@ -116,3 +116,24 @@ def test_covered_merges_touching_runs():
     a, b = ps.covered([{"s": 0, "run": 2}, {"s": 6, "run": 1}, {"s": 30, "run": 1}], 5)
     assert a.tolist() == [0, 30] and b.tolist() == [11, 35]
     assert rlz.parse([5, 5, 3, 2, 1, 5, 4], 5) == [0, 1, 5]
+
+
+def test_a_word_has_one_hash_whatever_the_blocks(monkeypatch):
+    text = " ".join(t for _, t in corpus(6)).encode() + b" " + b"x" * 1234 + b"y end"
+    data = np.frombuffer(text, np.uint8)
+    whole = ps.word_hashes(data)
+    names = {w: h for w, h in zip(text.split(), whole.tolist())}
+    assert len(whole) == len(text.split()) and len(set(names.values())) == len(names)
+    for size in (1, 7, 100):
+        monkeypatch.setattr(ps, "BLOCK", size)
+        assert (ps.word_hashes(data) == whole).all()
+
+
+def test_words_longer_than_the_power_tables(docs_of):
+    rng = random.Random(7)
+    plain = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 5) for _ in range(60)) for _ in range(3)]
+    blob = "".join(rng.choices("0123456789abcdef", k=1 << 16)) * 32          # 2 MiB without white space
+    rows = [(0, plain[0]), (1, f"{plain[0]} {blob} {plain[1]}"), (2, f"{plain[2]} {blob} {plain[1]}"),
+            (3, f"{plain[2]} {blob[:-1]}z {plain[1]}"), (4, blob), (5, "")]
+    got = rlz.dedup(docs_of(rows)).collect()
+    assert sorted(tuple(r) for r in got) == sorted(brute_words(rows, 35))
