@@ -1,12 +1,18 @@
 """PII: format-preserving Feistel pseudonyms, in DataFrame expressions only.
 
-One pattern finds candidates, validation keeps real ones, and a keyed Feistel
+Patterns find candidates, validation keeps real ones, and a keyed Feistel
 network permutes each value within its own format: a card stays a card with a
 right check digit, a date a date of the same century, a host address a host
 address, a letter a letter.  Equal values get equal pseudonyms whatever their
 separators, so documents stay linked; different values of one format never
 share one, because each step is a permutation.
 
+A number beside a card or a capital word after an IBAN looks like a part of it, so
+these two are not cut out by pattern alone: candidates of every usual length are
+taken at every group, valid ones become the row's own pattern, and a failed one
+hides nothing (a text with very many different cards costs their product with
+its digit groups).  Phones, the loosest pattern, are looked for in what is left.
+
 A value is an array of digits with a radix each (10 for a decimal digit, 26 for
 a letter, 256 for an octet, 1 for what stays).  It is cut in two halves; a
 round adds to one half, digit by digit and modulo each radix, numbers drawn
@@ -25,17 +31,48 @@ ROUNDS = 10
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){1,8}+",
     "secret": r"(?<![A-Za-z0-9])(?:(?i:password|passwd|pwd|secret|token|api[_-]?key)[\"']?[ \t]{0,3}[=:][ \t]{0,3}"
-              r"[\"']?[A-Za-z0-9+/_-]{8,128}+|AKIA[0-9A-Z]{16}(?![0-9A-Za-z]))",
+              r"[\"']?[A-Za-z0-9+/_-]{8,}+|AKIA[0-9A-Z]{16}(?![0-9A-Za-z]))",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}"
             r"|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9]|[./-][0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
-    "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])"
-             r"[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])",
+    # area code in brackets; unbracketed with a country code; E.164; country code
+    # and a solid number; pairs; other groups; 10 or 11 digits; pairs at home
+    "phone": r"(?<![0-9A-Za-z])(?:(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}"
+             r"|\+[0-9]{1,3}[ .-]?[0-9]{2,4}[ .-][0-9]{3,4}[ .-]?[0-9]{3,4}"
+             r"|\+[0-9]{8,15}|\+[0-9]{1,3}[ .-][0-9]{6,12}"
+             r"|\+[0-9]{1,3}[ .-]?(?:\(0\)[ .-]?)?[0-9]{1,4}(?:[ .-][0-9]{2}){3,5}|\+[0-9](?:[ .-]?[0-9]){7,14}"
+             r"|[0-9]{2}[ .-][0-9]{4}[ .-]?[0-9]{4}"
+             r"|[0-9]{3}[ .-](?:[0-9]{3,4}[ .-]?[0-9]{4}|[0-9]{4}[ .-]?[0-9]{3})"
+             r"|[0-9]{4}[ .-](?:[0-9]{3}[ .-]?[0-9]{3,4}|[0-9]{4}[ .-]?[0-9]{3})"
+             r"|(?<![0-9][ .-])0[0-9](?:[ .-][0-9]{2}){4}(?![ .-][0-9]))(?![0-9])",
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+FIXED = "|".join(f"(?:{PATTERNS[k]})" for k in ("email", "secret", "ip", "date", "ssn"))
+
+# Length of an IBAN by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def _iban_of(length: int, countries: str) -> str:
+    groups, rest = divmod(length - 4, 4)
+    tail = f"[ ]?[A-Z0-9]{{{rest}}}" if rest else ""
+    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:[ ]?[A-Z0-9]{{4}}){{{groups}}}{tail}"
+
+
+# Candidates for validation; group 1 of a look-ahead is tried at every place.
+IBAN_FORMS = [r"(?<![A-Za-z0-9])(?=((?:" + "|".join(_iban_of(n, c) for n, c in IBAN_LENGTHS.items())
+              + r")(?![A-Za-z0-9])))[A-Z]", f"({PATTERNS['iban']})"]
+CARD_FORMS = [r"(?<![0-9+])(?<!\+[0-9]{1,3}[ .-])([0-9](?:[ -]?[0-9]){12,18})(?![0-9])",        # any groups, longest
+              r"(?<![0-9+])([0-9]{13,19})(?![0-9])",                                            # no groups
+              r"(?<![0-9])(?=([0-9]{4}(?:[ -]?[0-9]{4}){3})(?![0-9]))[0-9]",                    # 4-4-4-4
+              r"(?<![0-9])(?=([0-9]{4}[ -](?:[0-9]{6}[ -][0-9]{4,5}|[0-9]{3}[ -][0-9]{3}[ -][0-9]{3}"
+              r"|(?:[0-9]{4}[ -]){3}[0-9]{1,3}))(?![0-9]))[0-9]"]                               # 4-6-4/5, 4-3-3-3, 4-4-4-4-n
 
 
 def _draw(h: Column, i: Column) -> Column:
@@ -217,13 +254,15 @@ def _iban(m: Column, key: str) -> Column:
 
 def _is_phone(m: Column) -> Column:
     n = F.length(_digits(m))
-    return n.between(9, 15) & (m.rlike(r"^\+") | m.rlike(r"^\(") | n.between(10, 11))
+    return F.when(m.rlike(r"^\+"), n.between(8, 15)).when(m.rlike(r"^\("), n.between(9, 15)).otherwise(n.between(10, 11))
 
 
 def _phone(m: Column, key: str) -> Column:
     """Keep the country code and permute the rest; a first digit from 2 to 9
     stays one (0 and 1 have meanings of their own)."""
-    code = F.length(_digits(F.regexp_extract(m, r"^(\+[0-9]{1,3})[ .(-]", 1)))
+    # without a separator the code is the one of the international plan (prefix-free)
+    code = F.length(_digits(F.regexp_extract(m, r"^(\+(?:[0-9]{1,3}(?=[ .(-])|[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]"
+                                                r"|8[1246]|9[0-58]|[0-9]{3}))", 1)))
     d = _digits(m)
     v = _ints(F.substring(d, code + 1, F.length(d) - code))
     big = F.get(v, F.lit(0)) >= 2
@@ -248,9 +287,8 @@ def _secret(m: Column, key: str) -> Column:
 def pseudonym(m: Column, key: str = KEY) -> Column:
     """The pseudonym of one candidate, or null when it is not valid."""
     whole = {k: f"^(?:{p})$" for k, p in PATTERNS.items()}
-    valid = {"ip": _is_ip, "iban": _is_iban, "date": _is_date, "ssn": _is_ssn, "card": _is_card, "phone": _is_phone}
-    new = {"email": _email, "secret": _secret, "ip": _ip, "iban": _iban, "date": _date, "ssn": _ssn,
-           "card": _card, "phone": _phone}
+    valid = {"ip": _is_ip, "iban": _is_iban, "date": _is_date, "ssn": _is_ssn, "card": _is_card}
+    new = {"email": _email, "secret": _secret, "ip": _ip, "iban": _iban, "date": _date, "ssn": _ssn, "card": _card}
     out = None
     for kind, fn in new.items():
         is_it = m.rlike(whole[kind])
@@ -260,6 +298,38 @@ def pseudonym(m: Column, key: str = KEY) -> Column:
     return out
 
 
+def _pattern(text: Column) -> Column:
+    """What to cut out of one text: the fixed patterns and its own valid cards
+    and IBANs, the longest first."""
+    def own(forms: list[str], valid, edge: str) -> Column:
+        found = F.concat(*[F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in forms])
+        longest = F.array_sort(F.filter(F.array_distinct(found), valid), lambda a, b: F.length(b) - F.length(a))
+        return F.transform(longest, lambda v: F.concat(F.lit(f"(?<!{edge})"), v, F.lit(f"(?!{edge})")))
+    return F.array_join(F.concat(F.array(F.lit(FIXED)), own(IBAN_FORMS, _is_iban, "[A-Za-z0-9]"),
+                                 own(CARD_FORMS, _is_card, "[0-9]")), "|")
+
+
+def _joined(between: Column, hits: Column, new: Column) -> Column:
+    said = F.concat(F.zip_with(hits, new, lambda m, p: F.coalesce(p, m)), F.array(F.lit("")))
+    return F.array_join(F.zip_with(between, said, lambda a, b: F.concat(a, b)), "")
+
+
+def _count(new: Column) -> Column:
+    return F.size(F.filter(new, lambda p: p.isNotNull()))
+
+
+def _phones(piece: Column, key: str) -> Column:
+    """(text, n): a stretch of text with its n phones replaced."""
+    pattern = F.lit(PATTERNS["phone"])
+
+    def replaced(hits: Column) -> Column:
+        new = F.transform(F.array(F.transform(hits, lambda m: F.when(_is_phone(m), _phone(m, key)))), lambda x: F.struct(
+            _joined(F.split(piece, pattern, -1), hits, x).alias("text"), _count(x).alias("n")))
+        return F.when(F.size(hits) > 0, F.get(new, F.lit(0))).otherwise(F.struct(piece.alias("text"), F.lit(0).alias("n")))
+    # arrays of one, so that each is computed once
+    return F.get(F.transform(F.array(F.regexp_extract_all(piece, pattern, F.lit(0))), replaced), F.lit(0))
+
+
 def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFrame:
     """``docs`` with ``text`` pseudonymised and ``n_pseudonyms``, how many
     values were replaced; all other columns stay as they are.
@@ -267,13 +337,13 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFra
     Null and empty texts stay, with 0.  Repeated rows each return a row; an
     empty table returns none.  A column n_pseudonyms of the input is replaced."""
     cols = [c for c in docs.columns if c != "n_pseudonyms"]
-    hits, new = "__pii_hits", "__pii_new"
-    found = docs.select(*cols, F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0)).alias(hits))
-    made = found.select(*cols, hits, F.when(F.size(hits) > 0, F.transform(hits, lambda m: pseudonym(m, key))).alias(new))
-    between = F.split(F.col(text), ANY, -1)
-    said = F.concat(F.zip_with(hits, new, lambda m, p: F.coalesce(p, m)), F.array(F.lit("")))
-    joined = F.array_join(F.zip_with(between, said, lambda a, b: F.concat(a, b)), "")
-    n = F.coalesce(F.size(F.filter(new, lambda p: p.isNotNull())), F.lit(0))
-    changed = F.when(F.size(hits) > 0, joined).otherwise(F.col(text))
+    pattern, hits, new, rest = "__pii_pattern", "__pii_hits", "__pii_new", "__pii_rest"
+    found = docs.select(*cols, _pattern(F.col(text)).alias(pattern))
+    found = found.select(*cols, F.regexp_extract_all(F.col(text), F.col(pattern), F.lit(0)).alias(hits),
+                         F.split(F.col(text), F.col(pattern), -1).alias(rest))
+    made = found.select(*cols, hits, F.transform(hits, lambda m: pseudonym(m, key)).alias(new),
+                        F.transform(rest, lambda p: _phones(p, key)).alias(rest))
+    n = _count(F.col(new)) + F.aggregate(rest, F.lit(0), lambda a, p: a + p["n"])
+    changed = F.when(F.col(text).isNotNull(), _joined(F.col(f"{rest}.text"), F.col(hits), F.col(new)))
     return made.select(*[changed.alias(c) if c == text else F.col(c) for c in cols],
-                       F.when(F.col(new).isNull(), 0).otherwise(n).alias("n_pseudonyms"))
+                       F.when(F.col(text).isNull(), 0).otherwise(n).alias("n_pseudonyms"))

@@ -130,3 +130,61 @@ def test_awkward_rows_and_plan(awkward, docs_of):
 def test_rounds_must_be_even():
     with pytest.raises(ValueError):
         pii.feistel("x", F.array(), F.array(), F.array(), F.array(), rounds=3)
+
+
+CARDS = ["4111111111111111", "4742604793956271", "4111 1111 1111 1111", "3782 822463 10005", "4222222222222"]
+
+
+@pytest.mark.parametrize("before, after", [
+    ("", " 123"), ("", " 12/27"), ("", " 08/26 123"), ("2 ", ""), ("2024 ", ""), ("12 345 ", " 7"), ("1234 5678 9012 ", ""),
+    ("AB12 ", ""), ("555-123-45 ", "-99"), ("", " 5500000000000005")])
+def test_a_card_beside_numbers_is_found(docs_of, before, after):
+    got = run(docs_of, [f"pay {before}{c}{after} now" for c in CARDS])
+    for c, g in zip(CARDS, got):
+        assert c not in g and c[-9:] not in g, g
+    alone = run(docs_of, CARDS[:1])[0]
+    if not luhn([int(d) for d in re.findall("[0-9]", before + CARDS[0] + after)[:19]]):
+        return      # the long run is a valid card too
+    assert got[0].startswith(f"pay {before}{alone}")
+
+
+def test_cards_in_a_row_and_other_kinds_beside_them(docs_of):
+    a, b, d = run(docs_of, CARDS[:2] + ["2024-02-29"])
+    row, date = run(docs_of, [" ".join(CARDS[:2] * 30), f"{CARDS[0]} 2024-02-29 (964) 555-6364"])
+    assert row == " ".join([a, b] * 30) and date.startswith(f"{a} {d} (") and "555-6364" not in date
+
+
+def test_an_iban_beside_words_and_numbers_is_found(docs_of):
+    ibans = ["BE68 5390 0754 7034", "BE68539007547034", "AT61 1904 3002 3457 3201", "CZ65 0800 0000 1920 0014 5399",
+             "HU42 1177 3016 1111 1018 0000 0000", "DE89 3704 0044 0532 0130 00"]
+    alone = run(docs_of, ibans)
+    for tail in (" BANK", " 2024", " KBC1 4711", " BE68 5390 0754 7034"):
+        got = run(docs_of, [i + tail for i in ibans])
+        assert [g[:len(i)] for g, i in zip(got, ibans)] == alone
+    assert alone[0].replace(" ", "") == alone[1] and not set(alone) & set(ibans)
+
+
+def test_phones_in_international_forms(docs_of):
+    forms = ["+14155552671", "+1 4155552671", "+1 (415) 555-2671", "+49 1701234567", "+491701234567", "+49 170 1234567",
+             "+33 1 23 45 67 89", "+33123456789", "01 23 45 67 89", "+32 470 12 34 56", "+353 1 234 5678", "+45 12 34 56 78"]
+    got = run(docs_of, [f"call {p}, now" for p in forms])
+    shape = lambda s: re.sub("[0-9]", "0", s)                   # noqa: E731
+    for p, g in zip(forms, got):
+        assert shape(g) == shape(f"call {p}, now") and p not in g
+        assert not p.startswith("+") or " " not in p or g.startswith(f"call {p.split()[0]}")
+    digits = ["".join(c for c in g if c.isdigit()) for g in got]
+    assert len(set(digits[:3])) == len(set(digits[3:6])) == len(set(digits[6:8])) == 1
+    assert "555-123-4567" not in run(docs_of, ["room 99 555-123-4567"])[0]
+
+
+def test_a_secret_is_replaced_to_its_end(docs_of):
+    rng = random.Random(4)
+    for alphabet in ("0123456789abcdef", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"):
+        value = "".join(rng.choices(alphabet, k=3000))
+        out = run(docs_of, [f"password={value} end"])[0]
+        assert out == plain(f"password={value} end") and value[128:160] not in out and value[-20:] not in out
+
+
+def test_every_value_counts(docs_of):
+    n = pii.pseudonymise(docs_of([(1, f"{CARDS[0]} 123 and +14155552671, 01 23 45 67 89 a@b.org {CARDS[1]} 08/26")])).first()
+    assert n.n_pseudonyms == 5
