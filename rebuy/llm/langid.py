@@ -27,6 +27,7 @@ TRAIN_WINDOWS = 2       # windows of each
 STEPS = 1500            # training steps of BATCH windows each, however many texts there are
 BATCH = 64
 SEED = 5
+SURE = 0.5               # probability from which a window's language counts as known
 BLOCK_WINDOWS = 512
 PAD = 0
 
@@ -138,8 +139,14 @@ def windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def text_scores(model: ByteCNN, tables, texts: list[bytes], piece: int = 1 << 20) -> np.ndarray:
     """Mean probabilities of each text (rows); zeros for an empty one."""
+    return shares(model, tables, texts, piece)[0]
+
+
+def shares(model: ByteCNN, tables, texts: list[bytes], piece: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """Mean probabilities of each text (rows) and the share of its bytes in
+    windows with some language at ``SURE`` or more; zeros for an empty one."""
     total = np.zeros((len(texts), len(model.langs)))
-    weight = np.zeros(len(texts))
+    weight, sure = np.zeros(len(texts)), np.zeros(len(texts))
     held: list[tuple[int, bytes]] = []
 
     def flush() -> None:
@@ -147,7 +154,9 @@ def text_scores(model: ByteCNN, tables, texts: list[bytes], piece: int = 1 << 20
         row = np.array([i for i, _ in held])[text]
         for a in range(0, len(x), BLOCK_WINDOWS):
             s = slice(a, a + BLOCK_WINDOWS)
-            p = model.probabilities(x[s], tables) * size[s, None]
+            p = model.probabilities(x[s], tables)
+            sure[:] += np.bincount(row[s], size[s] * (p.max(axis=1) >= SURE), len(texts))
+            p = p * size[s, None]
             for c in range(p.shape[1]):
                 total[:, c] += np.bincount(row[s], p[:, c], len(texts))
             weight[:] += np.bincount(row[s], size[s], len(texts))
@@ -162,7 +171,8 @@ def text_scores(model: ByteCNN, tables, texts: list[bytes], piece: int = 1 << 20
                 size = 0
     if held:
         flush()
-    return total / np.maximum(weight, 1)[:, None]
+    weight = np.maximum(weight, 1)
+    return total / weight[:, None], sure / weight
 
 
 def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS, train_windows: int = TRAIN_WINDOWS,
@@ -222,8 +232,10 @@ def predict(docs: DataFrame, model: ByteCNN | None) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: ByteCNN | None, least_score: float) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose text has a language
-    with at least ``least_score``."""
+    """The rows of ``docs``, all columns as they are, whose text has a letter and
+    either a language with at least ``least_score`` or, as texts in several
+    languages do, a sure language in half of its bytes or more.  With no model
+    nothing can be told apart, and every text that has a letter stays."""
     ctx = docs.sparkSession.sparkContext.broadcast(model)
     cols = docs.columns
     flag = "_lettered"
@@ -235,8 +247,11 @@ def accepted(docs: DataFrame, model: ByteCNN | None, least_score: float) -> Data
         tables = model.pairs() if model else None
         for b in slices(batches):
             texts = [t.as_py() for t in b.column("text").cast(pa.large_binary())]
-            names, scores = _judge(model, tables, texts, b.column(flag).to_numpy(zero_copy_only=False))
-            keep = (np.array(names) != "und") & (scores >= least_score)
+            keep = b.column(flag).to_numpy(zero_copy_only=False).astype(bool)
+            todo = np.nonzero(keep)[0]
+            if model and len(todo):
+                mean, sure = shares(model, tables, [texts[i] for i in todo])
+                keep[todo] = (mean.max(axis=1).clip(max=1.0) >= least_score) | (sure >= 0.5)
             yield b.select(cols).filter(pa.array(keep))
 
     return docs.withColumn(flag, _lettered()).mapInArrow(run, docs.schema)

@@ -1,3 +1,7 @@
+import hashlib
+
+from pyspark.sql import functions as F
+
 import corpus_pipeline as cp
 from rebuy.llm import simhash
 from rebuy.llm.queries import REGISTRY
@@ -40,3 +44,26 @@ def test_registry():
     numbers = sorted(int(k[2:].split("_")[0]) for k in REGISTRY)
     assert numbers == list(range(1, 11)) and set(SQL) <= set(REGISTRY) and len(cp.STAGES) == 5
     assert simhash.SHINGLE_WORDS == 4 and simhash.MAX_BITS == 4
+
+
+def test_clean_texts_stay_without_labels(docs_of):
+    docs = docs_of([(1, "no label here"), (2, "nor in this text"), (3, "12 34"), (4, ""), (5, None)])
+    assert sorted(r.doc_id for r in cp.language(docs.sparkSession, docs, "/nowhere").collect()) == [1, 2]
+
+
+def test_a_text_in_many_languages_stays(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    some = {r.lang: r.text for r in docs.filter("lang is not null and length(text) > 400").groupBy("lang").agg(
+        F.min_by("text", "doc_id").alias("text")).collect()}
+    assert len(some) >= 4
+    short = min(len(t) for t in some.values())
+    long = " ".join(t[:short] for t in list(some.values())) * 20
+    row = docs.limit(1).withColumns({"doc_id": F.lit(-1).cast("long"), "text": F.lit(long), "lang": F.lit(None).cast("string")})
+    kept = cp.language(spark, docs.unionByName(row.select(docs.columns)), "/nowhere")
+    assert kept.filter("doc_id = -1").count() == 1
+
+
+def test_the_last_stage_decodes_its_ids(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r.doc_id: hashlib.sha256(r.text.encode()).hexdigest() for r in docs.collect()}
+    assert {r.doc_id: r.decoded_sha256 for r in cp.tokens(spark, docs, "/nowhere").collect()} == texts
