@@ -95,3 +95,9 @@ def op11_merkle_manifest(spark, sf_dir):
     done = verify(manifest(table(spark, sf_dir, "documents"), tampered()))
     return done.select("doc_id", "leaf", "subroot", "root", F.sha2(F.concat("proof", "lang_proof"), 256).alias("proof_sha256"),
                        "folded_root", "verified")
+
+
+@query
+def op13_phrase_collocations(spark, sf_dir):
+    from rebuy.llm.phrases import collocations
+    return collocations(table(spark, sf_dir, "documents"))

@@ -105,3 +105,29 @@ ends AS (SELECT id, cur AS folded_root, sha256(proof) AS proof_sha256 FROM step
 SELECT r.doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
 FROM ranked r JOIN ends e USING (id) JOIN subs s ON s.lang IS NOT DISTINCT FROM r.lang, top
 """
+
+SQL["op13_phrase_collocations"] = r"""
+WITH low AS (SELECT coalesce(lang, 'und') AS lang,
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM low),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+lens AS (SELECT unnest(range(1, 6)) AS k),
+occ AS (SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM w, lens WHERE len(w) >= k),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a FROM occ GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+cand AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 100),
+cuts AS (SELECT c.*, cut, array_to_string(w[1:cut], ' ') AS first, array_to_string(w[cut + 1:], ' ') AS rest
+         FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand) c),
+scored AS (SELECT c.lang, c.phrase, c.a, cut, x.a AS l, y.a AS r, n.n,
+                  CAST((1000::HUGEINT * c.a * n.n) // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+           FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.first JOIN f y ON y.lang = c.lang AND y.phrase = c.rest
+           JOIN n ON n.lang = c.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_ AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, a
+           FROM (SELECT lang, w, k, a, m, unnest(range(1, k - m + 2)) AS i
+                 FROM (SELECT *, unnest(range(2, k)) AS m FROM cand))),
+covered AS (SELECT lang, phrase, max(a) AS longer FROM inner_ GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best LEFT JOIN covered USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a
+QUALIFY rank <= 2000
+"""
