@@ -31,3 +31,30 @@ def labelled_sample(rows: DataFrame, label: str, per_label: int, seed: int, key:
     from pyspark.sql import Window
     nth = F.row_number().over(Window.partitionBy(label).orderBy("_ticket", key))
     return drawn.withColumn("_nth", nth).filter(F.col("_nth") <= per_label).drop("_ticket", "_nth")
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, per_label: int, seed: int) -> tuple[DataFrame, float] | None:
+    """(doc_id, text_key, label) of at most ``per_label`` different texts of each
+    class, to be joined back, and the share of label 1; None unless both classes
+    are there.
+
+    ``label`` is 0 or 1; of several labels of one document the largest counts,
+    and each different text of a document is a text of its own.  What is drawn
+    depends on ids and texts alone, so reruns learn the same."""
+    known = (labels.filter(F.col(label).isin(0, 1) & ~held_out)
+             .groupBy("doc_id").agg(F.max(label).cast("int").alias("label")))
+    texts = (docs.filter(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_key")).distinct()
+             .join(known, "doc_id"))
+    counts = {r["label"]: r["count"] for r in texts.groupBy("label").count().collect()}
+    if len(counts) < 2:
+        return None
+    texts = texts.withColumn("row", F.xxhash64("doc_id", "text_key"))
+    picked = labelled_sample(texts, "label", per_label, seed, key="row").select("doc_id", "text_key", "label")
+    return picked, counts[1] / sum(counts.values())
+
+
+def with_texts(docs: DataFrame, picked: DataFrame) -> DataFrame:
+    """doc_id, text, label of the drawn texts (a bounded number of rows)."""
+    own = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    return (own.join(F.broadcast(picked), ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])
+            .select("doc_id", "text", "label"))

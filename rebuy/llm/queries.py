@@ -101,3 +101,9 @@ def op11_merkle_manifest(spark, sf_dir):
 def op13_phrase_collocations(spark, sf_dir):
     from rebuy.llm.phrases import collocations
     return collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_toxicity_counterfactual(spark, sf_dir):
+    from rebuy.llm.toxicity import classify
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +62,14 @@ def slices(batches, most_bytes: int = 1 << 22):
             yield b.slice(at, rows)
 
 
+def coded_words(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, pa.BinaryArray]:
+    """Words data[edges[0]:edges[1]], data[edges[2]:edges[3]], ... -> (code of
+    each, the different words by code)."""
+    runs = pa.BinaryArray.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(data)])
+    coded = runs.take(pa.array(np.arange(0, len(edges) - 1, 2))).dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+
+
 def tiled(rows: DataFrame, keys: list[str], item: str, tile_rows: int) -> DataFrame:
     """Deal each group of ``keys`` into tiles of about ``tile_rows`` rows.
 
