@@ -7,6 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +41,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(spark: SparkSession, path: str) -> None:
+    """Remove a written table that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -70,6 +77,23 @@ def coded_words(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, pa.Bin
     return coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
 
 
+def word_hashes(words: pa.BinaryArray) -> np.ndarray:
+    """64-bit FNV-1a hashes, all words' first bytes at once, then their second ones, and so on;
+    long words by XXH64."""
+    n = len(words)
+    edge = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + n + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    size = np.diff(edge)
+    out = np.full(n, 0xCBF29CE484222325, np.uint64)
+    todo = np.flatnonzero(size <= 64)
+    for i in range(int(size[todo].max()) if len(todo) else 0):
+        todo = todo[size[todo] > i]
+        out[todo] = (out[todo] ^ data[edge[todo] + i]) * np.uint64(0x100000001B3)
+    for i in np.flatnonzero(size > 64).tolist():
+        out[i] = xxhash.xxh64_intdigest(data[edge[i]:edge[i + 1]].tobytes())
+    return out ^ (out >> np.uint64(31))
+
+
 def tiled(rows: DataFrame, keys: list[str], item: str, tile_rows: int) -> DataFrame:
     """Deal each group of ``keys`` into tiles of about ``tile_rows`` rows.
 

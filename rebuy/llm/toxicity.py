@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rebuy.llm.heldout import labelled_texts, with_texts
-from rebuy.llm.shared import coded_words, slices, stored
+from rebuy.llm.shared import coded_words, slices, stored, word_hashes
 
 CUT = 0.7
 ROWS = 3000         # labelled texts of each class that are learned from
@@ -80,18 +80,10 @@ def word_features(names: pa.BinaryArray) -> np.ndarray:
     and its last 4, 5 and 6 bytes where it is longer."""
     n = len(names)
     edge = np.frombuffer(names.buffers()[1], np.int32)[names.offset:names.offset + n + 1].astype(np.int64)
-    data = np.frombuffer(names.buffers()[2], np.uint8) if names.buffers()[2] else np.zeros(0, np.uint8)
+    data = np.frombuffer(names.buffers()[2] or b"", np.uint8)
     begin, size = edge[:-1], np.diff(edge)
     out = np.zeros((n, 1 + 2 * len(ENDS)), np.uint64)
-    whole = np.full(n, 0xCBF29CE484222325, np.uint64)
-    todo = np.flatnonzero(size <= 64)
-    for i in range(int(size[todo].max()) if len(todo) else 0):
-        todo = todo[size[todo] > i]
-        whole[todo] = (whole[todo] ^ data[begin[todo] + i]) * np.uint64(0x100000001B3)
-    for i in np.flatnonzero(size > 64).tolist():
-        whole[i] = xxhash.xxh64_intdigest(data[begin[i]:edge[i + 1]].tobytes(), SEED)
-    whole ^= whole >> np.uint64(31)
-    out[:, 0] = whole | np.uint64(1)
+    out[:, 0] = word_hashes(names) | np.uint64(1)
     for c, k in enumerate(ENDS):
         longer = np.flatnonzero(size > k)
         for side, start in ((1, begin[longer]), (2, edge[1:][longer] - k)):
