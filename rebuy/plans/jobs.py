@@ -62,10 +62,10 @@ def prepare_dataset(spark: SparkSession, raw_dir: str, work_dir: str) -> None:
 def train_and_score(spark: SparkSession, work_dir: str) -> DataFrame:
     train, test = read_feature_tables(spark, os.path.join(work_dir, "data", "final_dataset"))
     model, feats = ml.fit_final(train)
-    ml.save_model(model, os.path.join(work_dir, "result", "gbt_model"))
+    ml.save_model(spark, model, os.path.join(work_dir, "result", "gbt_model"))
     scores = ml.holdout_scores(model, feats, test, FINAL_THRESHOLD)
     write_parquet(scores, os.path.join(work_dir, "result", "y_pred_prob"))
-    write_csv(ml.feature_importance(model, feats), os.path.join(work_dir, "result", "feature_importance_gain"))
+    write_csv(ml.feature_importance(model.nodes(spark)), os.path.join(work_dir, "result", "feature_importance_gain"))
     return ev.confusion_metrics(scores, "reordered", "prediction")
 
 
@@ -88,7 +88,8 @@ def select_model(spark: SparkSession, raw_dir: str, work_dir: str, grids: dict |
     folded = stash(with_folds(table, k))
     for name, grid in (mq.REFERENCE_GRIDS if grids is None else grids).items():
         found = ml.grid_search(folded, grid, base or mq.GRID_BASES.get(name, mq.SELECTION_BASE), k,
-                               mq.GRID_FEATURES.get(name), patience)
+                               mq.GRID_FEATURES.get(name), patience,
+                               journal=os.path.join(work_dir, "result", f"journal_{name}"))
         write_csv(found, os.path.join(work_dir, "result", f"grid_{name}"))
     final = final or (mq.FINAL_CV if grids is None else None)
     if final:

@@ -6,14 +6,10 @@ training lines and scores its holdout lines; model selection runs on the
 holdout job's subset (subset current lines + the prior lines of its users
 and the extra users), with the notebook's feature set.
 
-The final model uses the reference's parameters unchanged (843 trees).
-Spark's boosted trees cost several Spark jobs per tree whatever the rows, so
-the reference's model selection (76 grid points and the final CV, 5 folds and up
-to 30,000 trees each) is a job for a cluster's night: ``plans.jobs select`` runs
-it whole.
-The queries named ``*_probe`` run the same machinery (estimators, folds, early
-stopping) with ``PROBE`` settings, which are not the reference's, and are named
-for it.
+The final model uses the reference's parameters unchanged (843 trees), and
+model selection its own: up to 30,000 trees a fold, 50 rounds of patience, the
+grids of 15 to 25 points (one query each).  The queries named ``*_probe`` are
+small settings of the same machinery, kept for a quick look.
 """
 
 from __future__ import annotations
@@ -74,10 +70,10 @@ def final_model(spark, sf):
         train, test = production_tables(spark, sf)
         model, feats = ml.fit_final(train)
         path = scratch_path(spark, f"final-model-{uuid.uuid4().hex}")
-        ml.save_model(model, path)
+        ml.save_model(spark, model, path)
         _FINAL[key] = (path, feats, stash(test))
     path, feats, test = _FINAL[key]
-    return ml.load_model(path), feats, test
+    return ml.load_model(spark, path), feats, test
 
 
 def selection_table(spark, sf) -> DataFrame:
@@ -108,7 +104,24 @@ def q_gbt_holdout_metrics(spark, sf):
 @query("feature_importance")
 def q_feature_importance(spark, sf):
     model, feats, _ = final_model(spark, sf)
-    return finish(ml.feature_importance(model, feats))
+    return finish(ml.feature_importance(model.nodes(spark)))
+
+
+STAGES = [1, 50, ml.FINAL_GBT["n_estimators"]]
+
+
+@query("gbt_staged_scores")
+def q_gbt_staged_scores(spark, sf):
+    """M4: probabilities at the tree limits 1, 50 and all, from one pass."""
+    model, _, test = final_model(spark, sf)
+    return finish(ml.staged_scores(model, test, STAGES))
+
+
+@query("gbt_splits")
+def q_gbt_splits(spark, sf):
+    """M14's source: the split table of the saved final model."""
+    model, _, _ = final_model(spark, sf)
+    return finish(model.nodes(spark))
 
 
 @query("standardized")
@@ -120,17 +133,23 @@ def q_standardized(spark, sf):
     return finish(m.transform(d).select("user_id", "product_id", "fold", *inputs))
 
 
-@query("gbt_early_stop_probe")
-def q_gbt_early_stop(spark, sf):
-    """M5: validation AUC per boosting round with fold 0 held out, best count."""
+def _early_stop(spark, sf, params: dict, patience: int) -> DataFrame:
     df = selection_table(spark, sf)
-    d, inputs = ml.prepare(df, ml.feature_columns(df))
-    with ml.fitting_rows(d) as rows:
-        _, best_n, scores = ml.fit_early_stopped(rows.filter(F.col("fold") != 0), rows.filter(F.col("fold") == 0),
-                                                 inputs, {**FINAL_CV, "n_estimators": 100}, patience=PROBE_PATIENCE,
-                                                 first_cap=100)
-    out = [(i + 1, float(v), i + 1 == best_n) for i, v in enumerate(scores)]
-    return finish(spark.createDataFrame(out, "n_trees int, validation_auc double, best boolean"))
+    feats = ml.feature_columns(df)
+    _, best, scores = ml.fit_early_stopped(df, feats, [ml.spec(params, feats, f) for f in range(K_FOLDS)], patience)
+    out = [(f, i + 1, float(v), i + 1 == best[f]) for f, own in enumerate(scores) for i, v in enumerate(own)]
+    return finish(spark.createDataFrame(out, "fold int, n_trees int, validation_auc double, best boolean"))
+
+
+@query("gbt_early_stop")
+def q_gbt_early_stop(spark, sf):
+    """M5: validation AUC per boosting round of every fold, best count."""
+    return _early_stop(spark, sf, FINAL_CV, ml.EARLY_STOP_ROUNDS)
+
+
+@query("gbt_early_stop_probe")
+def q_gbt_early_stop_probe(spark, sf):
+    return _early_stop(spark, sf, {**FINAL_CV, "n_estimators": 100}, PROBE_PATIENCE)
 
 
 @query("lr_baseline")
@@ -192,31 +211,67 @@ def q_rf_grid(spark, sf):
     return finish(rows.select("*", *[F.lit(s[c]).alias(c) for c in ("mean_best_f1", "std_best_f1", "mean_auc")]))
 
 
-@query("cv_gbt_probe")
-def q_cv_gbt(spark, sf):
-    """Early-stopped boosted trees without the three weak features,
-    with the best round count of every fold."""
+def _cv_gbt(spark, sf, params: dict, patience: int) -> DataFrame:
     df = selection_table(spark, sf).drop(*pf.WEAK_FEATURES)
-    params = {**FINAL_CV, "n_estimators": PROBE["n_estimators"]}
-    res = ml.cross_validate(df, None, k=K_FOLDS, early_stop=params, patience=PROBE_PATIENCE)
+    res = ml.cross_validate(df, None, k=K_FOLDS, early_stop=params, patience=patience)
     rounds = F.create_map(*[F.lit(x) for i, n in enumerate(res.best_rounds) for x in (i, n)])
     return finish(res.fold_metrics.withColumn("best_rounds", F.get(F.array(rounds), F.lit(0))[F.col("fold")]))
 
 
-@query("grid_search_probe")
-def q_grid_search(spark, sf):
-    """M11 + L6: CV mean best F1 per grid point; ``best`` marks rank 1."""
-    g = ml.grid_search(selection_table(spark, sf), PROBE_GRID, PROBE, k=K_FOLDS, patience=PROBE_PATIENCE)
+@query("cv_gbt")
+def q_cv_gbt(spark, sf):
+    """The final CV, early-stopped boosted trees without the three weak
+    features, with the best round count of every fold."""
+    return _cv_gbt(spark, sf, FINAL_CV, ml.EARLY_STOP_ROUNDS)
+
+
+@query("cv_gbt_probe")
+def q_cv_gbt_probe(spark, sf):
+    return _cv_gbt(spark, sf, {**FINAL_CV, "n_estimators": PROBE["n_estimators"]}, PROBE_PATIENCE)
+
+
+def _grid(spark, sf, grid: list[dict], base: dict, features=None, patience: int = ml.EARLY_STOP_ROUNDS) -> DataFrame:
+    g = ml.grid_search(selection_table(spark, sf), grid, base, k=K_FOLDS, features=features, patience=patience)
     return finish(g.withColumn("best", F.col("rank") == 1))
 
 
-@query("ablation_probe")
-def q_ablation(spark, sf):
-    """The same CV with and without the three weakest features."""
+def _register_grid(name: str) -> None:
+    @query(f"grid_{name}")
+    def q_grid(spark, sf):
+        """M11 + L6: CV mean best F1 per point of one of the reference's grids."""
+        return _grid(spark, sf, REFERENCE_GRIDS[name], GRID_BASES.get(name, SELECTION_BASE), GRID_FEATURES.get(name))
+
+
+for _name in REFERENCE_GRIDS:
+    _register_grid(_name)
+
+
+@query("grid_search_probe")
+def q_grid_search_probe(spark, sf):
+    return _grid(spark, sf, PROBE_GRID, PROBE, patience=PROBE_PATIENCE)
+
+
+def _ablation(spark, sf, params: dict, patience: int) -> DataFrame:
     df = selection_table(spark, sf)
+    every = ml.feature_columns(df)
+    sets = {"all": every, "without_weak": [c for c in every if c not in pf.WEAK_FEATURES]}
+    specs = [ml.spec(params, f, fold) for f in sets.values() for fold in range(K_FOLDS)]
+    models, rounds, _ = ml.fit_early_stopped(df, every, specs, patience)       # both sets grow together
     out = None
-    for name, d in (("all", df), ("without_weak", df.drop(*pf.WEAK_FEATURES))):
-        s = ml.cross_validate(d, None, k=K_FOLDS, early_stop=PROBE, patience=PROBE_PATIENCE).summary
+    for i, name in enumerate(sets):
+        own = slice(i * K_FOLDS, (i + 1) * K_FOLDS)
+        s = ml.boosted_result(df, models[own], rounds[own], every).summary
         s = s.select(F.lit(name).alias("features"), "mean_best_f1", "mean_auc")
         out = s if out is None else out.unionByName(s)
     return finish(out)
+
+
+@query("ablation")
+def q_ablation(spark, sf):
+    """The same CV with and without the three weakest features."""
+    return _ablation(spark, sf, FINAL_CV, ml.EARLY_STOP_ROUNDS)
+
+
+@query("ablation_probe")
+def q_ablation_probe(spark, sf):
+    return _ablation(spark, sf, PROBE, PROBE_PATIENCE)

@@ -1,21 +1,18 @@
 """Model training and selection on the feature table.
 
-XGBoost and scikit-learn are re-aimed to Spark ML:
-
-* gradient boosting -> ``GBTClassifier`` (colsample per tree becomes a
-  per-node feature subset, min_child_weight a minimum instance count);
-* L1 / L2 logistic regression -> ``LogisticRegression`` with
-  regParam = 1 / (C * n) (the same objective scaling as C);
-* random forest -> ``RandomForestClassifier`` (Spark takes depths up to 30);
-* early stopping on the validation fold -> the AUC of every prefix of the
-  ensemble from one scoring pass, 50 rounds of patience; the fitted model is
-  then cut to its best prefix (no refit);
-* K-fold by user -> the fold column of ``sampling.with_folds``; folds are
-  fitted by a few threads at a time and every fold's scores are unioned so all
-  folds are evaluated in one distributed pass.
-
-Fits are Spark jobs (tree levels are distributed aggregations); the only
-driver-side loop is over folds and grid points, as in any CV.
+* gradient boosting -> ``operators.boosting``: histogram trees as Spark jobs,
+  with the reference's parameters as they mean there (columns per tree, least
+  hessian of a child, nulls sent where they gain most);
+* L1 / L2 logistic regression and random forest -> Spark ML and, for whole
+  grids at once, ``operators.logistic``;
+* early stopping on the validation fold -> the AUC after every tree, 50 rounds
+  of patience; the ensemble is then cut to its best number of trees (no refit);
+* K-fold by user -> the fold column of ``sampling.with_folds``; boosted folds and
+  grid points grow together, other folds are fitted by a few threads at a time;
+  every fold's scores are unioned so all folds are evaluated in one pass.
+
+Fits are Spark jobs; the only driver-side loop is over folds and grid points, as
+in any CV.
 """
 
 from __future__ import annotations
@@ -24,18 +21,16 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-import numpy as np
-import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier,
-                                       LogisticRegression, RandomForestClassifier)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rebuy.functions.columns import FINAL_THRESHOLD, feature_type
+from rebuy.operators import boosting as bo
 from rebuy.operators import evaluate as ev
 
 KEYS = ["user_id", "product_id"]
@@ -76,13 +71,10 @@ def prepare(df: DataFrame, features: list[str]) -> tuple[DataFrame, list[str]]:
     return df.select(*keep, *cols, F.col(LABEL).cast("double").alias("label")), inputs
 
 
-def gbt(n_estimators=100, max_depth=3, learning_rate=0.1, subsample=1.0, min_child_weight=1,
-        colsample_bytree=0.8, seed=42) -> GBTClassifier:
-    """XGBClassifier parameters -> GBTClassifier."""
-    return GBTClassifier(maxIter=n_estimators, maxDepth=max_depth, stepSize=learning_rate,
-                         subsamplingRate=subsample, minInstancesPerNode=int(min_child_weight),
-                         featureSubsetStrategy=str(colsample_bytree), seed=seed,
-                         lossType="logistic", checkpointInterval=50, cacheNodeIds=False)
+def spec(params: dict, features: list[str] = (), held_out: int | None = None, seed: int = 42) -> bo.Spec:
+    """XGBClassifier parameters (its defaults, as far as the reference leaves them) of one ensemble."""
+    base = dict(n_estimators=100, max_depth=3, learning_rate=0.1, subsample=1.0, min_child_weight=1, colsample_bytree=1.0)
+    return bo.Spec(**{**base, **params}, seed=seed, held_out=held_out, allowed=tuple(features))
 
 
 def logistic(C: float, n: int, l1: bool = False) -> LogisticRegression:
@@ -159,111 +151,47 @@ def fitting_rows(df: DataFrame):
 
 
 def fit_final(train: DataFrame, features: list[str] | None = None, seed: int = 42,
-              **overrides) -> tuple[PipelineModel, list[str]]:
+              **overrides) -> tuple[bo.Ensemble, list[str]]:
     """M3: the final boosted-tree model on the whole training table."""
     features = features or feature_columns(train)
-    d, inputs = prepare(train, features)
-    params = {**FINAL_GBT, **overrides}
-    with fitting_rows(d.select(*inputs, "label")) as rows:
-        return make_pipeline(gbt(seed=seed, **params), inputs).fit(rows), features
+    grown = bo.Boosting(train, features, LABEL, KEYS, [spec({**FINAL_GBT, **overrides}, seed=seed)])
+    grown.grow(grown.specs[0].n_estimators)
+    grown.close()
+    return grown.ensemble(0), features
 
 
-def holdout_scores(model: PipelineModel, features: list[str], test: DataFrame,
+def holdout_scores(model: bo.Ensemble, features: list[str], test: DataFrame,
                    t: float = FINAL_THRESHOLD) -> DataFrame:
     """M4 + P8: (user_id, product_id, reordered, probability_1, prediction)."""
-    d, _ = prepare(test, features)
-    return score(model, d, t).select(*KEYS, LABEL, "probability_1", "prediction")
-
-
-def save_model(model: PipelineModel, path: str) -> None:
-    """ML persistence; feature names live in the assembler's inputCols."""
-    model.write().overwrite().save(path)
-
-
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
-
-
-def early_stop_rounds(scores: list[float], patience: int = EARLY_STOP_ROUNDS) -> int:
-    """Best round (first of the largest scores) when rounds end after
-    ``patience`` of them without an improvement."""
-    best, best_i = float("-inf"), 0
-    for i, v in enumerate(scores):
-        if v > best:
-            best, best_i = v, i
-        elif i - best_i >= patience:
-            break
-    return best_i + 1
-
-
-def _leaf_values(spark: SparkSession, model: GBTClassificationModel, path: str) -> list[np.ndarray]:
-    """Weighted prediction of every leaf of every tree, leaves left to right
-    (a model-sized table), read from the model's saved form (S6)."""
-    model.write().overwrite().save(path)
-    rows = (spark.read.parquet(f"{path}/data")
-            .filter("nodeData.leftChild < 0").select("treeID", "nodeData.id", "nodeData.prediction").collect())
-    out: dict[int, list[tuple[int, float]]] = {}
-    for r in rows:
-        out.setdefault(r["treeID"], []).append((r["id"], r["prediction"]))
-    return [np.array([p for _, p in sorted(out[t])]) * w for t, w in enumerate(model.treeWeights)]
-
-
-def staged_auc(model: PipelineModel, valid: DataFrame) -> list[float]:
-    """AUC on ``valid`` of every prefix of the ensemble, in one pass: the rows'
-    leaves are looked up and added up tree by tree, and the curves of all
-    prefixes are evaluated together."""
-    from rebuy.session import scratch_path
-    import uuid
-    gbt_model = model.stages[-1]
-    values = _leaf_values(valid.sparkSession, gbt_model, scratch_path(valid.sparkSession, f"staged-{uuid.uuid4().hex}"))
-    leaves = gbt_model.copy().setLeafCol("leaves").transform(model.stages[0].transform(valid))
-
-    def margins(batches):
-        for b in batches:
-            at = b.column("leaves").flatten().to_numpy().astype(int).reshape(b.num_rows, len(values))
-            total = np.cumsum(np.stack([v[at[:, t]] for t, v in enumerate(values)], axis=1), axis=1)
-            yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(list(total), pa.list_(pa.float64()))],
-                                             ["label", "margins"])
-    staged = (leaves.select("label", vector_to_array("leaves").alias("leaves"))
-              .mapInArrow(margins, "label double, margins array<double>")
-              .select("label", F.posexplode("margins").alias("round", "margin")))
-    by_round = ev.auc(ev.curve_counts(staged, "label", "margin", ["round"]), ["round"])
-    got = {r["round"]: r["auc"] for r in by_round.collect()}       # a number per tree
-    return [got.get(i) if got.get(i) is not None else 0.5 for i in range(len(values))]
-
-
-def prefix_model(spark: SparkSession, model: PipelineModel, n_trees: int) -> PipelineModel:
-    """The ensemble cut to its first trees."""
-    last = model.stages[-1]
-    sc = spark.sparkContext
-    jvm, java = sc._jvm, last._java_obj
-    trees = java.trees()
-    kept = sc._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n_trees)
-    weights = sc._gateway.new_array(jvm.double, n_trees)
-    for i in range(n_trees):
-        kept[i], weights[i] = trees[i], float(last.treeWeights[i])
-    cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(
-        java.uid(), kept, weights, java.numFeatures(), java.numClasses())
-    java.copyValues(cut, jvm.org.apache.spark.ml.param.ParamMap())
-    return PipelineModel([*model.stages[:-1], GBTClassificationModel(cut)])
-
-
-def fit_early_stopped(train: DataFrame, valid: DataFrame, inputs: list[str], params: dict,
-                      patience: int = EARLY_STOP_ROUNDS, seed: int = 42, first_cap: int = 200):
-    """M5: grow the ensemble in doubling caps (tree m depends only on the
-    seed and m, so a larger cap extends the same trees) until the validation
-    AUC has not improved for ``patience`` rounds or the cap
-    ``params['n_estimators']`` is reached; the model is then cut to its best
-    prefix.  Returns (model, best_n, validation AUC per round)."""
-    cap_limit = params["n_estimators"]
-    cap = min(first_cap, cap_limit)
-    while True:
-        model = make_pipeline(gbt(seed=seed, **{**params, "n_estimators": cap}), inputs).fit(train)
-        scores = staged_auc(model, valid)
-        best_n = early_stop_rounds(scores, patience)
-        if best_n + patience <= cap or cap >= cap_limit:
-            return (model if best_n == cap else prefix_model(train.sparkSession, model, best_n)), best_n, scores
-        cap = min(cap * 2, cap_limit)
+    scored = model.probabilities(test.select(*KEYS, F.col(LABEL), *features))
+    return ev.predict(scored, "probability_1", t).select(*KEYS, LABEL, "probability_1", "prediction")
+
+
+def staged_scores(model: bo.Ensemble, test: DataFrame, counts: list[int]) -> DataFrame:
+    """M4 at several tree limits: a row per candidate and number of trees."""
+    inputs = [f for f in model.features if f not in KEYS]
+    scored = model.probabilities(test.select(*KEYS, *inputs), counts, "staged").select(*KEYS, F.posexplode("staged").alias("i", "probability_1"))
+    return scored.select(*KEYS, F.element_at(F.array(*[F.lit(c) for c in counts]), F.col("i") + 1).alias("n_trees"), "probability_1")
+
+
+def save_model(spark: SparkSession, model: bo.Ensemble, path: str) -> None:
+    """The split table and the bins' cuts, as Parquet."""
+    model.save(spark, path)
+
+
+def load_model(spark: SparkSession, path: str) -> bo.Ensemble:
+    return bo.Ensemble.load(spark, path)
+
+
+def fit_early_stopped(df: DataFrame, features: list[str], specs: list[bo.Spec],
+                      patience: int = EARLY_STOP_ROUNDS) -> tuple[list[bo.Ensemble], list[int], list[list[float]]]:
+    """M5: ensembles that grow together until the AUC on the fold that each
+    holds out has not improved for ``patience`` rounds, cut to their best number
+    of trees.  Returns (models, best numbers, AUC per round)."""
+    grown = bo.Boosting(df, features, LABEL, KEYS, specs, "fold")
+    best, scores = bo.grow_until_best(grown, patience)
+    grown.close()
+    return [grown.ensemble(i, n) for i, n in enumerate(best)], best, scores
 
 
 @dataclass
@@ -271,44 +199,56 @@ class CVResult:
     fold_metrics: DataFrame
     summary: DataFrame
     best_rounds: list[int] = field(default_factory=list)
-    models: list[PipelineModel] = field(default_factory=list)
+    models: list = field(default_factory=list)
     features: list[str] = field(default_factory=list)
 
 
 def cross_validate(df: DataFrame, make_estimator, features: list[str] | None = None,
                    k: int = 5, scale: bool = False, early_stop: dict | None = None,
                    cut: float = 0.5, patience: int = EARLY_STOP_ROUNDS) -> CVResult:
-    """User-grouped K-fold.  ``df`` carries a ``fold`` column.
-    ``FOLD_THREADS`` folds are fitted at a time.  Validation scores of all
-    folds are unioned and evaluated together (V1-V7 in one pass); train F1 uses
-    each model's own training rows.  The scores are stored, so nothing stays
-    cached."""
+    """User-grouped K-fold.  ``df`` carries a ``fold`` column.  With
+    ``early_stop`` (boosting parameters) all folds grow together, else
+    ``FOLD_THREADS`` folds are fitted at a time.  Validation scores of all folds
+    are unioned and evaluated together (V1-V7 in one pass); train F1 uses each
+    model's own training rows.  The scores are stored, so nothing stays cached."""
     from rebuy.plans.stash import stash
     features = features or feature_columns(df)
+    if early_stop is not None:
+        models, rounds, _ = fit_early_stopped(df, features, [spec(early_stop, features, f) for f in range(k)], patience)
+        return boosted_result(df, models, rounds, features, cut)
     d, inputs = prepare(df, features)
     with fitting_rows(d) as rows:
         def one(f: int):
-            tr, va = rows.filter(F.col("fold") != f), rows.filter(F.col("fold") == f)
-            n = 0
-            if early_stop is not None:
-                model, n, _ = fit_early_stopped(tr, va, inputs, early_stop, patience=patience,
-                                                first_cap=min(200, early_stop["n_estimators"]))
-            else:
-                model = make_pipeline(make_estimator(tr), inputs, scale).fit(tr)
-            both = score(model, rows, cut).select(
-                F.lit(f).alias("model"), "fold", "label", "probability_1", "prediction")
-            return model, n, both
+            tr = rows.filter(F.col("fold") != f)
+            model = make_pipeline(make_estimator(tr), inputs, scale).fit(tr)
+            return model, score(model, rows, cut).select(F.lit(f).alias("model"), "fold", "label", "probability_1", "prediction")
         with ThreadPoolExecutor(FOLD_THREADS) as pool:
             fitted = list(pool.map(inheritable_thread_target(d.sparkSession)(one), range(k)))
-        scores = fitted[0][2]
-        for _, _, s in fitted[1:]:
+        scores = fitted[0][1]
+        for _, s in fitted[1:]:
             scores = scores.unionByName(s)
         scores = stash(scores)
+    return cv_result(scores, [m for m, _ in fitted], [], features)
+
+
+def boosted_result(df: DataFrame, models: list[bo.Ensemble], rounds: list[int], features: list[str], cut: float = 0.5) -> CVResult:
+    """The metrics of one early-stopped model per fold, model f for fold f."""
+    from rebuy.plans.stash import stash
+    rows = df.select("fold", F.col(LABEL).cast("double").alias("label"), *features)
+    scores = None
+    for f, m in enumerate(models):
+        s = ev.predict(m.probabilities(rows), "probability_1", cut).select(
+            F.lit(f).alias("model"), "fold", "label", "probability_1", "prediction")
+        scores = s if scores is None else scores.unionByName(s)
+    return cv_result(stash(scores), models, rounds, features)
+
+
+def cv_result(scores: DataFrame, models: list, rounds: list[int], features: list[str]) -> CVResult:
+    from rebuy.plans.stash import stash
     valid = scores.filter("model = fold").drop("model")
     train = scores.filter("model <> fold").select(F.col("model").alias("fold"), "label", "prediction")
     metrics = stash(cv_fold_metrics(valid, train))
-    return CVResult(metrics, ev.fold_summary(metrics), [n for _, n, _ in fitted] if early_stop else [],
-                    [m for m, _, _ in fitted], features)
+    return CVResult(metrics, ev.fold_summary(metrics), rounds, models, features)
 
 
 def cv_fold_metrics(valid: DataFrame, train: DataFrame) -> DataFrame:
@@ -324,35 +264,55 @@ def cv_fold_metrics(valid: DataFrame, train: DataFrame) -> DataFrame:
     return conf.join(tr, "fold", "left").join(a, "fold", "left").join(b, "fold", "left")
 
 
-def grid_search(df: DataFrame, grid: list[dict], base: dict, k: int = 5,
-                features: list[str] | None = None, patience: int = EARLY_STOP_ROUNDS) -> DataFrame:
+GRID_COLUMNS = ("param_id int, params string, mean_best_f1 double, std_best_f1 double, mean_best_rounds int")
+
+
+def grid_search(df: DataFrame, grid: list[dict], base: dict, k: int = 5, features: list[str] | None = None,
+                patience: int = EARLY_STOP_ROUNDS, journal: str | None = None, at_once: int = 6) -> DataFrame:
     """CV with early stopping at each grid point -> (param_id, params,
-    mean_best_f1, std_best_f1, mean_best_rounds, rank).  Equal scores go to the
-    larger parameter values in grid order, as a maximum over (score,
-    parameters) tuples does."""
-    rows = []
-    for i, point in enumerate(grid):
-        res = cross_validate(df, None, features, k, early_stop={**base, **point}, patience=patience)
-        s = res.summary.select("mean_best_f1", "std_best_f1").first()
-        rows.append((i, str(sorted(point.items())), float(s.mean_best_f1 or 0.0), float(s.std_best_f1 or 0.0),
-                     int(sum(res.best_rounds) / max(1, len(res.best_rounds)))))
-    order = sorted(rows, key=lambda r: (r[2], sorted(grid[r[0]].items())), reverse=True)
+    mean_best_f1, std_best_f1, mean_best_rounds, rank).  The folds of ``at_once``
+    points grow together.  With ``journal``, a folder, the results of finished
+    points are stored there and a search that was broken off goes on after them.
+    Equal scores go to the larger parameter values in grid order, as a maximum
+    over (score, parameters) tuples does."""
+    spark = df.sparkSession
+    features = features or feature_columns(df)
+    rows = {r["param_id"]: tuple(r) for r in _journal(spark, journal)}
+    for i, r in rows.items():
+        if i >= len(grid) or r[1] != str(sorted(grid[i].items())):
+            raise ValueError(f"{journal} holds another search: point {i} was {r[1]}")
+    todo = [i for i in range(len(grid)) if i not in rows]
+    for a in range(0, len(todo), at_once):
+        points = todo[a:a + at_once]
+        specs = [spec({**base, **grid[i]}, features, f) for i in points for f in range(k)]
+        models, rounds, _ = fit_early_stopped(df, features, specs, patience)
+        done = []
+        for j, i in enumerate(points):
+            own = slice(j * k, (j + 1) * k)
+            s = boosted_result(df, models[own], rounds[own], features).summary.select("mean_best_f1", "std_best_f1").first()
+            done.append((i, str(sorted(grid[i].items())), float(s.mean_best_f1 or 0.0), float(s.std_best_f1 or 0.0),
+                         int(sum(rounds[own]) / k)))
+        if journal:
+            spark.createDataFrame(done, GRID_COLUMNS).coalesce(1).write.mode("append").parquet(journal)
+        rows.update({r[0]: r for r in done})
+    order = sorted(rows.values(), key=lambda r: (r[2], sorted(grid[r[0]].items())), reverse=True)
     rank = {r[0]: i + 1 for i, r in enumerate(order)}
-    return df.sparkSession.createDataFrame(
-        [(*r, rank[r[0]]) for r in rows], "param_id int, params string, mean_best_f1 double, "
-        "std_best_f1 double, mean_best_rounds int, rank int")
-
-
-def feature_importance(model: PipelineModel, features: list[str]) -> DataFrame:
-    """M14 + C5: normalised total gain per feature (Spark's importances),
-    its type by name prefix, sorted by gain."""
-    inputs = model.stages[0].getInputCols()
-    imp = model.stages[-1].featureImportances.toArray().tolist()
-    gain = {}
-    for name, v in zip(inputs, imp):
-        base = name[:-len("_missing")] if name.endswith("_missing") else name
-        gain[base] = gain.get(base, 0.0) + float(v)
-    # One row per feature name (a bounded, model-sized list).
-    df = SparkSession.getActiveSession().createDataFrame([(f, gain.get(f, 0.0)) for f in features],
-                               "feature_names string, gain double")
-    return df.withColumn("feature_type", feature_type("feature_names")).orderBy(F.desc("gain"), "feature_names")
+    return spark.createDataFrame([(*rows[i], rank[i]) for i in sorted(rows)], GRID_COLUMNS + ", rank int")
+
+
+def _journal(spark: SparkSession, path: str | None) -> list:
+    if path is None:
+        return []
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return []
+    return spark.read.schema(GRID_COLUMNS).parquet(path).collect()       # a row per finished point
+
+
+def feature_importance(nodes: DataFrame) -> DataFrame:
+    """M14 + C5, from a split table: per feature that splits anywhere its mean gain a split (the
+    reference's ``gain``), its total gain, its splits and its type by name prefix,
+    sorted by gain."""
+    return (nodes.filter(F.col("feature").isNotNull()).groupBy(F.col("feature").alias("feature_names"))
+            .agg(F.avg("gain").alias("gain"), F.sum("gain").alias("total_gain"), F.count(F.lit(1)).alias("splits"))
+            .withColumn("feature_type", feature_type("feature_names")).orderBy(F.desc("gain"), "feature_names"))

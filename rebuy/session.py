@@ -51,6 +51,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def on_python_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did (a
+    cluster that has it installed needs nothing)."""
+    env = spark.sparkContext.environment
+    if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, env.get("PYTHONPATH", "")]))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 

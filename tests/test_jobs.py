@@ -61,7 +61,7 @@ def test_selection_is_the_references(spark, folders, monkeypatch):
     jobs.take_holdout(spark, raw, work, 60, 20, 20)
     monkeypatch.setattr(jobs, "write_csv", lambda *a: None)
     ran, final = [], []
-    monkeypatch.setattr(ml, "grid_search", lambda df, grid, base, k, features, patience: ran.append(
+    monkeypatch.setattr(ml, "grid_search", lambda df, grid, base, k, features, patience, journal: ran.append(
         ([{**base, **p} for p in grid], features, k, patience)))
 
     def cross_validate(df, make, features, k, early_stop, patience):

@@ -8,34 +8,6 @@ from rebuy.plans import model as ml
 from rebuy.plans.features import feature_table
 
 
-def test_early_stop_rounds():
-    scores = [0.5, 0.6, 0.7, 0.69, 0.7, 0.68, 0.9]
-    assert ml.early_stop_rounds(scores, patience=3) == 3
-    assert ml.early_stop_rounds(scores, patience=5) == 7
-    assert ml.early_stop_rounds([0.1, 0.2, 0.3], patience=3) == 3
-
-
-def test_staged_auc_and_prefix_models(spark, planted):
-    """The staged AUC of n trees is that of the model cut to n trees, which is
-    the model fitted with n trees; AUC and log-loss may stop apart."""
-    d, inputs = ml.prepare(planted, ml.feature_columns(planted))
-    params = dict(max_depth=2, learning_rate=0.9, subsample=0.7, colsample_bytree=0.7)
-    model = ml.make_pipeline(ml.gbt(n_estimators=9, **params), inputs).fit(d)
-    staged = ml.staged_auc(model, d)
-    assert len(staged) == 9
-    for n in (1, 4, 9):
-        cut = ml.prefix_model(spark, model, n)
-        assert cut.stages[-1].getNumTrees == n
-        got = ml.score(cut, d).select("label", "probability_1")
-        assert ev.auc(ev.curve_counts(got, "label", "probability_1")).first().auc == pytest.approx(staged[n - 1], abs=2e-3)
-    again = ml.make_pipeline(ml.gbt(n_estimators=4, **params), inputs).fit(d)
-    a = {(r.user_id, r.product_id): r.probability_1 for r in ml.score(ml.prefix_model(spark, model, 4), d).collect()}
-    b = {(r.user_id, r.product_id): r.probability_1 for r in ml.score(again, d).collect()}
-    assert a == pytest.approx(b)
-    losses = list(model.stages[-1].evaluateEachIteration(model.stages[0].transform(d)))
-    assert len(losses) == len(staged)
-
-
 def test_forest_depth_is_never_clamped():
     with pytest.raises(ValueError):
         ml.random_forest(35)
@@ -60,10 +32,13 @@ def test_gbt_learns_planted_signal(spark, planted):
     assert s.filter((F.col("probability_1") < 0) | (F.col("probability_1") > 1)).count() == 0
     a = ev.auc(ev.curve_counts(s, "reordered", "probability_1")).first().auc
     assert a > 0.8
-    imp = ml.feature_importance(model, feats).collect()
-    assert sum(r.gain for r in imp) == pytest.approx(1.0)
-    top = max(imp, key=lambda r: r.gain)
-    assert top.feature_names == "signal" and top.feature_type == "Order"
+    nodes = [r for r in model.nodes(spark).collect() if r.feature is not None]
+    imp = ml.feature_importance(model.nodes(spark)).collect()
+    assert {r.feature_names for r in imp} == {r.feature for r in nodes}
+    for r in imp:
+        own = [n.gain for n in nodes if n.feature == r.feature_names]
+        assert (r.gain, r.total_gain, r.splits) == (pytest.approx(sum(own) / len(own)), pytest.approx(sum(own)), len(own))
+    assert imp[0].feature_names == "signal" and imp[0].feature_type == "Order"
 
 
 def test_missing_indicator_added(planted):
@@ -91,6 +66,31 @@ def test_early_stopped_cv(spark, planted):
     assert len(res.best_rounds) == 2 and all(1 <= n <= 12 for n in res.best_rounds)
 
 
+def test_grid_search_goes_on_from_its_journal(spark, planted, tmp_path, monkeypatch):
+    """A search that dies after its first batch and starts anew gives the same
+    ranking, without fitting finished points again."""
+    from rebuy.operators.sampling import with_folds
+    df = with_folds(planted, 2)
+    base = dict(n_estimators=6, max_depth=2, learning_rate=0.3)
+    grid = [dict(learning_rate=lr) for lr in (0.1, 0.3, 0.5)]
+    whole = [tuple(r) for r in ml.grid_search(df, grid, base, 2, patience=3).collect()]
+    fit, calls = ml.fit_early_stopped, []
+
+    def dying(df, features, specs, patience):
+        calls.append(len(specs))
+        if len(calls) == 2:
+            raise RuntimeError("the driver is gone")
+        return fit(df, features, specs, patience)
+    monkeypatch.setattr(ml, "fit_early_stopped", dying)
+    path = str(tmp_path / "journal")
+    with pytest.raises(RuntimeError):
+        ml.grid_search(df, grid, base, 2, patience=3, journal=path, at_once=2)
+    again = [tuple(r) for r in ml.grid_search(df, grid, base, 2, patience=3, journal=path, at_once=2).collect()]
+    assert again == whole and calls == [4, 2, 2]
+    with pytest.raises(ValueError):
+        ml.grid_search(df, grid[::-1], base, 2, patience=3, journal=path)
+
+
 def test_toy_feature_table_trains(spark, toy):
     ft, _ = feature_table(toy.orders, toy.prior, toy.train, toy.products, mode="none")
     model, feats = ml.fit_final(ft, n_estimators=3, max_depth=2)
