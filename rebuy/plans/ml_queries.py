@@ -155,17 +155,14 @@ def q_gbt_early_stop_probe(spark, sf):
 @query("lr_baseline")
 def q_lr_baseline(spark, sf):
     """M6 + M9: L2 logistic regression, standardised, 5-fold CV summary."""
-    res = ml.cross_validate(selection_table(spark, sf), lambda tr: ml.logistic(1.0, tr.count()),
-                            ["user_product_reordered_past"], scale=True, k=K_FOLDS)
+    res = ml.cross_validate_logistic(selection_table(spark, sf), ["user_product_reordered_past"], k=K_FOLDS)
     return finish(res.summary)
 
 
 @query("cv_metrics")
 def q_cv_metrics(spark, sf):
     """M9: per-fold metrics of the L2 baseline on the full notebook features."""
-    df = selection_table(spark, sf)
-    res = ml.cross_validate(df, lambda tr: ml.logistic(1.0, tr.count()), scale=True, k=K_FOLDS)
-    return finish(res.fold_metrics)
+    return finish(ml.cross_validate_logistic(selection_table(spark, sf), k=K_FOLDS).fold_metrics)
 
 
 # The notebook's feature sets grow stage by stage; bins come after all of these.
@@ -184,16 +181,7 @@ L1_STAGES = {"user": USER_STAGE, "user_product": USER_STAGE + [c for c in UNBINN
 def q_lr_l1_grid(spark, sf):
     """M7: L1 logistic regression over C for the three feature stages, mean
     best F1 of each."""
-    df = selection_table(spark, sf)
-    out = None
-    for stage, features in L1_STAGES.items():
-        for c in ml.LR_C_GRID:
-            res = ml.cross_validate(df, lambda tr, c=c: ml.logistic(float(c), tr.count(), l1=True),
-                                    features, scale=True, k=K_FOLDS)
-            s = res.summary.select(F.lit(stage).alias("stage"), F.lit(float(c)).alias("C"),
-                                   "mean_best_f1", "std_best_f1", "mean_auc")
-            out = s if out is None else out.unionByName(s)
-    return finish(out)
+    return finish(ml.logistic_grid(selection_table(spark, sf), L1_STAGES, ml.LR_C_GRID, k=K_FOLDS))
 
 
 @query("rf_grid")

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from rebuy.functions.columns import FINAL_THRESHOLD, feature_type
 from rebuy.operators import boosting as bo
 from rebuy.operators import evaluate as ev
+from rebuy.operators import logistic as lo
 
 KEYS = ["user_id", "product_id"]
 LABEL = "reordered"
@@ -231,6 +232,35 @@ def cross_validate(df: DataFrame, make_estimator, features: list[str] | None = N
     return cv_result(scores, [m for m, _ in fitted], [], features)
 
 
+def cross_validate_logistic(df: DataFrame, features: list[str] | None = None, C: float = 1.0, l1: bool = False,
+                            k: int = 5, cut: float = 0.5) -> CVResult:
+    """M6 / M9: the folds' regressions by shared passes, scored in one."""
+    from rebuy.plans.stash import stash
+    features = features or feature_columns(df)
+    d, inputs = prepare(df, features)
+    models, _ = lo.fit_all(d, [lo.Fit(tuple(inputs), C, l1, f) for f in range(k)], "label")
+    scores = ev.predict(lo.probabilities(d, models, ["fold", "label"]), "probability_1", cut)
+    return cv_result(stash(scores.select("model", "fold", "label", "probability_1", "prediction")), models, [], features)
+
+
+def logistic_grid(df: DataFrame, stages: dict[str, list[str]], strengths: list[float], l1: bool = True, k: int = 5) -> DataFrame:
+    """M7: stage, C and the CV summary of every (stage, C): all fits share their
+    passes over the rows, and all validation scores are evaluated together."""
+    d, _ = prepare(df, sorted({c for f in stages.values() for c in f}))
+    points = [(stage, float(c)) for stage in stages for c in strengths]
+    inputs = {s: tuple(i for c in f for i in ([f"{c}_missing"] if c in NULLABLE else []) + [c]) for s, f in stages.items()}
+    fits = [lo.Fit(inputs[stage], c, l1, f) for stage, c in points for f in range(k)]
+    models, _ = lo.fit_all(d, fits, "label")
+    valid = lo.probabilities(d, models, ["fold", "label"], own_fold_only=True).withColumn("point", F.expr(f"model div {k}"))
+    curve = ev.curve_counts(valid, "label", "probability_1", ["point", "fold"])
+    each = (ev.best_f1(ev.pr_points(curve, ["point", "fold"]), ["point", "fold"]).select("point", "fold", F.col("f1").alias("best_f1"))
+            .join(ev.auc(curve, ["point", "fold"]), ["point", "fold"], "left"))
+    named = df.sparkSession.createDataFrame([(i, s, c) for i, (s, c) in enumerate(points)], "point long, stage string, C double")
+    return (each.groupBy("point").agg(F.avg("best_f1").alias("mean_best_f1"), F.stddev_pop("best_f1").alias("std_best_f1"),
+                                      F.avg("auc").alias("mean_auc"))
+            .join(named, "point").select("stage", "C", "mean_best_f1", "std_best_f1", "mean_auc"))
+
+
 def boosted_result(df: DataFrame, models: list[bo.Ensemble], rounds: list[int], features: list[str], cut: float = 0.5) -> CVResult:
     """The metrics of one early-stopped model per fold, model f for fold f."""
     from rebuy.plans.stash import stash
