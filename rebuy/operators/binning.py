@@ -36,13 +36,13 @@ def class_counts(df: DataFrame, key: str, label: str = "reordered",
                  F.sum(F.when(F.col(label) == 1, w).otherwise(0)).cast("bigint").alias("n1")))
 
 
-def class_ratios(counts: DataFrame, fill_missing: bool) -> DataFrame:
+def class_ratios(counts: DataFrame, fill_missing: bool, by: list[str] = ()) -> DataFrame:
     """A12 + J9: per key, the share of each class's rows (full outer
-    alignment of the two value_counts).  A key absent from a class has a
-    NULL ratio, or 0 with ``fill_missing``.  Adds no_reorder, reordered,
-    diff."""
+    alignment of the two value_counts), within each group of ``by``.  A key
+    absent from a class has a NULL ratio, or 0 with ``fill_missing``.  Adds
+    no_reorder, reordered, diff."""
     # class totals over the category table (one row per key), in the same pass
-    every = Window.partitionBy()
+    every = Window.partitionBy(*by)
     t0, t1 = F.sum("n0").over(every), F.sum("n1").over(every)
 
     def ratio(n: str, t: Column) -> Column:
@@ -69,6 +69,38 @@ def apply_bin_map(df: DataFrame, bmap: DataFrame, key: str, out_col: str,
     return out.drop(key) if drop_key else out
 
 
+def fold_bin_maps(df: DataFrame, key: str, rule: str, out_col: str, folds: int, label: str = "reordered",
+                  weight: str | None = None) -> DataFrame:
+    """B1-B3 fitted without each fold: (fold, key, no_reorder, reordered, diff,
+    ``out_col``) where the row of fold f is what the rows of all other folds
+    give.  ``df`` has a ``fold`` column from 0.
+
+    The table is counted once by (fold, key, label); a fold's training counts
+    are the total minus its own, so no row is read again per fold.  A key that
+    occurs in no training row of a fold has no row there (its bin is NULL)."""
+    w = F.col(weight) if weight else F.lit(1)
+    own = (df.filter(F.col(key).isNotNull()).groupBy("fold", key)
+           .agg(F.sum(F.when(F.col(label) == 0, w).otherwise(0)).cast("bigint").alias("own0"),
+                F.sum(F.when(F.col(label) == 1, w).otherwise(0)).cast("bigint").alias("own1")))
+    total = own.groupBy(key).agg(F.sum("own0").alias("all0"), F.sum("own1").alias("all1"))
+    every = total.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
+    counts = (every.join(own, ["fold", key], "left")
+              .withColumn("n0", F.col("all0") - F.coalesce("own0", F.lit(0)))
+              .withColumn("n1", F.col("all1") - F.coalesce("own1", F.lit(0)))
+              .filter("n0 + n1 > 0").select("fold", key, "n0", "n1"))
+    expr, fill = RULES[rule]
+    r = class_ratios(counts, fill, ["fold"])
+    return r.select("fold", key, "no_reorder", "reordered", "diff", expr("diff").alias(out_col))
+
+
+def with_fold_bins(df: DataFrame, maps: DataFrame, key: str, out_col: str, folds: int) -> DataFrame:
+    """Add ``out_col``_f0, _f1, ...: the row's bin by each fold's map, from one
+    join on the key (one row per category).  The model that holds out fold f
+    sees _f{f} only, in training and in validation."""
+    wide = maps.groupBy(key).agg(*[F.max(F.when(F.col("fold") == f, F.col(out_col))).alias(f"{out_col}_f{f}") for f in range(folds)])
+    return df.join(wide, key, "left")
+
+
 class SupervisedBinner(Estimator):
     """Estimator: fits a key -> bin map from labelled (optionally weighted)
     rows.  ``rule`` is ``department``, ``aisle`` or ``hour``."""

@@ -218,6 +218,18 @@ def q_cv_gbt_probe(spark, sf):
     return _cv_gbt(spark, sf, {**FINAL_CV, "n_estimators": PROBE["n_estimators"]}, PROBE_PATIENCE)
 
 
+@query("cv_gbt_fold_bins")
+def q_cv_gbt_fold_bins(spark, sf):
+    """M10 with the department and aisle bins fitted without the fold they are
+    tested on (B4 per fold)."""
+    df = selection_table(spark, sf).drop(*pf.WEAK_FEATURES)
+    feats = ml.feature_columns(df)
+    keyed = df.join(tables(spark, sf).products.select("product_id", "department_id", "aisle_id"), "product_id", "left")
+    bins = {c: b for c, b in {"product_dept_bin": ("department_id", "department"),
+                              "product_aisle_bin": ("aisle_id", "aisle")}.items() if c in feats}
+    return finish(ml.cross_validate_fold_bins(keyed, feats, bins, FINAL_CV, K_FOLDS).fold_metrics)
+
+
 def _grid(spark, sf, grid: list[dict], base: dict, features=None, patience: int = ml.EARLY_STOP_ROUNDS) -> DataFrame:
     g = ml.grid_search(selection_table(spark, sf), grid, base, k=K_FOLDS, features=features, patience=patience)
     return finish(g.withColumn("best", F.col("rank") == 1))

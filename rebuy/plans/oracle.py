@@ -205,9 +205,8 @@ def holdout_ctes(n_total=N_TOTAL, n_subset=N_SUBSET, n_extra_users=N_USERS, seed
 
 
 HOLD = holdout_ctes()
-EDA_N = 3000
-SAMPLE_ROWS = [f"srows AS (SELECT * FROM b_train ORDER BY {_md5(['order_id', 'product_id'], '42')}, "
-               f"order_id, product_id LIMIT {EDA_N})"]
+SAMPLE_ROWS = [f"srows AS (SELECT * FROM b_train ORDER BY {_md5(['order_id', 'product_id'], '42')}, order_id, product_id "
+               "LIMIT (SELECT (count(*) * 30000 + 1384616) // 1384617 FROM b_train))"]
 
 # ---- evaluation on the deterministic score --------------------------------------------
 
@@ -308,6 +307,29 @@ def _orders_cols(p=""):
             f"{p}order_hour_of_day, round({p}days_since_prior_order, 6) AS days_since_prior_order")
 
 
+def _orders_inferred() -> str:
+    whole = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in ("order_id", "user_id", "order_number", "order_dow", "order_hour_of_day"))
+    return f"{whole}, eval_set, CAST(round(days_since_prior_order, 6) AS DOUBLE) AS days_since_prior_order"
+
+
+def _per_fold() -> str:
+    """The bins of each fold from the rows of all others, fold by fold."""
+    parts = []
+    for rule, key, fill, expr in (("department", "department_id", False, DEPT_BIN), ("aisle", "aisle_id", True, AISLE_BIN)):
+        for f in range(5):
+            def ratio(n):
+                e = f"CASE WHEN {n} > 0 THEN {n} / sum({n}) OVER () END"
+                return f"coalesce({e}, 0.0)" if fill else e
+            parts.append(f"""
+                SELECT '{rule}' AS category, {f} AS fold, CAST(key AS BIGINT) AS key, round(no_reorder, 6) AS no_reorder,
+                       round(reordered, 6) AS reordered, round(diff, 6) AS diff, {expr} AS bin
+                FROM (SELECT *, reordered - no_reorder AS diff
+                      FROM (SELECT key, {ratio('n0')} AS no_reorder, {ratio('n1')} AS reordered
+                            FROM (SELECT {key} AS key, count(*) FILTER (reordered = 0) AS n0, count(*) FILTER (reordered = 1) AS n1
+                                  FROM fcat WHERE fold <> {f} AND {key} IS NOT NULL GROUP BY {key})))""")
+    return " UNION ALL ".join(parts)
+
+
 # ---- M2: the notebook table of the model-selection subset, standardised ----------------
 
 SUBSET = (HOLD + [
@@ -342,6 +364,10 @@ SQL: dict[str, str] = {
     "scan_products": with_adapter(select="""
         SELECT product_id, CASE WHEN product_id % 2 = 0 THEN 'Bar, ""' || product_name || '"" "Dark", Big'
                                 ELSE product_name END AS product_name, aisle_id, department_id FROM b_products"""),
+    "scan_products_breaks": with_adapter(select="""
+        SELECT product_id, CASE WHEN product_id % 3 = 0 THEN 'a "b"' || chr(10) || product_name || chr(10) || chr(10) || ',"c'
+                                ELSE product_name END AS product_name, aisle_id, department_id FROM b_products"""),
+    "scan_orders_inferred": with_adapter(select=f"SELECT {_orders_inferred()} FROM b_orders"),
     "filter_not_test": with_adapter(
         select=f"SELECT {_orders_cols()} FROM b_orders WHERE eval_set IS DISTINCT FROM 'test'"),
     "order_details": with_adapter(select="""
@@ -439,6 +465,8 @@ SQL: dict[str, str] = {
         SELECT department_id, round(diff, 6) AS diff,
                CAST(row_number() OVER (ORDER BY diff DESC NULLS LAST, department_id) AS INTEGER) AS rank
         FROM ddiff"""),
+    "bins_per_fold": with_adapter(*CANDIDATES, f"""fcat AS (SELECT u.reordered, {FOLD_HASH} AS fold, p.department_id, p.aisle_id
+        FROM cand u JOIN b_products p ON u.product_id = p.product_id)""", select=_per_fold()),
     "aisle_freq": with_adapter(*BINS, select="""
         SELECT aisle_id, round(no_reorder, 6) AS no_reorder, round(reordered, 6) AS reordered,
                round(diff, 6) AS diff FROM adiff"""),

@@ -34,7 +34,7 @@ from rebuy.sources.testdata import BasketTables, basket_tables, materialize
 HOLDOUT_SHARES = dict(n_total=0.198, n_subset=0.0457, n_extra_users=0.0291)
 HOLDOUT_LEAST = dict(n_total=60, n_subset=20, n_extra_users=20)
 HOLDOUT_SEED = 42
-EDA_SAMPLE_ROWS = 3000      # below the line count at the tested scale, so the sample bites
+EDA_SHARE = (30000, 1384617)    # the reference's sample of its current lines
 K_FOLDS = 5
 FOLD_SALT = "42"
 SCORE = "user_product_percent_order_containing_product"   # deterministic score
@@ -120,6 +120,29 @@ def q_scan_products(spark, sf):
     return finish(read_csv_table(spark, path, "products"))
 
 
+@query("scan_products_breaks")
+def q_scan_products_breaks(spark, sf):
+    """S1 + S2 over cells with line breaks, quotes and commas: records are cut by
+    quote parity, so the file stays splittable."""
+    t = tables(spark, sf)
+    tag = hashlib.md5(os.path.abspath(sf).encode()).hexdigest()[:12]
+    path = scratch_path(spark, f"products_breaks_{tag}")
+    cell = F.concat(F.lit('a "b"\n'), "product_name", F.lit('\n\n,"c'))
+    write_csv(t.products.withColumn("product_name", F.when(F.col("product_id") % 3 == 0, cell)
+                                    .otherwise(F.col("product_name"))), path)
+    return finish(read_csv_table(spark, path, "products"))
+
+
+@query("scan_orders_inferred")
+def q_scan_orders_inferred(spark, sf):
+    """S1 without a declared schema: every column's type follows from all its cells."""
+    t = tables(spark, sf)
+    tag = hashlib.md5(os.path.abspath(sf).encode()).hexdigest()[:12]
+    path = scratch_path(spark, f"orders_inferred_{tag}")
+    write_csv(t.orders, path)
+    return finish(read_csv_table(spark, path))
+
+
 @query("filter_not_test")
 def q_filter_not_test(spark, sf):
     return finish(od.filter_not_test(tables(spark, sf).orders))
@@ -359,6 +382,21 @@ def q_dept_bins(spark, sf):
     return finish(bn.bin_map(counts, "department_id", "department", "product_dept_bin"))
 
 
+@query("bins_per_fold")
+def q_bins_per_fold(spark, sf):
+    """Department and aisle bins fitted without each user fold, from
+    one count by (fold, category, label)."""
+    t = tables(spark, sf)
+    cand = sp.with_folds(candidates(t).select("user_id", "product_id", "reordered"), K_FOLDS, FOLD_SALT)
+    rows = cand.groupBy("fold", "product_id", "reordered").count().join(t.products, "product_id")
+    out = None
+    for key, rule in (("department_id", "department"), ("aisle_id", "aisle")):
+        m = bn.fold_bin_maps(rows, key, rule, "bin", K_FOLDS, weight="count")
+        m = m.select(F.lit(rule).alias("category"), "fold", F.col(key).cast("long").alias("key"), "no_reorder", "reordered", "diff", "bin")
+        out = m if out is None else out.unionByName(m)
+    return finish(out)
+
+
 @query("dept_diff_sorted")
 def q_dept_diff_sorted(spark, sf):
     """L1: department diffs ranked descending, NULL last."""
@@ -478,17 +516,21 @@ def q_user_folds_balanced(spark, sf):
     return sp.user_folds_balanced(candidates(tables(spark, sf)).select("user_id"), K_FOLDS, FOLD_SALT)
 
 
+def eda_sample(t: BasketTables) -> DataFrame:
+    """An exact-size sample of the current order lines, the reference's share of them."""
+    part, whole = EDA_SHARE
+    return sp.exact_sample(t.train, ["order_id", "product_id"], -(-t.train.count() * part // whole), "42")
+
+
 @query("sample_rows")
 def q_sample_rows(spark, sf):
-    """An exact-size line sample of the current order lines."""
-    return sp.exact_sample(tables(spark, sf).train, ["order_id", "product_id"],
-                           EDA_SAMPLE_ROWS, "42")
+    return eda_sample(tables(spark, sf))
 
 
 @query("eda_inner")
 def q_eda_inner(spark, sf):
     t = tables(spark, sf)
-    s = sp.exact_sample(t.train, ["order_id", "product_id"], EDA_SAMPLE_ROWS, "42")
+    s = eda_sample(t)
     return s.join(t.products, "product_id", "inner")
 
 
@@ -550,7 +592,7 @@ def q_curve_points(spark, sf):
 
 def _eda_freq(spark, sf, key):
     t = tables(spark, sf)
-    s = sp.exact_sample(t.train, ["order_id", "product_id"], EDA_SAMPLE_ROWS, "42")
+    s = eda_sample(t)
     names = t.departments if key == "department_id" else t.aisles
     return eda.category_frequency(s, t.products, names, key)
 

@@ -42,3 +42,25 @@ def test_weighted_fit_equals_unweighted(spark):
     a = SupervisedBinner("k", "b", "aisle").fit(d).mapping.orderBy("k").collect()
     b = SupervisedBinner("k", "b", "aisle", weightCol="count").fit(w).mapping.orderBy("k").collect()
     assert a == b
+
+
+def test_fold_maps_equal_fits_without_the_fold(spark):
+    """By subtraction, or fitted anew on the other folds' rows: the same maps."""
+    import random
+    from rebuy.operators import binning as bn
+    rnd = random.Random(2)
+    rows = [(rnd.randrange(3), rnd.randrange(8), int(rnd.random() < 0.4)) for _ in range(500)] + [(1, 99, 1), (2, None, 1)]
+    df = spark.createDataFrame(rows, "fold int, aisle_id int, reordered int")
+    for rule in ("aisle", "department"):
+        maps = bn.fold_bin_maps(df, "aisle_id", rule, "bin", 3)
+        got = sorted(map(tuple, maps.collect()), key=str)
+        want = []
+        for f in range(3):
+            counts = bn.class_counts(df.filter(f"fold <> {f}"), "aisle_id")
+            want += [(f, *r) for r in bn.bin_map(counts, "aisle_id", rule, "bin").collect()]
+        assert got == sorted(want, key=str)
+    wide = bn.with_fold_bins(df, maps, "aisle_id", "bin", 3)
+    by = {(r.fold, r.aisle_id): r.bin for r in maps.collect()}
+    for r in wide.collect():
+        assert [r.bin_f0, r.bin_f1, r.bin_f2] == [by.get((f, r.aisle_id)) for f in range(3)]
+    assert wide.filter("aisle_id = 99 and bin_f1 is not null").count() == 0

@@ -1,9 +1,11 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rebuy.sources.files import (nan_to_null, read_csv_table, read_feature_tables,
+from rebuy.sources.files import (nan_to_null, read_csv_table, read_feature_tables, write_csv,
                                  write_feature_tables)
 
 
@@ -31,3 +33,42 @@ def test_feature_table_round_trip(spark):
     tr, te = read_feature_tables(spark, path)
     assert tr.select("f").first().f == 0.5 and te.select("f").first().f == 1.5
     assert "split" not in tr.columns
+
+
+CELLS = ["plain", 'two\nlines', '"quoted"', 'a,"b"\n\n,c', "\n", "x" * 30, 'ends with "', '","\n","', None, "é\n\n\nü"]
+
+
+def test_line_breaks_over_many_splits(spark):
+    """Records of several lines, cut into splits of a few bytes, come back whole."""
+    path = os.path.join(tempfile.mkdtemp(prefix="rebuy-csv-"), "t")
+    rows = [(i, CELLS[i % len(CELLS)], i / 4) for i in range(300)]
+    write_csv(spark.createDataFrame(rows, "id int, cell string, v double").coalesce(2), path)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "150")
+        spark.conf.set("spark.sql.files.openCostInBytes", "10")
+        assert spark.read.text(path).rdd.getNumPartitions() > 20
+        schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("cell", T.StringType()), T.StructField("v", T.DoubleType())])
+        for got in (read_csv_table(spark, path, schema), read_csv_table(spark, path), read_csv_table(spark, path, schema, line_breaks=True)):
+            assert sorted((r.id, r.cell, r.v) for r in got.collect()) == rows
+        assert dict(read_csv_table(spark, path).dtypes) == {"id": "bigint", "cell": "string", "v": "double"}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_inferred_types_look_at_every_cell(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="rebuy-csv-"), "t.csv")
+    with open(path, "w") as f:
+        f.write("a,b,c,d,e\n" + "1,2,3.5,,x\n" * 50 + "2,-7.25,9999999999999999999,,1\n")
+    df = read_csv_table(spark, path)
+    assert dict(df.dtypes) == {"a": "bigint", "b": "double", "c": "double", "d": "string", "e": "string"}
+    assert df.count() == 51 and df.filter("d is not null").count() == 0
+
+
+def test_malformed_cells_fail(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="rebuy-csv-"), "t.csv")
+    with open(path, "w") as f:
+        f.write('product_id,product_name,aisle_id,department_id\n1,"a\nb",x,3\n')
+    with pytest.raises(Exception):
+        read_csv_table(spark, path, "products").collect()
