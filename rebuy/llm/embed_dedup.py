@@ -127,10 +127,12 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float =
     ok = usable("embedding") & F.col("label").isNotNull()
     zero = F.lit(0).cast(v.schema["embedding"].dataType.elementType)
     good = (v.filter(ok).withColumn("embedding", F.transform("embedding", lambda x: x + zero))   # -0.0 is 0.0
-            .withColumn("rep", F.xxhash64("label", "embedding")))
-    reps = stored(good.groupBy("rep").agg(
+            .withColumn("h1", F.xxhash64("label", "embedding")).withColumn("h2", F.xxhash64(F.lit(SEED), "embedding", "label")))
+    # equal vectors of a label: 128 bits and a number of their own
+    reps = stored(good.groupBy("h1", "h2").agg(
         F.any_value("label").alias("label"), F.any_value("embedding").alias("embedding"),
-        F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least")), "vectors")
+        F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least"))
+        .withColumn("rep", F.monotonically_increasing_id()), "vectors")
     parts = [_dimension_links(reps.filter(F.size("embedding") == d), d, cosine, recall, tile_rows)
              for d in by_dimension(reps)]
     if not parts:
@@ -142,13 +144,13 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float =
     links = stored(links, "vector-links")
     roots = components(links.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     counts = links.groupBy("rep").agg(F.sum("n_links").alias("n_links"))
-    of_rep = (reps.select("rep", "copies", "least").join(counts, "rep", "left")
+    of_rep = (reps.select("rep", "h1", "h2", "copies", "least").join(counts, "rep", "left")
               .join(roots.withColumnRenamed("node", "rep"), "rep", "left")
               .withColumn("root", F.coalesce("root", "rep")))
     least = of_rep.groupBy("root").agg(F.min("least").alias("component_id"))
     told = of_rep.join(least, "root").select(
-        "rep", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
-    linked = good.select("vec_id", "rep").join(told, "rep").select("vec_id", "n_links", "component_id")
+        "h1", "h2", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
+    linked = good.select("vec_id", "h1", "h2").join(told, ["h1", "h2"]).select("vec_id", "n_links", "component_id")
     alone = v.filter(~F.coalesce(ok, F.lit(False))).select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -54,7 +54,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, held_out: Col
 
 
 def with_texts(docs: DataFrame, picked: DataFrame) -> DataFrame:
-    """doc_id, text, label of the drawn texts (a bounded number of rows)."""
+    """doc_id, text and the other columns of ``picked`` (a bounded number of rows)."""
     own = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     return (own.join(F.broadcast(picked), ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])
-            .select("doc_id", "text", "label"))
+            .select("doc_id", "text", *[c for c in picked.columns if c not in ("doc_id", "text_key")]))

@@ -1,7 +1,8 @@
 """Mixing sources to target weights.
 
 Each source's words, in document order, are packed into blocks of
-``BLOCK_WORDS``.  The output is a line of slots, ``SHARD_SLOTS`` to an output
+``BLOCK_WORDS``, shorter ones where a source has fewer than ``LEAST_BLOCKS`` of
+those (its words then still come near their target).  The output is a line of slots, ``SHARD_SLOTS`` to an output
 shard, each filled with one block: a multinomial draw, seeded by the shard's
 number, says how many slots of a shard each source gets.  A source's slots are
 numbered across shards; slot q takes the block at place q of a pseudorandom
@@ -25,9 +26,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rebuy.llm.passages import word_bounds
-from rebuy.llm.shared import stored
+from rebuy.llm.shared import free_name, stored
 
 BLOCK_WORDS = 128
+LEAST_BLOCKS = 64
 SHARD_SLOTS = 4096
 GROUP_SHARDS = 1024
 MOST_EPOCHS = 3
@@ -78,9 +80,9 @@ def permute(q: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Plan:
-    rows: DataFrame      # src, doc_id, tie, size, copies, start
+    rows: DataFrame      # src, unit, doc_id, tie, size, copies, start
     times: DataFrame     # src, block, times
-    sources: DataFrame   # src, source, source_size, target
+    sources: DataFrame   # src, unit (words of its blocks), source, source_size, target
 
 
 def _sizes(docs: DataFrame, tie: list[str]) -> DataFrame:
@@ -103,7 +105,7 @@ def _started(rows: DataFrame) -> DataFrame:
              .withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n"))
     return (dealt.withColumn("inner", F.coalesce(F.sum(words).over(run), F.lit(0)))
             .join(parts, ["src", "part"])
-            .select("src", "doc_id", "tie", "size", "copies", (F.col("offset") + F.col("inner")).alias("start")))
+            .select("src", "unit", "doc_id", "tie", "size", "copies", (F.col("offset") + F.col("inner")).alias("start")))
 
 
 def _drawn(spark, blocks: np.ndarray, slots: np.ndarray, seed: int, shard_slots: int) -> DataFrame:
@@ -166,23 +168,24 @@ def plan(docs: DataFrame, tie: list[str], block_words: int = BLOCK_WORDS, shard_
         raise ValueError(f"more than {MAX_SOURCES} sources")
     sizes = [r["n"] for r in totals]
     wanted = targets(sizes, [WEIGHTS[i % len(WEIGHTS)] for i in range(len(sizes))])
-    blocks = np.array([-(-n // block_words) for n in sizes], np.int64)
+    units = [max(1, min(block_words, n // LEAST_BLOCKS)) for n in sizes]
+    blocks = np.array([-(-n // u) for n, u in zip(sizes, units)], np.int64)
     slots = np.array([min(MOST_EPOCHS * int(b), round(t * int(b) / n)) if n else 0
                       for n, t, b in zip(sizes, wanted, blocks)], np.int64)
     sources = spark.createDataFrame(
-        [(i, r["source"], n, t) for i, (r, n, t) in enumerate(zip(totals, sizes, wanted))],
-        "src int, source string, source_size long, target double")
-    named = sized.join(sources.select("src", F.col("source").alias("_s")),
+        [(i, u, r["source"], n, t) for i, (u, r, n, t) in enumerate(zip(units, totals, sizes, wanted))],
+        "src int, unit long, source string, source_size long, target double")
+    named = sized.join(sources.select("src", "unit", F.col("source").alias("_s")),
                        F.col("source").eqNullSafe(F.col("_s"))).drop("source", "_s")
     rows = stored(_started(named), "mix-starts")
     times = _drawn(spark, blocks, slots, seed, shard_slots).groupBy("src", "block").agg(F.count(F.lit(1)).alias("times"))
     return Plan(rows, times, sources)
 
 
-def taken_pieces(p: Plan, block_words: int = BLOCK_WORDS) -> DataFrame:
+def taken_pieces(p: Plan) -> DataFrame:
     """Pieces of documents that drawn blocks hold: src, doc_id, tie, copy,
     start, size, from_word, to_word, times."""
-    lo, hi, n = F.col("start"), F.col("start") + F.col("size"), F.lit(block_words)
+    lo, hi, n = F.col("start"), F.col("start") + F.col("size"), F.col("unit")
     copies = (p.rows.filter("size > 0").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
               .withColumn("start", F.col("start") + F.col("copy") * F.col("size")))
     cut = copies.withColumn("block", F.explode(F.sequence(F.floor(lo / n), F.floor((hi - 1) / n))))
@@ -201,11 +204,11 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHAR
     text; fully equal rows are interchangeable copies.  Target: double, words.
     An empty table returns no rows.  The same table gives the same result."""
     p = plan(docs, ["text"], block_words, shard_slots, seed)
-    took = (taken_pieces(p, block_words).groupBy("src", "start")
+    took = (taken_pieces(p).groupBy("src", "start")
             .agg(F.sum((F.col("to_word") - F.col("from_word")) * F.col("times")).alias("taken")))
     each = (p.rows.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
             .withColumn("start", F.when(F.col("size") > 0, F.col("start") + F.col("copy") * F.col("size"))))
-    return (each.join(took, ["src", "start"], "left").join(p.sources, "src")
+    return (each.join(took, ["src", "start"], "left").join(p.sources.drop("unit"), "src")
             .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
 
 
@@ -216,21 +219,22 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots
     that were drawn at least k times (whole texts stay as they were).  n_chars,
     where there is one, is counted anew.  Documents without a drawn block go."""
     cols = docs.columns
+    key, source, doc, tie, size_, held = (free_name(cols, c) for c in ("_key", "_source", "_doc_id", "_tie", "_size", "_pieces"))
     p = plan(docs, cols, block_words, shard_slots, seed)
-    pieces = (taken_pieces(p, block_words).groupBy("src", "doc_id", "tie", "copy", "size")
+    pieces = (taken_pieces(p).groupBy("src", "doc_id", "tie", "copy", "size")
               .agg(F.sort_array(F.collect_list(F.struct("from_word", "to_word", "times"))).alias("pieces"))
               .join(p.sources.select("src", "source"), "src").drop("src", "copy")
-              .select(*[F.col(c).alias(f"_{c}") for c in ("source", "doc_id", "tie", "size", "pieces")]))
-    one = docs.withColumn("_key", F.xxhash64(*cols)).dropDuplicates(["_key", "doc_id", "source"])
-    met = one.join(pieces, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_key") == F.col("_tie"))
-                   & F.col("source").eqNullSafe(F.col("_source")))
+              .select(*[F.col(c).alias(a) for c, a in zip(("source", "doc_id", "tie", "size", "pieces"), (source, doc, tie, size_, held))]))
+    one = docs.withColumn(key, F.xxhash64(*cols)).dropDuplicates([key, "doc_id", "source"])
+    met = one.join(pieces, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(key) == F.col(tie))
+                   & F.col("source").eqNullSafe(F.col(source)))
 
     def assemble(batches):
         for b in batches:
             at, made = [], []
             texts = b.column("text").cast(pa.large_binary())
-            for i, (text, size, parts) in enumerate(zip(texts, b.column("_size").to_pylist(),
-                                                        b.column("_pieces").to_pylist())):
+            for i, (text, size, parts) in enumerate(zip(texts, b.column(size_).to_pylist(),
+                                                        b.column(held).to_pylist())):
                 data, bounds = text.as_py(), None
                 for k in range(1, max(x["times"] for x in parts) + 1):
                     runs: list[list[int]] = []
@@ -251,5 +255,5 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots
             kept = kept.set_column(cols.index("text"), "text", text)
             yield kept
 
-    out = met.select(*cols, "_size", "_pieces").mapInArrow(assemble, docs.schema)
+    out = met.select(*cols, size_, held).mapInArrow(assemble, docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in cols else out

@@ -21,10 +21,12 @@ from SHA-512 of the key, the kind, the round and the other half.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import secrets
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-KEY = "change this key per corpus"
+KEY_SETTING = "spark.rebuy.pii.key"
 ROUNDS = 10
 
 # Patterns of the kinds, tried in this order at each place.
@@ -81,7 +83,7 @@ def _draw(h: Column, i: Column) -> Column:
 
 
 def feistel(kind: str, left: Column, right: Column, left_radix: Column, right_radix: Column,
-            key: str = KEY, rounds: int = ROUNDS) -> Column:
+            key: str, rounds: int = ROUNDS) -> Column:
     """Permute (left, right), arrays of ints below their radices -> one array."""
     start = F.struct(left.alias("a"), right.alias("b"), left_radix.alias("ra"), right_radix.alias("rb"))
 
@@ -192,9 +194,36 @@ def _is_date(m: Column) -> Column:
     return F.coalesce(F.year(_ymd(m)) >= 1, F.lit(False))
 
 
+def _late_day(day: Column, key: str) -> Column:
+    """Permute a day after the 12th of its month among those of its century: 221 a
+    year and one more in leap years, 22,125 = 125 * 177 or 22,124 = 4 * 5,531."""
+    century = F.floor(F.year(day) / 100).cast("int")
+    leap = century % 4 == 0
+    nth = lambda d: F.dayofyear(d) - 12 * F.month(d) - 1                                    # noqa: E731  of its year, from 0
+    first = lambda k: k * 221 + F.floor((k + 3) / 4).cast("int") - F.when(~leap & (k > 0), 1).otherwise(0)  # noqa: E731  of year k
+    x = first(F.year(day) - century * 100) + nth(day)
+    minor = F.when(leap, 177).otherwise(5531)
+    v = feistel("late", F.array(F.floor(x / minor).cast("int")), F.array((x % minor).cast("int")),
+                F.array(F.when(leap, 125).otherwise(4)), F.array(minor), key)
+
+    def back(w: Column) -> Column:
+        near = F.least(F.floor(w / 221).cast("int"), F.lit(99))
+        k = F.when(first(near) > w, near - 1).otherwise(near)
+        return F.struct((century * 100 + k).alias("y"), (w - first(k)).alias("r"))
+
+    def of_year(s: Column) -> Column:
+        starts = lambda mo: nth(F.make_date(s["y"], mo, F.lit(13)))                         # noqa: E731
+        mo = F.size(F.filter(F.sequence(F.lit(1), F.lit(12)), lambda i: starts(i) <= s["r"]))
+        return F.make_date(s["y"], mo, 13 + s["r"] - starts(mo))
+    whole = F.transform(F.array(v), lambda w: (F.get(w, F.lit(0)) * minor + F.get(w, F.lit(1))).cast("int"))
+    return F.when(century == 0, day).otherwise(F.get(F.transform(F.transform(whole, back), of_year), F.lit(0)))
+
+
 def _date(m: Column, key: str) -> Column:
     """Permute the day within its century: 36,525 days = 75 * 487 when the
-    century's first year is a leap year, else 36,524 = 92 * 397."""
+    century's first year is a leap year, else 36,524 = 92 * 397.  A date written
+    day first with slashes can only name days after the 12th of a month (others
+    read month first), so it is permuted among those and shares no text."""
     def moved(day: Column) -> Column:
         century = F.floor(F.year(day) / 100).cast("int")
         first = F.make_date(F.greatest(century * 100, F.lit(1)), F.lit(1), F.lit(1))
@@ -211,7 +240,8 @@ def _date(m: Column, key: str) -> Column:
     return (F.when(m.rlike("^[0-9]{4}-"), F.date_format(new, "yyyy-MM-dd"))
             .when(m.rlike("^[0-9]{4}/"), F.date_format(new, "yyyy/MM/dd"))
             .when(m.contains("."), F.date_format(new, "dd.MM.yyyy"))
-            .when(month_first, F.date_format(new, "MM/dd/yyyy")).otherwise(F.date_format(new, "dd/MM/yyyy")))
+            .when(month_first, F.date_format(new, "MM/dd/yyyy"))
+            .otherwise(F.date_format(F.get(F.transform(F.array(_ymd(m)), lambda d: _late_day(d, key)), F.lit(0)), "dd/MM/yyyy")))
 
 
 def _is_ssn(m: Column) -> Column:
@@ -284,7 +314,7 @@ def _secret(m: Column, key: str) -> Column:
                     .otherwise(_letters(value, "secret", key)))
 
 
-def pseudonym(m: Column, key: str = KEY) -> Column:
+def pseudonym(m: Column, key: str) -> Column:
     """The pseudonym of one candidate, or null when it is not valid."""
     whole = {k: f"^(?:{p})$" for k, p in PATTERNS.items()}
     valid = {"ip": _is_ip, "iban": _is_iban, "date": _is_date, "ssn": _is_ssn, "card": _is_card}
@@ -330,12 +360,24 @@ def _phones(piece: Column, key: str) -> Column:
     return F.get(F.transform(F.array(F.regexp_extract_all(piece, pattern, F.lit(0))), replaced), F.lit(0))
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFrame:
+def key_of(spark: SparkSession) -> str:
+    """The session's key, a secret: the setting ``spark.rebuy.pii.key``.  Where it
+    is unset, a random one is put there, so that an application's pseudonyms agree
+    with each other; those of several applications do only with a key of your own."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set(KEY_SETTING, key)
+    return key
+
+
+def pseudonymise(docs: DataFrame, key: str | None = None, text: str = "text") -> DataFrame:
     """``docs`` with ``text`` pseudonymised and ``n_pseudonyms``, how many
     values were replaced; all other columns stay as they are.
 
     Null and empty texts stay, with 0.  Repeated rows each return a row; an
     empty table returns none.  A column n_pseudonyms of the input is replaced."""
+    key = key or key_of(docs.sparkSession)
     cols = [c for c in docs.columns if c != "n_pseudonyms"]
     pattern, hits, new, rest = "__pii_pattern", "__pii_hits", "__pii_new", "__pii_rest"
     found = docs.select(*cols, _pattern(F.col(text)).alias(pattern))

@@ -14,19 +14,19 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rebuy.llm.heldout import is_held_out, labelled_sample
-from rebuy.llm.shared import slices
+from rebuy.llm.heldout import is_held_out, labelled_texts, with_texts
+from rebuy.llm.shared import slices, stored
 
 WINDOW = 128
 DICT_BYTES = 112640
 DICT_ROWS = 1000        # labelled texts per class that build its dictionary
 FIT_ROWS = 1000         # further ones per class that calibrate
-SAMPLE_BYTES = 6000     # bytes of a labelled text that a dictionary may see
-FIT_CHARS = 1 << 16     # characters of a labelled text that reach the driver
+DICT_WINDOWS = 48       # windows of each that a dictionary may see, from hashed places
 LEVEL = 3
 CUT = 0.7
 FEATURES = 6
@@ -90,42 +90,65 @@ def _loaded(content: bytes) -> zstandard.ZstdCompressionDict:
     return d
 
 
-def build_dictionary(texts: list[bytes]) -> bytes:
+def build_dictionary(samples: list[bytes]) -> bytes:
     """A zstandard dictionary of the windows; few or tiny windows serve as raw
     content instead, which the trainer would refuse."""
-    samples = [w for t in texts for w in pieces(t) if w]
     try:
         return zstandard.train_dictionary(DICT_BYTES, samples, level=LEVEL).as_bytes()
     except zstandard.ZstdError:
         return b"".join(samples)[-DICT_BYTES:] or b"........"
 
 
-def fit(docs: DataFrame, labels: DataFrame, dict_rows: int = DICT_ROWS, fit_rows: int = FIT_ROWS) -> Model | None:
+def hashed_windows(text: bytes, most: int, seed: int = SEED) -> list[bytes]:
+    """At most ``most`` windows of a text, those whose place and content hash lowest."""
+    cut = [w for w in pieces(text) if w]
+    if len(cut) > most:
+        order = sorted(range(len(cut)), key=lambda i: xxhash.xxh64_intdigest(b"%d|" % i + cut[i], seed))
+        cut = [cut[i] for i in sorted(order[:most])]
+    return cut
+
+
+def fit(docs: DataFrame, labels: DataFrame, dict_rows: int = DICT_ROWS, fit_rows: int = FIT_ROWS,
+        dict_windows: int = DICT_WINDOWS) -> Model | None:
     """Learn from labelled texts that are not held out, a bounded number of
-    each class (parameters).  None unless both classes are there."""
-    known = labels.filter(F.col("quality").isin(0, 1) & ~is_held_out()).select("doc_id", "quality").dropDuplicates(["doc_id"])
-    prior, n = known.agg(F.avg("quality"), F.count(F.lit(1))).first()
-    if not n or not 0 < prior < 1:
+    each class and, for the dictionaries, of windows of each (parameters).  The
+    calibration reads its texts whole, in Spark tasks; the driver gets the
+    dictionaries' windows and ``FEATURES`` numbers a text.  None unless both
+    classes are there with two texts or more."""
+    drawn = labelled_texts(docs, labels, "quality", is_held_out(), dict_rows + fit_rows, SEED)
+    if drawn is None:
         return None
-    picked = labelled_sample(known, "quality", dict_rows + fit_rows, SEED)
-    rows = (docs.select("doc_id", "text").filter(F.col("text").isNotNull())
-            .join(F.broadcast(picked), "doc_id")     # at most 2 * (dict_rows + fit_rows) ids
-            .select("doc_id", "quality", F.substring("text", 1, FIT_CHARS).alias("text"))
-            .dropDuplicates(["doc_id"]).toArrow().to_pylist())
-    rows.sort(key=lambda r: r["doc_id"] * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
-    sides: list[list[bytes]] = []
-    rest: list[tuple[bytes, int]] = []
+    picked, prior = drawn
+    spark, rows = docs.sparkSession, picked.collect()           # ids only, a bounded number
+    rows.sort(key=lambda r: xxhash.xxh64_intdigest(f"{r['doc_id']}|{r['text_key']}", SEED))
+    roles = []
     for c in (1, 0):
-        own = [r["text"].encode() for r in rows if r["quality"] == c]
+        own = [r for r in rows if r["label"] == c]
         if len(own) < 2:
             return None
         cut = min(dict_rows, len(own) // 2)
-        sides.append([t[:SAMPLE_BYTES] for t in own[:cut]])
-        rest += [(t, c) for t in own[cut:]]
-    model = Model(*(build_dictionary(s) for s in sides))
-    tools = model.compressors()
-    x = np.array([model.features(t, tools) for t, _ in rest])
-    model.calibrate(x, np.array([c for _, c in rest], float), prior)
+        roles += [(r["doc_id"], r["text_key"], c, i < cut) for i, r in enumerate(own)]
+    dealt = spark.createDataFrame(roles, "doc_id long, text_key long, label int, teaches boolean")
+    texts = stored(with_texts(docs, dealt), "quality-texts")
+
+    def windows(batches):
+        for b in slices(batches):
+            cut = [hashed_windows(t, dict_windows) for t in b.column("text").cast(pa.large_binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(cut, pa.list_(pa.binary()))], ["label", "w"])
+    taught = texts.filter("teaches").mapInArrow(windows, "label int, w array<binary>").collect()
+    sides = [sorted(bytes(w) for r in taught if r["label"] == c for w in r["w"]) for c in (1, 0)]
+    model = Model(*(build_dictionary(side) for side in sides))
+    ctx = spark.sparkContext.broadcast(model)
+
+    def measured(batches):
+        own = ctx.value
+        tools = own.compressors()
+        for b in slices(batches):
+            x = [own.features(t, tools) for t in b.column("text").cast(pa.large_binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(x, pa.list_(pa.float64()))], ["label", "x"])
+    rest = texts.filter(~F.col("teaches")).mapInArrow(measured, "label int, x array<double>").collect()
+    rest.sort(key=lambda r: (r["label"], r["x"]))
+    model.calibrate(np.array([r["x"] for r in rest]), np.array([r["label"] for r in rest], float), prior)
     return model
 
 
@@ -149,7 +172,9 @@ def classify(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored):
     doc_id, held_out, score, predicted.  ``labels``: doc_id, quality.  A null
     doc_id counts as held out; labels that are null or neither 0 nor 1 teach
-    nothing; an empty table returns no rows."""
+    nothing; of several labels of a document the largest counts, and each
+    different text of a document is a text of its own; an empty table returns no
+    rows."""
     out = score(docs, fit(docs, labels))
     return out.select("doc_id", is_held_out().alias("held_out"), "score",
                       (F.col("score") >= cut).cast("int").alias("predicted"))

@@ -51,6 +51,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with as many underscores as none of ``columns`` has it (whatever
+    the case of its letters)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def hashed_sample(df: DataFrame, key: str, most: int, rows: int, seed: int) -> DataFrame:
     """At most ``most`` of the ``rows`` rows of ``df``, by a hash of ``key``.
     Each row first decides alone whether it may be drawn (twice the share

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rebuy.llm.components import components
-from rebuy.llm.shared import hashed_sample, slices, stored, tiled
+from rebuy.llm.shared import free_name, hashed_sample, slices, stored, tiled
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -223,8 +223,9 @@ def keep_first(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: in
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row")
     printed = stored(fingerprints(docs.select("doc_id", "text", row.alias("row")), shingle_words, ("row",)), "fingerprints")
     heads = stored(printed.groupBy("fp").agg(F.min(place).alias("head")), "distinct-fingerprints")
+    own, first, doc = (free_name(cols, c) for c in ("_row", "_first", "_doc"))
     firsts = (_classes(heads, max_bits, trees, sample, shard_rows)
-              .select(F.col("first.doc_id").alias("_doc"), F.col("first.row").alias("_first")).distinct())
-    kept = docs.withColumn("_row", row)
-    return (kept.join(firsts, (F.col("_row") == F.col("_first")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")), "left_semi")
-            .dropDuplicates(["_row", "doc_id"]).select(*cols))
+              .select(F.col("first.doc_id").alias(doc), F.col("first.row").alias(first)).distinct())
+    kept = docs.withColumn(own, row)
+    return (kept.join(firsts, (F.col(own) == F.col(first)) & F.col("doc_id").cast("long").eqNullSafe(F.col(doc)), "left_semi")
+            .dropDuplicates([own, "doc_id"]).select(*cols))

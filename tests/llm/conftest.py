@@ -1,12 +1,15 @@
 import pytest
 
+KEY = "a key for tests"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, owner string, fp string, score string, src string, key string, size string, keys string, hot string"
 
 
 @pytest.fixture(autouse=True)
 def workers(spark):
+    from rebuy.llm.pii import KEY_SETTING
     from rebuy.llm.shared import on_workers
     on_workers(spark)
+    spark.conf.set(KEY_SETTING, KEY)
 
 
 @pytest.fixture

@@ -120,3 +120,57 @@ def test_sample_is_bounded_for_every_label(spark):
     assert n == {"hot": 300, "rare": 200}
     with pytest.raises(ValueError):
         heldout.labelled_sample(df, "doc_id", 5, 1, max_labels=10)
+
+
+def test_quality_reads_long_labelled_texts_whole(spark, docs_of):
+    """Bad texts of 1 MB that turn to junk in their last part: calibration sees it."""
+    good = "plain prose about rivers, bridges and the people who build them over many years "
+    rows, marks = [], []
+    for i in range(40):
+        bad = i % 2
+        size = 1_000_000 if i < 8 else 6000
+        text = (good * (size // len(good)))[:size]
+        rows.append((i, text[:size * 4 // 5] + "@@##!! xx" * (size // 45) if bad else text, "en", "a"))
+        marks.append((i, 1 - bad))
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    model = quality.fit(docs_of(rows), labels)
+    late = good * 12000 + "@@##!! xx" * 25000
+    got = {r.doc_id: r.score for r in quality.score(docs_of([(1, late), (2, good * 12000)]), model).collect()}
+    assert got[2] > 0.7 > 0.3 > got[1]
+
+
+def test_quality_learning_does_not_depend_on_dealing(spark, docs):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    a, b = quality.fit(docs, labels), quality.fit(docs.repartition(7), labels.repartition(5))
+    assert a.good == b.good and a.bad == b.bad and np.allclose(a.weights, b.weights)
+    twice = docs.unionByName(docs.withColumn("text", F.concat("text", F.lit(" again"))))      # two texts a document
+    c, d = quality.fit(twice, labels), quality.fit(twice.repartition(6), labels)
+    assert c.good == d.good and np.allclose(c.weights, d.weights)
+
+
+def test_scores_against_a_plain_computation(docs, spark):
+    """The queries' scores equal those of a text at a time, windows and all, in plain Python."""
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    some = docs.limit(60).collect()
+    q, net = quality.fit(docs, labels), langid.fit(docs)
+    tools, tables = q.compressors(), net.pairs()
+    got = {r.doc_id: r.score for r in quality.score(docs, q).collect()}
+    told = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(docs, net).collect()}
+    for r in some:
+        text = (r.text or "").encode()
+        good, bad = (np.array([len(c.compress(w)) for w in quality.pieces(text)], float) for c in tools)
+        size = np.array([max(1, len(w)) for w in quality.pieces(text)], float)
+        x = []
+        for d in ((bad - good) / (bad + good), (bad - good) / size):
+            x += [(d * size).sum() / size.sum(), d.min(), d.max()]
+        assert got[r.doc_id] == pytest.approx(float(q.score(np.array([x]))[0]), abs=1e-9)
+        if any(ch.isalpha() for ch in r.text or ""):
+            total = np.zeros(len(net.langs))
+            for a in range(0, len(text), langid.WINDOW):
+                w = text[a:a + langid.WINDOW]
+                block = np.full((1, langid.WINDOW), langid.PAD, np.uint8)
+                block[0, :len(w)] = np.frombuffer(w, np.uint8)
+                top, _ = net.responses(block)
+                total += len(w) * langid.softmax(np.maximum(top + net.conv_bias, 0) @ net.dense + net.bias)[0]
+            assert told[r.doc_id][0] == net.langs[int(total.argmax())]
+            assert told[r.doc_id][1] == pytest.approx(total.max() / len(text), abs=1e-4)

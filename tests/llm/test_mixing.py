@@ -55,11 +55,15 @@ def test_brute_force_of_the_blocks(docs_of):
     docs = docs_of(rows(60))
     p = m.plan(docs, ["text"], 16, 64, m.SEED)
     times = {(r.src, r.block): r.times for r in p.times.collect()}
-    place = sorted((r.src, r.doc_id, r.tie, r.size) for r in p.rows.collect())
+    place = sorted((r.src, r.doc_id, r.tie, r.size, r.unit) for r in p.rows.collect())
+    words: dict = {}
+    for src, _, _, size, _ in place:
+        words[src] = words.get(src, 0) + size
     taken, start = {}, {}
-    for src, doc, _, size in place:
+    for src, doc, _, size, unit in place:
+        assert unit == max(1, min(16, words[src] // m.LEAST_BLOCKS))
         a = start.get(src, 0)
-        taken[doc] = sum(times.get((src, w // 16), 0) for w in range(a, a + size))
+        taken[doc] = sum(times.get((src, w // unit), 0) for w in range(a, a + size))
         start[src] = a + size
     got = {r.doc_id: r.taken for r in m.mix(docs, 16, 64).collect()}
     assert got == taken
@@ -86,3 +90,33 @@ def test_awkward_rows_and_empty_table(awkward, docs_of):
     assert m.mixed_documents(awkward).columns == awkward.columns
     assert m.mix(docs_of([])).count() == 0 and m.mixed_documents(docs_of([])).count() == 0
     assert [r.taken for r in m.mix(docs_of([(1, None), (2, " ")])).collect()] == [0, 0]
+
+
+def test_small_sources_come_near_their_targets(docs_of):
+    """Sources of 1 to 200 words, beside a large one."""
+    rng = np.random.default_rng(9)
+    sizes = {f"s{i:02d}": int(n) for i, n in enumerate([1, 2, 5, 13, 40, 64, 127, 128, 129, 150, 200, 7])}
+    docs, doc = [], 0
+    for s, n in [*sizes.items(), ("t", 30000)]:
+        left = n
+        while left:
+            k = min(left, int(rng.integers(1, 60)))
+            docs.append((doc, " ".join(["w"] * k), "en", s))
+            doc, left = doc + 1, left - k
+    docs = docs_of(docs)
+    table = by_source(docs, m.mix(docs).collect())
+    for s, (size, told, target, taken) in table.items():
+        assert size == told and abs(taken - target) <= max(2, 0.02 * target), s
+
+
+def test_clashing_names(docs_of):
+    from pyspark.sql import functions as F
+    from rebuy.llm import simhash
+    docs = docs_of(rows(40))
+    for name in ("_key", "_SIZE", "_pieces", "_source", "_doc_id", "_tie", "_row", "_first", "_doc"):
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id")))
+    mixed = m.mixed_documents(docs)
+    assert mixed.columns == docs.columns and mixed.filter("_key <> concat('_key', doc_id) or _tie <> concat('_tie', doc_id)").count() == 0
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns and kept.count() > 0
+    assert kept.filter("_row <> concat('_row', doc_id) or _first <> concat('_first', doc_id) or _doc <> concat('_doc', doc_id)").count() == 0

@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from rebuy.llm import pii
+from tests.llm.conftest import KEY
 
 
-def plain_feistel(kind, values, radices, key=pii.KEY, cut=None):
+def plain_feistel(kind, values, radices, key=KEY, cut=None):
     cut = len(values) // 2 if cut is None else cut
     a, b, ra, rb = values[:cut], values[cut:], radices[:cut], radices[cut:]
     for r in range(1, pii.ROUNDS + 1):
@@ -98,7 +99,9 @@ def test_dates_are_permuted_within_their_century(docs_of):
     assert len(set(out)) == len(days) and all(2000 <= d.year < 2100 for d in out) and out != days
     iso, dot, us, uk, sl, no = run(docs_of, ["2024-02-29", "29.02.2024", "02/29/2024", "29/02/2024", "2024/02/29", "2023-02-29"])
     y, m, d = iso.split("-")
-    assert (dot, sl, no) == (f"{d}.{m}.{y}", f"{y}/{m}/{d}", "2023-02-29") and us == f"{m}/{d}/{y}" and uk == f"{d}/{m}/{y}"
+    assert (dot, sl, no) == (f"{d}.{m}.{y}", f"{y}/{m}/{d}", "2023-02-29") and us == f"{m}/{d}/{y}"
+    # day first with slashes is a format of its own: days after the 12th
+    assert dt.datetime.strptime(uk, "%d/%m/%Y").day > 12 and uk[-4:-2] == "20"
 
 
 def test_small_numbers_keep_their_rules(docs_of):
@@ -129,7 +132,7 @@ def test_awkward_rows_and_plan(awkward, docs_of):
 
 def test_rounds_must_be_even():
     with pytest.raises(ValueError):
-        pii.feistel("x", F.array(), F.array(), F.array(), F.array(), rounds=3)
+        pii.feistel("x", F.array(), F.array(), F.array(), F.array(), KEY, rounds=3)
 
 
 CARDS = ["4111111111111111", "4742604793956271", "4111 1111 1111 1111", "3782 822463 10005", "4222222222222"]
@@ -188,3 +191,34 @@ def test_a_secret_is_replaced_to_its_end(docs_of):
 def test_every_value_counts(docs_of):
     n = pii.pseudonymise(docs_of([(1, f"{CARDS[0]} 123 and +14155552671, 01 23 45 67 89 a@b.org {CARDS[1]} 08/26")])).first()
     assert n.n_pseudonyms == 5
+
+
+def test_slash_dates_in_both_writings_share_no_text(spark, docs_of):
+    """All days of 2000 to 2099, month first and (after the 12th) day first: every
+    text has a pseudonym of its own, a date of the century in the same writing."""
+    day, both = dt.date(2000, 1, 1), []
+    while day.year < 2100:
+        both.append(day.strftime("%m/%d/%Y"))
+        if day.day > 12:
+            both.append(day.strftime("%d/%m/%Y"))
+        day += dt.timedelta(1)
+    for year in ("1900", "2000"):       # 1900 is no leap year; of its century some days only
+        if year == "1900":
+            both = both[::13]
+        texts = [t[:-4] + str(int(t[-4:]) - 2000 + int(year)) for t in both if year == "2000" or not t.startswith(("02/29", "29/02")) or t[-2:] != "00"]
+        got = run(docs_of, texts)
+        assert len(set(got)) == len(texts) and sum(a == b for a, b in zip(got, texts)) < 20
+        for a, b in zip(texts, got):
+            assert b[-4:-2] == a[-4:-2] and (int(a[:2]) > 12) == (int(b[:2]) > 12)
+            dt.datetime.strptime(b, "%d/%m/%Y" if int(b[:2]) > 12 else "%m/%d/%Y")
+
+
+def test_the_key_is_the_settings_or_a_random_one(spark, docs_of):
+    docs = docs_of([(1, TEXTS[0])])
+    set_ = pii.pseudonymise(docs).first().text
+    assert set_ == pii.pseudonymise(docs, key=KEY).first().text
+    spark.conf.unset(pii.KEY_SETTING)
+    one = pii.pseudonymise(docs).first().text
+    assert one == pii.pseudonymise(docs).first().text != set_
+    spark.conf.unset(pii.KEY_SETTING)
+    assert pii.key_of(spark) != pii.key_of(spark.newSession())
