@@ -6,8 +6,8 @@ normalised by the sizes' sum and by the window's length: positive when good
 text explains the window better, and near zero by length where the window
 hardly holds anything (one word over and over).  A text's windows, end to end,
 give the mean, the least and the largest of both (junk may fill only a part of
-a text).  A logistic fit on labelled texts that fed no dictionary calibrates
-these into a probability.
+a text).  A logistic fit on labelled texts, each measured with dictionaries it
+had no part in, calibrates these into a probability.
 """
 
 from __future__ import annotations
@@ -24,8 +24,7 @@ from rebuy.llm.shared import slices, stored
 
 WINDOW = 128
 DICT_BYTES = 112640
-DICT_ROWS = 1000        # labelled texts per class that build its dictionary
-FIT_ROWS = 1000         # further ones per class that calibrate
+ROWS = 2000             # labelled texts per class that are learned from
 DICT_WINDOWS = 48       # windows of each that a dictionary may see, from hashed places
 LEVEL = 3
 CUT = 0.7
@@ -108,46 +107,52 @@ def hashed_windows(text: bytes, most: int, seed: int = SEED) -> list[bytes]:
     return cut
 
 
-def fit(docs: DataFrame, labels: DataFrame, dict_rows: int = DICT_ROWS, fit_rows: int = FIT_ROWS,
-        dict_windows: int = DICT_WINDOWS) -> Model | None:
-    """Learn from labelled texts that are not held out, a bounded number of
-    each class and, for the dictionaries, of windows of each (parameters).  The
-    calibration reads its texts whole, in Spark tasks; the driver gets the
-    dictionaries' windows and ``FEATURES`` numbers a text.  None unless both
-    classes are there with two texts or more."""
-    drawn = labelled_texts(docs, labels, "quality", is_held_out(), dict_rows + fit_rows, SEED)
+def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS, dict_windows: int = DICT_WINDOWS) -> Model | None:
+    """Learn from labelled texts that are not held out, at most ``rows`` of each
+    class and, for the dictionaries, ``dict_windows`` windows of each.
+
+    The texts fall into two halves.  Each half is measured, whole and in Spark
+    tasks, with the dictionaries of the other one, which calibrates; the model's
+    own dictionaries are those of both.  The driver gets the windows and
+    ``FEATURES`` numbers a text.  None unless both classes are there with two
+    texts or more."""
+    drawn = labelled_texts(docs, labels, "quality", is_held_out(), rows, SEED)
     if drawn is None:
         return None
     picked, prior = drawn
-    spark, rows = docs.sparkSession, picked.collect()           # ids only, a bounded number
-    rows.sort(key=lambda r: xxhash.xxh64_intdigest(f"{r['doc_id']}|{r['text_key']}", SEED))
+    spark, ids = docs.sparkSession, picked.collect()           # ids only, a bounded number
+    ids.sort(key=lambda r: xxhash.xxh64_intdigest(f"{r['doc_id']}|{r['text_key']}", SEED))
     roles = []
     for c in (1, 0):
-        own = [r for r in rows if r["label"] == c]
+        own = [r for r in ids if r["label"] == c]
         if len(own) < 2:
             return None
-        cut = min(dict_rows, len(own) // 2)
-        roles += [(r["doc_id"], r["text_key"], c, i < cut) for i, r in enumerate(own)]
-    dealt = spark.createDataFrame(roles, "doc_id long, text_key long, label int, teaches boolean")
+        roles += [(r["doc_id"], r["text_key"], c, i % 2) for i, r in enumerate(own)]
+    dealt = spark.createDataFrame(roles, "doc_id long, text_key long, label int, half int")
     texts = stored(with_texts(docs, dealt), "quality-texts")
 
     def windows(batches):
         for b in slices(batches):
             cut = [hashed_windows(t, dict_windows) for t in b.column("text").cast(pa.large_binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(cut, pa.list_(pa.binary()))], ["label", "w"])
-    taught = texts.filter("teaches").mapInArrow(windows, "label int, w array<binary>").collect()
-    sides = [sorted(bytes(w) for r in taught if r["label"] == c for w in r["w"]) for c in (1, 0)]
-    model = Model(*(build_dictionary(side) for side in sides))
-    ctx = spark.sparkContext.broadcast(model)
+            yield pa.RecordBatch.from_arrays([b.column("label"), b.column("half"), pa.array(cut, pa.list_(pa.binary()))],
+                                             ["label", "half", "w"])
+    taught = texts.mapInArrow(windows, "label int, half int, w array<binary>").collect()
+
+    def model_of(halves: tuple[int, ...]) -> Model:
+        return Model(*(build_dictionary(sorted(bytes(w) for r in taught if r["label"] == c and r["half"] in halves for w in r["w"]))
+                       for c in (1, 0)))
+    ctx = spark.sparkContext.broadcast([model_of((1,)), model_of((0,))])        # by the half that they measure
 
     def measured(batches):
-        own = ctx.value
-        tools = own.compressors()
+        models = ctx.value
+        tools = [m.compressors() for m in models]
         for b in slices(batches):
-            x = [own.features(t, tools) for t in b.column("text").cast(pa.large_binary()).to_pylist()]
+            x = [models[h].features(t, tools[h]) for t, h in zip(b.column("text").cast(pa.large_binary()).to_pylist(),
+                                                                 b.column("half").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(x, pa.list_(pa.float64()))], ["label", "x"])
-    rest = texts.filter(~F.col("teaches")).mapInArrow(measured, "label int, x array<double>").collect()
+    rest = texts.mapInArrow(measured, "label int, x array<double>").collect()
     rest.sort(key=lambda r: (r["label"], r["x"]))
+    model = model_of((0, 1))
     model.calibrate(np.array([r["x"] for r in rest]), np.array([r["label"] for r in rest], float), prior)
     return model
 

@@ -83,15 +83,18 @@ def test_labels_never_reach_a_score(docs):
     assert a == b
 
 
-def test_quality_on_held_out_texts(spark, docs):
-    labels = spark.read.parquet(f"{SF}/labels.parquet")
+def test_quality_on_held_out_texts(spark):
+    """At sf0.1, which has 136 held-out bad texts (sf0.01 has 19)."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
     want = {r.doc_id: r.quality for r in labels.collect()}
     got = quality.classify(docs, labels).collect()
     assert len(got) == docs.count() and all(r.predicted == int(r.score >= 0.7) and 0 <= r.score <= 1 for r in got)
     held = [r for r in got if r.held_out and want.get(r.doc_id) is not None]
     good = [r.score for r in held if want[r.doc_id] == 1]
     bad = [r.score for r in held if want[r.doc_id] == 0]
-    assert np.mean([g > b for g in good for b in bad]) > 0.95 and np.mean([g >= 0.7 for g in good]) > 0.95
+    assert np.mean([g > b for g in good for b in bad]) > 0.98
+    assert np.mean([g >= 0.7 for g in good]) > 0.97 and np.mean([b < 0.7 for b in bad]) > 0.95
 
 
 def test_quality_of_awkward_rows(spark, awkward, docs_of):
