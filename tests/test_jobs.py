@@ -47,9 +47,12 @@ def test_steps_end_to_end(spark, folders, monkeypatch):
     assert {r.user_id for r in scores.select("user_id").distinct().collect()} <= users
     assert scores.count() == metrics.tp + metrics.fp + metrics.fn + metrics.tn
     assert scores.filter("probability_1 < 0 or probability_1 > 1").count() == 0
-    gains = [float(r.gain) for r in spark.read.option("header", True).csv(
-        os.path.join(work, "result", "feature_importance_gain")).collect()]
-    assert sum(gains) == pytest.approx(1.0)
+    gains = {r.feature_names: float(r.gain) for r in spark.read.option("header", True).csv(
+        os.path.join(work, "result", "feature_importance_gain")).collect()}
+    splits: dict = {}
+    for r in spark.read.parquet(os.path.join(work, "result", "gbt_model", "nodes")).filter("feature is not null").collect():
+        splits.setdefault(r.feature, []).append(r.gain)
+    assert gains == pytest.approx({f: sum(g) / len(g) for f, g in splits.items()})
     jobs.select_model(spark, raw, work, grids={"tiny": [dict(max_depth=2)]},
                       base=dict(n_estimators=3, learning_rate=0.3), patience=2, k=2)
     assert spark.read.option("header", True).csv(os.path.join(work, "result", "grid_tiny")).count() == 1
