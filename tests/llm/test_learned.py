@@ -177,3 +177,19 @@ def test_scores_against_a_plain_computation(docs, spark):
                 total += len(w) * langid.softmax(np.maximum(top + net.conv_bias, 0) @ net.dense + net.bias)[0]
             assert told[r.doc_id][0] == net.langs[int(total.argmax())]
             assert told[r.doc_id][1] == pytest.approx(total.max() / len(text), abs=1e-4)
+
+
+def test_responses_of_few_windows_at_a_time():
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    model = langid.ByteCNN(["a", "b", "c"], 1)
+    x = rng.integers(0, 256, (langid.BLOCK_WINDOWS - 5, langid.WINDOW)).astype(np.uint8)
+    tables = model.pairs()
+    hidden = np.maximum(model.responses(x)[0] + model.conv_bias, 0)
+    want = langid.softmax(hidden @ model.dense + model.bias)
+    tracemalloc.start()
+    got = model.probabilities(x, tables)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(got, want, atol=1e-5)
+    assert peak < 4 << 20        # all windows' responses at once are 12 MB, and as much again for the sums
