@@ -72,3 +72,44 @@ def test_malformed_cells_fail(spark):
         f.write('product_id,product_name,aisle_id,department_id\n1,"a\nb",x,3\n')
     with pytest.raises(Exception):
         read_csv_table(spark, path, "products").collect()
+
+
+def _raw_folder(spark, path, custkeys):
+    """Two orders a user; order 1 holds a product twice, order 9 has no line; keys repeat and are null."""
+    part = [(1, "Brand#12", "STEEL"), (2, "Brand#11", "BRASS"), (3, "Brand#12", "STEEL"), (4, "Brand#13", "TIN")]
+    orders = [(2 * i + j, u, f"2020-01-{1 + i + 5 * j:02d} 00:00:00") for i, u in enumerate(custkeys) for j in (1, 2)] + [(9, custkeys[0], "2020-02-01 00:00:00")]
+    lines = [(1, 1, 2), (1, 3, 1), (1, 2, 3), (1, None, 4), (1, 77, 5), (None, 1, 1)] + [(o, p, n) for o in range(2, 2 * len(custkeys) + 1) for n, p in enumerate((2, 1), 1)]
+    spark.createDataFrame(part, "p_partkey long, p_brand string, p_type string").write.parquet(f"{path}/part.parquet")
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate string").withColumn(
+        "o_orderdate", F.to_timestamp("o_orderdate")).write.parquet(f"{path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int").write.parquet(f"{path}/lineitem.parquet")
+    return len(lines)
+
+
+def test_basket_tables_derive_the_lines_once(spark, tmp_path, monkeypatch):
+    from rebuy.sources import testdata as td
+    n = _raw_folder(spark, str(tmp_path / "raw"), [4, 5])
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(v):
+        seen.add(1)
+        return v
+    plain = td._raw
+    counted = F.udf(count, T.IntegerType()).asNondeterministic()
+    monkeypatch.setattr(td, "_raw", lambda s, d, name: plain(s, d, name).withColumn("l_linenumber", counted("l_linenumber"))
+                        if name == "lineitem" else plain(s, d, name))
+    t = td.basket_tables(spark, str(tmp_path / "raw"), str(tmp_path / "out"))
+    assert seen.value == n
+    # types by name: BRASS 1, STEEL 2, TIN 3; product = aisle x 10 + department
+    assert sorted(map(tuple, t.prior.collect())) == [(1, 111, 2, 0), (1, 122, 1, 0), (3, 111, 1, 0), (3, 122, 2, 0)]
+    assert sorted(map(tuple, t.train.collect())) == [(2, 111, 1, 1), (2, 122, 2, 1), (4, 111, 1, 1), (4, 122, 2, 1)]
+    assert sorted((r.order_id, r.user_id, r.eval_set, r.order_number, r.days_since_prior_order) for r in t.orders.collect()) == [
+        (1, 4, "prior", 1, None), (2, 4, "train", 2, 5.0), (3, 5, "prior", 1, None), (4, 5, "train", 2, 5.0)]
+
+
+def test_basket_tables_without_current_lines(spark, tmp_path):
+    from rebuy.sources import testdata as td
+    _raw_folder(spark, str(tmp_path / "raw"), [9])
+    t = td.basket_tables(spark, str(tmp_path / "raw"), str(tmp_path / "out"))
+    assert t.train.columns == t.prior.columns == ["order_id", "product_id", "add_to_cart_order", "reordered"]
+    assert t.train.count() == 0 and t.prior.count() == 2
