@@ -42,7 +42,7 @@ def test_stages_against_plain_versions(spark):
 
 def test_registry():
     numbers = sorted(int(k[2:].split("_")[0]) for k in REGISTRY)
-    assert numbers == list(range(1, 11)) and set(SQL) <= set(REGISTRY) and len(cp.STAGES) == 5
+    assert numbers == list(range(1, 14)) and set(SQL) <= set(REGISTRY) and len(cp.STAGES) == 5
     assert simhash.SHINGLE_WORDS == 4 and simhash.MAX_BITS == 4
 
 
