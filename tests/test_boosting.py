@@ -1,8 +1,10 @@
 import math
+import pickle
 import random
 
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.sql import functions as F
 
 from rebuy.operators import boosting as bo
@@ -136,6 +138,19 @@ def test_dealing_does_not_matter(rows, monkeypatch):
     assert trees[0] == trees[1]
 
 
+def test_sums_stay_with_the_executors(rows, monkeypatch):
+    """What a distributed fit collects is splits, AUCs and a few ends, whatever the number of parts."""
+    monkeypatch.setattr(bo, "BLOCK_ROWS", 50)
+    specs = [bo.Spec(n_estimators=6, max_depth=4, held_out=f) for f in range(3)]
+    b = bo.Boosting(rows.repartition(5), FEATURES, "reordered", KEYS, specs, "fold", cuts=bo.cut_points(rows, FEATURES))
+    sent, collect = [], RDD.collect
+    monkeypatch.setattr(RDD, "collect", lambda self: sent.append(collect(self)) or sent[-1])
+    b.grow(6)
+    b.staged_auc([0] * 3)
+    assert not b.alone and len(sent) >= 6 * 4
+    assert max(len(pickle.dumps(got)) for got in sent) < 10_000
+
+
 def test_staged_scores_equal_cut_models(rows):
     b = bo.Boosting(rows, FEATURES, "reordered", KEYS, [bo.Spec(n_estimators=12, max_depth=3)])
     b.grow(12)
