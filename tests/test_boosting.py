@@ -151,6 +151,32 @@ def test_sums_stay_with_the_executors(rows, monkeypatch):
     assert max(len(pickle.dumps(got)) for got in sent) < 10_000
 
 
+def test_a_table_of_some_hundred_thousand_rows_grows_in_one_job(spark, monkeypatch):
+    """No job per level: each ensemble grows in a task of its own, from blocks binned by many
+    tasks, with the trees and AUCs that a fit dealt over tasks has."""
+    df = spark.range(300_000, numPartitions=4).select(
+        F.col("id").alias("user_id"), (F.col("id") % 7).alias("product_id"), (F.col("id") % 3).cast("int").alias("fold"),
+        (F.xxhash64("id") % 50).cast("double").alias("signal"), (F.xxhash64("id", F.lit(1)) % 9).cast("double").alias("noise"),
+        ((F.xxhash64("id") % 50 + F.xxhash64("id", F.lit(2)) % 30) > 0).cast("int").alias("reordered"))
+    specs = [bo.Spec(n_estimators=3, max_depth=3, subsample=0.5, held_out=f) for f in (0, 1)] + [bo.Spec(n_estimators=2, max_depth=2)]
+    two = ["signal", "noise"]
+    cuts = bo.cut_points(df, two)
+    sent, collect = [], RDD.collect
+    monkeypatch.setattr(RDD, "collect", lambda self: sent.append(1) or collect(self))
+    grown = bo.Boosting(df, two, "reordered", KEYS, specs, "fold", cuts=cuts)
+    grown.grow(3)
+    assert grown.alone and len(sent) == 1 and [len(m) for m in grown.models] == [3, 3, 2]
+    monkeypatch.setattr(bo, "BLOCK_ROWS", 50_000)
+    dealt = bo.Boosting(df, two, "reordered", KEYS, specs, "fold", cuts=cuts)
+    dealt.grow(3)
+    assert not dealt.alone
+    assert [[nested(t) for t in m] for m in grown.models] == [[nested(t) for t in m] for m in dealt.models]
+    for a, b in zip(grown.staged_auc([1, 0, 0])[:2], dealt.staged_auc([1, 0, 0])[:2]):
+        assert a.tolist() == pytest.approx(b.tolist(), abs=1e-12) and len(a)
+    grown.close()
+    dealt.close()
+
+
 def test_staged_scores_equal_cut_models(rows):
     b = bo.Boosting(rows, FEATURES, "reordered", KEYS, [bo.Spec(n_estimators=12, max_depth=3)])
     b.grow(12)
