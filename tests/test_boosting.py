@@ -190,6 +190,25 @@ def test_staged_scores_equal_cut_models(rows):
         b.ensemble(0).probabilities(rows, [13])
 
 
+def test_grid_points_are_scored_together(rows):
+    """One pass scores every point's models, each on its own fold, as one by one; rows without a fold take no part."""
+    from rebuy.plans import model as ml
+    specs = [bo.Spec(n_estimators=n, max_depth=2, learning_rate=0.5, held_out=f) for n in (2, 7) for f in range(3)]
+    b = bo.Boosting(rows, FEATURES, "reordered", KEYS, specs, "fold")
+    b.grow(7)
+    models = [b.ensemble(i) for i in range(6)]
+    df = rows.withColumn("fold", F.when(F.col("user_id") > 1, F.col("fold")))
+    got = sorted((r.model, r.label, r.probability_1) for r in bo.own_fold_probabilities(df, models, 3, "reordered").collect())
+    want = sorted((i, float(r.reordered), r.probability_1) for i, m in enumerate(models)
+                  for r in m.probabilities(df.filter(F.col("fold") == i % 3)).collect())
+    assert got == want
+    found = {r.point: r for r in ml.point_f1(df, models, 3).collect()}
+    for p in range(2):
+        one = ml.boosted_result(df, models[3 * p:3 * p + 3], [], FEATURES).summary.first()
+        assert found[p].mean_best_f1 == pytest.approx(one.mean_best_f1) and found[p].std_best_f1 == pytest.approx(one.std_best_f1)
+    b.close()
+
+
 def test_staged_auc_and_stopping(rows, monkeypatch):
     monkeypatch.setattr(bo, "STEP", 6)
     specs = [bo.Spec(n_estimators=40, max_depth=2, learning_rate=0.5, held_out=f) for f in range(3)]
