@@ -113,3 +113,23 @@ def test_basket_tables_without_current_lines(spark, tmp_path):
     t = td.basket_tables(spark, str(tmp_path / "raw"), str(tmp_path / "out"))
     assert t.train.columns == t.prior.columns == ["order_id", "product_id", "add_to_cart_order", "reordered"]
     assert t.train.count() == 0 and t.prior.count() == 2
+
+
+def test_basket_tables_store_an_order_once_with_its_basket(spark, tmp_path):
+    """Lines meet their order as one row, not by a stored line table that is shuffled to the
+    orders again; repeated lines, orders that come twice, orders without lines and null keys."""
+    from rebuy.sources.testdata import basket_tables
+    at = str(tmp_path / "in")
+    spark.createDataFrame([(1, "Brand#11", "A"), (2, "Brand#11", "B"), (3, "Brand#12", "A")],
+                          "p_partkey long, p_brand string, p_type string").write.parquet(f"{at}/part.parquet")
+    spark.createDataFrame([(10, 2, 2), (10, 1, 3), (10, 1, 1), (11, 1, 1), (11, 3, 2), (12, 3, 1), (None, 1, 1), (13, None, 1)],
+                          "l_orderkey long, l_partkey long, l_linenumber int").write.parquet(f"{at}/lineitem.parquet")
+    spark.createDataFrame([(10, 5, "2024-01-01"), (11, 5, "2024-01-05"), (12, 9, "2024-01-02"), (12, 9, "2024-01-02"),
+                           (13, 5, "2024-02-01"), (14, 5, "2024-03-01"), (None, 5, "2024-03-01")],
+                          "o_orderkey long, o_custkey long, o_orderdate string").write.parquet(f"{at}/orders.parquet")
+    t = basket_tables(spark, at, str(tmp_path / "out"))
+    assert "lines" not in os.listdir(tmp_path / "out")
+    assert sorted(map(tuple, t.orders.select("order_id", "user_id", "eval_set", "order_number", "days_since_prior_order").collect()), key=str) == [
+        (10, 5, "prior", 1, None), (11, 5, "train", 2, 4.0), (12, 9, "prior", 1, None), (12, 9, "test", 2, 0.0)]
+    assert sorted(map(tuple, t.prior.collect())) == [(10, 111, 1, 0), (10, 112, 2, 0), (12, 121, 1, 0)]
+    assert sorted(map(tuple, t.train.collect())) == [(11, 111, 1, 1), (11, 121, 2, 0)]
