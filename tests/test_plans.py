@@ -59,3 +59,24 @@ def test_user_uniq_reads_only_its_columns(spark):
     for line in plan.splitlines():
         if "ReadSchema" in line:
             assert "add_to_cart_order" not in line and "days_since" not in line, line
+
+
+def test_counts_read_keys_only(spark):
+    """The class counts need (user, product) pairs: no order statistics, no running
+    sums of gaps (windows), and only the columns of that join."""
+    plan = _plan(REGISTRY["dept_counts"](spark, SF001))
+    assert "Window" not in plan and "days_since" not in plan and "add_to_cart_order" not in plan
+
+
+def test_user_product_keys_are_those_of_the_aggregates(spark):
+    """Null users and order numbers, lines without an order, orders and lines that come twice."""
+    from rebuy.plans.features import prior_aggregates, user_product_keys
+    orders = spark.createDataFrame([(o, u, "prior", n, 0, 1, 2.0) for o, u, n in [
+        (1, 7, 1), (1, 7, 1), (2, 7, 2), (3, None, 1), (4, 8, None), (5, 9, 1), (None, 9, 2)]],
+        "order_id long, user_id long, eval_set string, order_number int, order_dow int, order_hour_of_day int, days_since_prior_order double")
+    lines = spark.createDataFrame([(o, p, 1, 0) for o, p in [
+        (1, 10), (1, 10), (1, 11), (2, 10), (3, 10), (4, 10), (5, 12), (5, None), (6, 10), (None, 10)]],
+        "order_id long, product_id long, add_to_cart_order int, reordered int")
+    want = prior_aggregates(orders, lines, mode="none").user_products.select("user_id", "product_id")
+    got = user_product_keys(orders, lines)
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str) and got.count() == 4
