@@ -108,3 +108,34 @@ def test_tables_of_more_than_a_block_are_left_to_spark_ml(spark, rare, monkeypat
     monkeypatch.setattr(bo, "BLOCK_ROWS", 100)
     found = ml.forest_grid(rare, ["signal", "noise"], [30, 35], 2, n_trees=3, min_leaf=20)
     assert [d for d, _, _ in found] == [30, 35] and len(found[0][2].models) == 2
+
+
+def test_a_table_in_parts_has_the_forests_of_a_whole_one(spark, rare, monkeypatch):
+    """Results do not depend on how many parts or blocks the table's size makes of it."""
+    def run(rows_of_a_part):
+        monkeypatch.setattr(bo, "BLOCK_ROWS", rows_of_a_part)
+        monkeypatch.setattr(bo, "PART_ROWS", rows_of_a_part)
+        monkeypatch.setattr(fo, "PART_ROWS", rows_of_a_part)
+        found = ml.forest_grid(rare, ["signal", "noise", "product_dept_bin"], [1, 35, 50], 2, n_trees=60, min_leaf=20)
+        return [(d, own, *[round(v, 9) for v in res.summary.select("folds", "mean_best_f1", "mean_auc").first()]) for d, own, res in found]
+
+    def none(*a, **b):
+        raise AssertionError("no table is left to another library")
+    monkeypatch.setattr(ml, "random_forest", none)
+    whole = run(1 << 20)
+    assert run(100) == whole and [d for d, *_ in whole] == [1, 35, 50]
+    assert ml.forest_grid(rare, ["signal"], [3], 2, n_trees=3, min_leaf=20)[0][2].models[1] == fo.Forest(1, 3, 3)
+
+
+def test_a_tree_over_parts_on_disk_and_by_few_nodes(monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 40, (6, 3000)).astype(np.uint8)
+    y = (rng.random(3000) < x[2] / 60).astype(np.uint8)
+    w = rng.poisson(1, 3000)
+    whole = fo.tree_of(x, y, w, (42, 7), 50, 5, 3, bo.MAX_BINS)
+    monkeypatch.setattr(fo, "NODES", 3)
+    disk = fo.Disk()
+    parts = [(x[:, a:b], y[a:b], w[a:b]) for a, b in ((0, 0), (0, 1000), (1000, 1700), (1700, 3000))]
+    some = fo.tree_over(iter(parts), (42, 7), 50, 5, 3, bo.MAX_BINS, lambda i, *a: tuple(disk.put(f"{i}.{c}", v) for c, v in enumerate(a)))
+    disk.close()
+    assert whole.depth == some.depth > 5 and all((getattr(whole, c) == getattr(some, c)).all() for c in ("feature", "threshold", "left", "value"))
