@@ -1,6 +1,8 @@
 import math
+import os
 import pickle
 import random
+import shutil
 
 import numpy as np
 import pytest
@@ -177,6 +179,39 @@ def test_a_table_of_some_hundred_thousand_rows_grows_in_one_job(spark, monkeypat
     dealt.close()
 
 
+def test_files_of_the_rows_may_go_away(spark, rows, monkeypatch):
+    """A level's tasks get the newest tree only and map their rows from files; where these are gone,
+    in the middle of a tree too, rows are laid down again and trees replayed: the same trees."""
+    monkeypatch.setattr(bo, "BLOCK_ROWS", 50)
+    specs = [bo.Spec(n_estimators=7, max_depth=4, learning_rate=0.4, subsample=0.8, min_child_weight=0.1, held_out=f) for f in (0, 1)]
+    cuts, found = bo.cut_points(rows, FEATURES), []
+    for lose in (False, True):
+        b = bo.Boosting(rows.repartition(5), FEATURES, "reordered", KEYS, specs, "fold", cuts=cuts)
+        assert not b.alone
+        if lose:
+            sent, summed = [], b._summed
+
+            def losing(make, of, since, until, *join):
+                sent.append([n - a for a, n in zip(since, until)])
+                if len(sent) in (1, 10, 18, 30):        # the first level, others, and the AUC
+                    b.laid.foreachPartition(lambda blocks: [shutil.rmtree(x.folder, ignore_errors=True) for x in blocks])
+                return summed(make, of, since, until, *join)
+            b._summed = losing
+        aucs = [[], []]
+        for _ in range(2):
+            b.grow(4)
+            for own, new in zip(aucs, b.staged_auc([len(a) for a in aucs])):
+                own += new.tolist()
+        if lose:
+            levels = [n for n in sent if max(n) <= 1]
+            assert len(sent) == 7 * 4 + 4 and len(levels) == 7 * 4        # all but the AUC's
+        found.append(([[nested(t) for t in m] for m in b.models], aucs))
+        folders = set(b.laid.map(lambda x: x.folder).collect())
+        b.close()
+        assert folders and not any(os.path.exists(f) for f in folders)
+    assert found[0] == found[1] and [len(a) for a in found[0][1]] == [7, 7]
+
+
 def test_staged_scores_equal_cut_models(rows):
     b = bo.Boosting(rows, FEATURES, "reordered", KEYS, [bo.Spec(n_estimators=12, max_depth=3)])
     b.grow(12)
